@@ -28,11 +28,16 @@ def prediction_points(predictions: DataFrame, predicted: str = "prediction",
         " ", F.concat_ws(",", *tags), fields, epoch_nanos(start).cast("string")).alias("line"))
 
 
-def accuracy_points(metrics: DataFrame, run_nanos: int) -> DataFrame:
-    """``model_accuracy`` points of a metric table, stamped with the run's time."""
-    fields = F.concat(F.lit("accuracy="), F.col("accuracy").cast("string"),
-                      F.lit(",mape="), F.col("mape").cast("string"))
-    return metrics.select(F.concat_ws(
+def accuracy_points(metrics: DataFrame, run_nanos: int, keep=(), digits: int | None = None) -> DataFrame:
+    """``model_accuracy`` points of a metric table, stamped with the run's time.
+
+    ``keep`` names columns to carry along; ``digits`` fixes the number of decimals.
+    """
+    def shown(c: str) -> Column:
+        return F.format_string(f"%.{digits}f", c) if digits is not None else F.col(c).cast("string")
+
+    fields = F.concat(F.lit("accuracy="), shown("accuracy"), F.lit(",mape="), shown("mape"))
+    return metrics.select(*keep, F.concat_ws(
         " ", F.lit("model_accuracy"), fields, F.lit(str(run_nanos))).alias("line"))
 
 
