@@ -71,15 +71,24 @@ def scenario_grid(features: DataFrame, scenarios: Sequence[Scenario]) -> DataFra
     return add_interaction(changed).drop("scenario_")
 
 
-def outbreak_flag(cases: DataFrame, sigmas: float = 1.0) -> DataFrame:
-    """Add ``threshold`` (regional mean plus ``sigmas`` deviations) and the ``outbreak`` flag."""
+def outbreak_level(cases: DataFrame, sigmas: float = 1.0) -> DataFrame:
+    """Per region the count that makes a week an outbreak: mean plus ``sigmas`` deviations."""
     count = F.col("total_cases").cast("double")
-    level = cases.groupBy(REGION).agg(
+    return cases.groupBy(REGION).agg(
         (F.avg(count) + F.lit(float(sigmas)) * F.stddev_samp(count)).alias("threshold"))
-    joined = cases.join(level, REGION)
+
+
+def flag_outbreaks(rows: DataFrame, level: DataFrame) -> DataFrame:
+    """Add ``threshold`` and the 0/1 flag ``outbreak``."""
+    joined = rows.join(level, REGION)
     return joined.withColumn("outbreak", (F.col("total_cases") > F.col("threshold")).cast("int"))
 
 
+def outbreak_flag(cases: DataFrame, sigmas: float = 1.0) -> DataFrame:
+    """Flag the weeks of a case table by its own regional levels."""
+    return flag_outbreaks(cases, outbreak_level(cases, sigmas))
+
+
 def seasonal_naive(cases: DataFrame, season: int = 52) -> DataFrame:
     """Forecast a week by the count ``season`` rows earlier in its region.
 

@@ -23,9 +23,7 @@ class Store:
         self.model_root = f"{root}/model"
 
     def features(self, is_test: bool) -> DataFrame:
-        """Training or test rows; the side is a folder, so only that one is read."""
-        rows = self.spark.read.parquet(self.features_path)
-        return rows.filter(rows.is_test == is_test).drop("is_test")
+        return read_side(self.spark, self.features_path, is_test)
 
 
 def write_features(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
@@ -33,6 +31,12 @@ def write_features(rows: DataFrame, path: str, mode: str = "errorifexists") -> N
     hash_split(rows).write.mode(mode).partitionBy("is_test").parquet(path)
 
 
+def read_side(spark: SparkSession, path: str, is_test: bool) -> DataFrame:
+    """Training or test rows; the side is a folder (named by text), so only that one is read."""
+    rows = spark.read.parquet(path)
+    return rows.filter(rows.is_test == str(is_test).lower()).drop("is_test")
+
+
 def bootstrap(store: Store, obs: DataFrame, cases: DataFrame, measures=MEASURES,
               **forest_size) -> DataFrame:
     """Build everything from history; returns the test-set metrics.

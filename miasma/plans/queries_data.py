@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from miasma.functions.calendar import with_week_key
 from miasma.functions.paths import partition_value
 from miasma.operators import aggregate, align, clean
 from miasma.plans import standins as st
 from miasma.plans.registry import query
-from miasma.schema import FLAGS, NUMERIC_MEASURES, RAW_COLUMNS, WEEK_KEY
+from miasma.schema import FLAGS, NUMERIC_MEASURES, RAW_COLUMNS, SENTINELS, WEEK_KEY
 from miasma.session import shared_dir
 from miasma.sinks import tables
 from miasma.sources import files, payload
@@ -145,8 +146,6 @@ def versioned_weekly_write(spark, sf_dir):
 
 def _line_sql() -> str:
     """The record line in SQL: every field quoted, padding as in the files."""
-    from miasma.schema import SENTINELS
-
     def text(m: str) -> str:
         shown = f"CAST(CAST({st.VALUES[m]} AS BIGINT) AS VARCHAR) || '.0'"
         if m in st.MISSING:
@@ -244,22 +243,19 @@ def region_filter(spark, sf_dir):
     return clean.region_filter(st.weekly_cases(spark, sf_dir), "ASIA")
 
 
-@query(f"""WITH {OBS} SELECT "Weather_Year", "Weather_Week", sum(coalesce("PRCP", 0)) AS prcp_named,
-    sum("DEWP") AS dewp_named, sum(coalesce("PRCP", 0)) AS prcp_all, sum(coalesce("DEWP", 0)) AS dewp_all,
-    avg(coalesce("DEWP", 0)) AS dewp_mean_all
-  FROM obs GROUP BY "Weather_Year", "Weather_Week" """)
+@query(f"""WITH {OBS} SELECT filled, "Weather_Year", "Weather_Week",
+    avg(coalesce("PRCP", 0)) AS "avg_PRCP", avg(CASE WHEN filled = 'all' THEN coalesce("DEWP", 0) ELSE "DEWP" END) AS "avg_DEWP"
+  FROM obs, (VALUES ('one'), ('all')) AS f(filled) GROUP BY filled, "Weather_Year", "Weather_Week" """)
 def fill_defaults(spark, sf_dir):
-    """Nulls to 0 in one named column, and in all numeric columns."""
-    from miasma.functions.calendar import with_week_key
+    """Means after nulls became 0 in one named column, and in all numeric columns."""
     obs = with_week_key(st.observations(spark, sf_dir)).select(*WEEK_KEY, "PRCP", "DEWP")
-    named = clean.fill_defaults(obs, ["PRCP"])
-    both = named.select(*WEEK_KEY, F.col("PRCP").alias("prcp_named"), F.col("DEWP").alias("dewp_named"),
-                        F.col("PRCP").alias("prcp_all"), F.col("DEWP").alias("dewp_all"))
-    filled = clean.fill_defaults(both.withColumn("dewp_kept", F.col("dewp_named")), ["prcp_all", "dewp_all"])
-    return filled.groupBy(*WEEK_KEY).agg(
-        F.sum("prcp_named").alias("prcp_named"), F.sum("dewp_kept").alias("dewp_named"),
-        F.sum("prcp_all").alias("prcp_all"), F.sum("dewp_all").alias("dewp_all"),
-        F.avg("dewp_all").alias("dewp_mean_all"))
+
+    def means(filled, how):
+        return filled.groupBy(F.lit(how).alias("filled"), *WEEK_KEY).agg(
+            F.avg("PRCP").alias("avg_PRCP"), F.avg("DEWP").alias("avg_DEWP"))
+
+    return (means(clean.fill_defaults(obs, ["PRCP"]), "one")
+            .unionByName(means(clean.fill_defaults(obs), "all")))
 
 
 @query(f"""WITH {OBS} SELECT "Weather_Year", "Weather_Week", count(*) AS record_count,

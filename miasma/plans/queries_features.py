@@ -131,17 +131,19 @@ def feature_join_inner(spark, sf_dir):
 _LEFT = f"""joined AS (SELECT city, CAST(year AS DOUBLE) AS year, CAST(weekofyear AS DOUBLE) AS weekofyear,
     total_cases, coalesce("avg_TEMP", 0) AS "avg_TEMP", coalesce("avg_PRCP", 0) AS "avg_PRCP",
     record_count IS NOT NULL AS has_weather
-  FROM cases LEFT JOIN weekly ON year = "Weather_Year" AND weekofyear = "Weather_Week")"""
+  FROM cases LEFT JOIN weekly ON year = "Weather_Year" AND weekofyear = "Weather_Week" AND "avg_TEMP" > 25.5)"""
 _LEFT_ALL = f"{OBS}, {WEEKLY}, {CASES}, {_LEFT}"
 
 
 def _left(spark, sf_dir):
-    return features.feature_rows(st.weekly_cases(spark, sf_dir), _weekly(spark, sf_dir), how="left")
+    """Cases against warm weeks only, so that both sides of the split have rows."""
+    warm = _weekly(spark, sf_dir).filter("avg_TEMP > 25.5")
+    return features.feature_rows(st.weekly_cases(spark, sf_dir), warm, how="left")
 
 
 @query(f"WITH {_LEFT_ALL} SELECT * FROM joined")
 def feature_join_left(spark, sf_dir):
-    """All case weeks, with weather where there is any."""
+    """All case weeks, with the weather of warm weeks."""
     return _left(spark, sf_dir).select(
         "city", "year", "weekofyear", "total_cases", "avg_TEMP", "avg_PRCP", "has_weather")
 
