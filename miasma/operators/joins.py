@@ -1,0 +1,18 @@
+"""Join helpers."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_small(keys: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Mark a narrow key table for broadcast if it has at most ``max_rows`` rows.
+
+    Costs a count that stops at the bound. Meant for filtering a very large table by a list:
+    without the mark, Spark may shuffle the large side before it has seen how short the list
+    is. A longer list joins as Spark plans it.
+    """
+    return F.broadcast(keys) if keys.limit(max_rows + 1).count() <= max_rows else keys

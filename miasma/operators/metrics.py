@@ -9,15 +9,16 @@ from miasma.functions.numeric import ape
 
 
 def regression_metrics(scored: DataFrame, actual: str = "total_cases",
-                       predicted: str = "prediction", keys=()) -> DataFrame:
+                       predicted: str = "prediction", keys=(), overall: bool = False) -> DataFrame:
     """n, R², RMSE, MAE, MAPE and accuracy (100 - MAPE) in one pass.
 
     R² needs the spread of the actual values; it comes from ``var_pop``, which Spark merges
     stably across partitions. Rows with no cases have no percentage error and are left out
-    of MAPE.
+    of MAPE. ``overall`` adds the total over ``keys``, with null keys, in the same pass.
     """
     a, p = F.col(actual).cast("double"), F.col(predicted).cast("double")
-    grouped = scored.groupBy(*keys).agg(
+    groups = scored.rollup(*keys) if overall else scored.groupBy(*keys)
+    grouped = groups.agg(
         F.count("*").alias("n"),
         F.avg((a - p) * (a - p)).alias("mse"),
         F.avg(F.abs(a - p)).alias("mae"),

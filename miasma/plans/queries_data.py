@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from miasma.functions.calendar import with_week_key
 from miasma.functions.paths import partition_value
 from miasma.operators import aggregate, align, clean
 from miasma.plans import standins as st
@@ -243,19 +242,20 @@ def region_filter(spark, sf_dir):
     return clean.region_filter(st.weekly_cases(spark, sf_dir), "ASIA")
 
 
-@query(f"""WITH {OBS} SELECT filled, "Weather_Year", "Weather_Week",
-    avg(coalesce("PRCP", 0)) AS "avg_PRCP", avg(CASE WHEN filled = 'all' THEN coalesce("DEWP", 0) ELSE "DEWP" END) AS "avg_DEWP"
-  FROM obs, (VALUES ('one'), ('all')) AS f(filled) GROUP BY filled, "Weather_Year", "Weather_Week" """)
+@query(f"""WITH {OBS}, means AS (SELECT "STATION", "Weather_Year", "Weather_Week", avg("PRCP") AS prcp,
+    avg("DEWP") AS dewp FROM obs GROUP BY "STATION", "Weather_Year", "Weather_Week")
+  SELECT filled, "Weather_Year", count(*) AS n, count(*) FILTER (coalesce(prcp, 0) = 0) AS zero_prcp,
+    count(*) FILTER (filled = 'one' AND dewp IS NULL) AS null_dewp
+  FROM means, (VALUES ('one'), ('all')) AS f(filled) GROUP BY filled, "Weather_Year" """)
 def fill_defaults(spark, sf_dir):
-    """Means after nulls became 0 in one named column, and in all numeric columns."""
-    obs = with_week_key(st.observations(spark, sf_dir)).select(*WEEK_KEY, "PRCP", "DEWP")
-
-    def means(filled, how):
-        return filled.groupBy(F.lit(how).alias("filled"), *WEEK_KEY).agg(
-            F.avg("PRCP").alias("avg_PRCP"), F.avg("DEWP").alias("avg_DEWP"))
-
-    return (means(clean.fill_defaults(obs, ["PRCP"]), "one")
-            .unionByName(means(clean.fill_defaults(obs), "all")))
+    """Station-weeks after nulls became 0 in one named column, and in all numeric columns."""
+    weekly = aggregate.weekly_avg(st.observations(spark, sf_dir), ["PRCP", "DEWP"], keys=("STATION",))
+    means = weekly.select("STATION", *WEEK_KEY, "avg_PRCP", "avg_DEWP")
+    both = (clean.fill_defaults(means, ["avg_PRCP"]).withColumn("filled", F.lit("one"))
+            .unionByName(clean.fill_defaults(means).withColumn("filled", F.lit("all"))))
+    return both.groupBy("filled", "Weather_Year").agg(
+        F.count("*").alias("n"), F.count_if(F.col("avg_PRCP") == 0).alias("zero_prcp"),
+        F.count_if(F.col("avg_DEWP").isNull()).alias("null_dewp"))
 
 
 @query(f"""WITH {OBS} SELECT "Weather_Year", "Weather_Week", count(*) AS record_count,

@@ -152,7 +152,7 @@ def feature_join_left(spark, sf_dir):
     count(*) AS n, CAST(sum(total_cases) AS BIGINT) AS total_cases FROM joined GROUP BY ALL""")
 def matched_unmatched_split(spark, sf_dir):
     """Case weeks with and without weather, counted per region."""
-    matched, unmatched = keys.split_matched(_left(spark, sf_dir))
+    matched, unmatched = keys.split_matched(st.stored(spark, _left(spark, sf_dir), "joined"))
     both = (matched.withColumn("side", F.lit("matched"))
             .unionByName(unmatched.withColumn("side", F.lit("unmatched"))))
     return both.groupBy("city", "side").agg(F.count("*").alias("n"),
@@ -174,7 +174,7 @@ def unmatched_weeks(spark, sf_dir):
   FROM weekly SEMI JOIN unmatched ON year = "Weather_Year" AND weekofyear = "Weather_Week" """)
 def forecast_key_semi(spark, sf_dir):
     """The weather of the weeks to forecast."""
-    weekly = _weekly(spark, sf_dir)
+    weekly = st.stored(spark, _weekly(spark, sf_dir), "weekly")
     weeks = keys.unmatched_weeks(weekly, st.weekly_cases(spark, sf_dir))
     return keys.restrict_to_weeks(weekly, weeks).select(
         *WEEK_KEY, "record_count", *[f"avg_{m}" for m in USED])
@@ -236,9 +236,8 @@ def hash_split(spark, sf_dir):
     CAST(sum(total_cases) AS BIGINT) AS total_cases FROM features GROUP BY ALL""")
 def append_new_training_rows(spark, sf_dir):
     """A training table of the early years, then twice extended by all rows: none is doubled."""
-    path, full = shared_dir(spark, "training"), shared_dir(spark, "features")
-    _feature_rows(spark, sf_dir).write.parquet(full)
-    rows = spark.read.parquet(full)
+    path = shared_dir(spark, "training")
+    rows = st.stored(spark, _feature_rows(spark, sf_dir), "features")
     rows.filter("year <= 1998").write.parquet(path)
     for _ in range(2):
         tables.append_new(rows, path, CASE_KEY)
@@ -274,9 +273,8 @@ _METRICS_SQL = """SELECT city, count(*) AS n,
   UNION ALL {_METRICS_SQL.replace("SELECT city", "SELECT 'all' AS city")} FROM naive""")
 def regression_metrics(spark, sf_dir):
     """Quality of the naive forecast per region and overall."""
-    scored = _naive(spark, sf_dir)
-    overall = metrics.regression_metrics(scored).withColumn("city", F.lit("all"))
-    return _rounded(metrics.regression_metrics(scored, keys=("city",)).unionByName(overall), _METRICS)
+    quality = metrics.regression_metrics(_naive(spark, sf_dir), keys=("city",), overall=True)
+    return _rounded(quality.fillna("all", ["city"]), _METRICS)
 
 
 @query(f"""WITH {CASES}, {_NAIVE} SELECT 'predicted_cases,region=' || replace(city, ' ', '\\ ') || ',year=' || year

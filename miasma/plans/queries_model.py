@@ -18,12 +18,16 @@ WEEK = ["city", F.col("year").cast("int").alias("year"),
         F.col("weekofyear").cast("int").alias("weekofyear"), "total_cases"]
 
 
-def _split_features(spark, sf_dir):
-    """Stored feature rows, training and test side."""
+def _cases(spark, sf_dir):
+    return st.stored(spark, st.weekly_cases(spark, sf_dir), "cases")
+
+
+def _split_features(spark, sf_dir, cases=None):
+    """Stored weekly means and feature rows, training and test side."""
     store = bootstrap.Store(spark, shared_dir(spark, "store"))
-    weekly = aggregate.weekly_avg(st.observations(spark, sf_dir), USED)
-    rows = features.feature_rows(st.weekly_cases(spark, sf_dir), weekly)
-    bootstrap.write_features(rows, store.features_path)
+    store.weekly.replace(aggregate.weekly_avg(st.observations(spark, sf_dir), USED))
+    cases = st.weekly_cases(spark, sf_dir) if cases is None else cases
+    bootstrap.write_features(features.feature_rows(cases, store.weekly.read()), store.features_path)
     return store, store.features(is_test=False), store.features(is_test=True)
 
 
@@ -45,12 +49,11 @@ def rf_save_load(spark, sf_dir):
 @query()
 def rf_retrain(spark, sf_dir):
     """First load with weather up to 1998, then the rest merged in: quality before and after."""
-    obs, cases = st.observations(spark, sf_dir), st.weekly_cases(spark, sf_dir)
+    obs, cases = st.observations(spark, sf_dir), _cases(spark, sf_dir)
     store = bootstrap.Store(spark, shared_dir(spark, "store"))
     early = F.year("DATE") <= 1998
     before = bootstrap.bootstrap(store, obs.filter(early), cases, USED, **SMALL)
-    before = before.withColumn("stage", F.lit("first load"))
-    before = spark.createDataFrame(before.collect(), before.schema)
+    before = st.stored(spark, before.withColumn("stage", F.lit("first load")), "metrics")
     incremental.merge_daily(store, aggregate.daily_avg(obs.filter(~early), USED), USED)
     incremental.retrain(store, cases, **SMALL)
     after = bootstrap.evaluate(store).withColumn("stage", F.lit("retrained"))
@@ -60,10 +63,10 @@ def rf_retrain(spark, sf_dir):
 @query()
 def rf_forecast(spark, sf_dir):
     """Forecast of the weather weeks that have no cases."""
-    store, train, _ = _split_features(spark, sf_dir)
-    store.weekly.replace(aggregate.weekly_avg(st.observations(spark, sf_dir), USED))
+    cases = _cases(spark, sf_dir)
+    store, train, _ = _split_features(spark, sf_dir, cases)
     model.save_model(model.train_forest(train, **SMALL), spark, store.model_root)
-    return incremental.forecast(store, st.weekly_cases(spark, sf_dir))
+    return incremental.forecast(store, cases)
 
 
 @query()

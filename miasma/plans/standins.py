@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from miasma.schema import FLAGS, MEASURES, RAW_COLUMNS, SENTINELS
+from miasma.session import shared_dir
 
 # Each FRSHTT digit is one condition on a lineitem row; the texts hold in Spark and DuckDB.
 FLAG_CONDITIONS = {
@@ -53,6 +54,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """A small table written and read back, for use in several places of a plan."""
+    path = shared_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def _flag_code() -> Column:
     return F.concat(*[F.expr(f"CASE WHEN {FLAG_CONDITIONS[f]} THEN '1' ELSE '0' END")
                       for f in FLAGS])

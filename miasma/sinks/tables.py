@@ -6,33 +6,35 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from miasma.operators.joins import broadcast_if_small
 from miasma.operators.keys import new_rows
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by=("Weather_Year",),
-                      sort_by=(), mode: str = "errorifexists") -> None:
+                      mode: str = "errorifexists") -> None:
     """Write with one folder per partition value and files of even size.
 
     The rebalance hint brings a value's rows together and splits values too large for one
     task, so a year that holds most of the data is written by many tasks.
     """
-    even = df.hint("rebalance", *partition_by)
-    if sort_by:
-        even = even.sortWithinPartitions(*partition_by, *sort_by)
-    even.write.mode(mode).partitionBy(*partition_by).parquet(path)
+    (df.hint("rebalance", *partition_by)
+     .write.mode(mode).partitionBy(*partition_by).parquet(path))
 
 
 def land_observations(raw: DataFrame, path: str, stations: DataFrame | None = None,
                       partition_by=("year",)) -> None:
-    """Keep raw records by year, sorted by station so that a station's scan skips row groups.
+    """Keep raw records by year, each file holding a range of stations.
 
-    ``stations`` (column STATION) limits the load. For a few stations
-    ``partition_by=("STATION", "year")`` gives each its own folder.
+    Range partitions make few files per year, let a station's scan skip most of them, and
+    split a station that has very many records by date. ``stations`` (column STATION) limits
+    the load. For a few stations ``partition_by=("STATION", "year")`` gives each its own folder.
     """
-    chosen = raw.join(stations.select("STATION"), "STATION", "left_semi") if stations else raw
-    dated = chosen.withColumn("year", F.substring(F.trim("DATE"), 1, 4).try_cast("int"))
-    write_partitioned(dated, path, partition_by,
-                      [c for c in ("STATION", "DATE") if c not in partition_by])
+    if stations is not None:
+        raw = raw.join(broadcast_if_small(stations.select("STATION")), "STATION", "left_semi")
+    dated = raw.withColumn("year", F.substring(F.trim("DATE"), 1, 4).try_cast("int"))
+    order = [*partition_by, *[c for c in ("STATION", "DATE") if c not in partition_by]]
+    (dated.repartitionByRange(*order).sortWithinPartitions(*order)
+     .write.partitionBy(*partition_by).parquet(path))
 
 
 class VersionLog:

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from miasma.functions.paths import folder_year, partition_value, plain_path, station_of_file
+from miasma.operators.joins import broadcast_if_small
 from miasma.schema import CASES_DDL, LEDGER_DDL, RAW_DDL
 
 
@@ -26,10 +28,12 @@ def read_observation_tree(spark: SparkSession, path, glob: str = "*.csv") -> Dat
 
 
 def read_cases_csv(spark: SparkSession, path) -> DataFrame:
-    """Weekly case counts. Lines that do not fit the schema, such as repeated headers, go."""
-    raw = (spark.read.schema(CASES_DDL).option("header", True)
-           .option("mode", "DROPMALFORMED").csv(path))
-    return raw.dropna()
+    """Weekly case counts. Padded numbers are taken; lines that do not fit, such as repeated
+    headers, go."""
+    fields = StructType.fromDDL(CASES_DDL).fields
+    text = ", ".join(f"{f.name} STRING" for f in fields)
+    raw = spark.read.schema(text).option("header", True).csv(path)
+    return raw.select([F.trim(f.name).try_cast(f.dataType).alias(f.name) for f in fields]).dropna()
 
 
 def read_year(spark: SparkSession, root: str, year: int) -> DataFrame:
@@ -64,7 +68,7 @@ def new_files(listing: DataFrame, ledger: DataFrame) -> DataFrame:
 def rows_of_files(table: DataFrame, files: DataFrame) -> DataFrame:
     """Rows of ``table`` that come from the given files."""
     tagged = table.withColumn("path", plain_path(F.col("_metadata.file_path")))
-    return tagged.join(files.select("path"), "path", "left_semi").drop("path")
+    return tagged.join(broadcast_if_small(files.select("path")), "path", "left_semi").drop("path")
 
 
 def years_of_files(files: DataFrame) -> DataFrame:
