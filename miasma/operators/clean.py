@@ -26,16 +26,19 @@ def parse_date(text: Column) -> Column:
 def trim_cast(df: DataFrame, measures=NUMERIC_MEASURES) -> DataFrame:
     """Trim all text and turn measures into doubles and ``DATE`` into a timestamp.
 
-    What does not parse becomes null, so that one bad line cannot stop a job.
+    What does not parse becomes null, so that one bad line cannot stop a job. Columns that
+    are not text stay as they are.
     """
-    def typed(name: str) -> Column:
+    def typed(name: str, dtype: str) -> Column:
+        if dtype != "string":
+            return F.col(name)
         if name in measures:
             return number(F.col(name)).alias(name)
         if name == "DATE":
             return parse_date(F.col(name)).alias(name)
         return F.trim(name).alias(name)
 
-    return df.select([typed(c) for c in df.columns])
+    return df.select([typed(c, t) for c, t in df.dtypes])
 
 
 def drop_headers(df: DataFrame) -> DataFrame:

@@ -14,8 +14,12 @@ from miasma.session import shared_dir
 USED = ["TEMP", "PRCP", "DEWP"]
 # Smaller forests where the query is about the steps around the model.
 SMALL = {"numTrees": 20, "maxDepth": 6}
-WEEK = ["city", F.col("year").cast("int").alias("year"),
-        F.col("weekofyear").cast("int").alias("weekofyear"), "total_cases"]
+
+
+def _by_week(scored, *columns):
+    """Scored rows under their integer week key."""
+    return scored.select("city", F.col("year").cast("int").alias("year"),
+                         F.col("weekofyear").cast("int").alias("weekofyear"), "total_cases", *columns)
 
 
 def _cases(spark, sf_dir):
@@ -35,7 +39,7 @@ def _split_features(spark, sf_dir, cases=None):
 def rf_train_predict(spark, sf_dir):
     """The full forest, trained on one side of the split and applied to the other."""
     _, train, test = _split_features(spark, sf_dir)
-    return model.score(model.train_forest(train), test).select(*WEEK, "prediction")
+    return _by_week(model.score(model.train_forest(train), test), "prediction")
 
 
 @query()
@@ -89,8 +93,8 @@ def rf_outbreak(spark, sf_dir):
     forest = model.train_outbreak_classifier(regional.flag_outbreaks(train, level), **SMALL)
     model.save_model(forest, spark, store.model_root)
     loaded = model.load_model(spark, store.model_root, RandomForestClassificationModel)
-    return model.detect_outbreak(loaded, regional.flag_outbreaks(test, level)).select(
-        *WEEK, "outbreak", "predicted_outbreak", "outbreak_probability")
+    return _by_week(model.detect_outbreak(loaded, regional.flag_outbreaks(test, level)),
+                    "outbreak", "predicted_outbreak", "outbreak_probability")
 
 
 @query()

@@ -42,18 +42,22 @@ def read_year(spark: SparkSession, root: str, year: int) -> DataFrame:
             .withColumn("Weather_Year", F.col("Weather_Year").cast("int")))
 
 
-def read_table(spark: SparkSession, root: str) -> DataFrame:
+def read_table(spark: SparkSession, root: str, schema=None) -> DataFrame:
     """A whole table, partition columns included. Reading the root keeps a streaming
-    sink's commit log in force, so files of an unfinished batch stay unseen."""
-    return spark.read.parquet(root)
+    sink's commit log in force, so files of an unfinished batch stay unseen. ``schema`` is
+    needed where the table may still be empty."""
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(root)
 
 
 def list_files(spark: SparkSession, root: str, suffix: str = ".parquet") -> DataFrame:
-    """Files below ``root`` as (path, modificationTime, length). No file is opened."""
+    """Files below ``root`` as (path, modificationTime, length), paths spelt as in
+    ``_metadata``. No file is opened."""
     return (spark.read.format("binaryFile")
             .option("recursiveFileLookup", True).option("pathGlobFilter", f"*{suffix}")
             .load(root)
-            .select(plain_path(F.col("path")).alias("path"), "modificationTime", "length"))
+            .select(plain_path(F.col("_metadata.file_path")).alias("path"),
+                    "modificationTime", "length"))
 
 
 def empty_ledger(spark: SparkSession) -> DataFrame:

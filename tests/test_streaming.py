@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from miasma.operators import aggregate
 from miasma.sinks.tables import VersionedTable
 from miasma.sources import broker, payload
+from miasma.sources.files import read_table
 from miasma.streaming import daily, upsert
 from miasma.streaming.sources import stream_lines, stream_parquet
 from tests.records import HEADER, line, record
@@ -21,10 +22,10 @@ def feed(tmp_path, name, *lines):
 def run(spark, tmp_path, folder, **kwargs):
     records = payload.text_payload(stream_lines(spark, folder))
     out = str(tmp_path / "daily")
-    query = daily.write_stream(daily.daily_stream(records, ["TEMP"], **kwargs), out, out + "-checkpoint",
-                               available_now=True, files_per_batch=1)
+    means = daily.daily_stream(records, ["TEMP"], **kwargs)
+    query = daily.write_stream(means, out, out + "-checkpoint", available_now=True, files_per_batch=1)
     query.awaitTermination()
-    rows = spark.read.parquet(out).collect()
+    rows = read_table(spark, out, means.schema).collect()
     return {str(r.DATE.date()): (r.avg_TEMP, r.record_count) for r in rows}, query.recentProgress
 
 
