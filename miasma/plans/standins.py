@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from miasma.schema import FLAGS, MEASURES, RAW_COLUMNS, SENTINELS
-from miasma.session import shared_dir
+from miasma.session import shared_dir, spread
 
 # Each FRSHTT digit is one condition on a lineitem row; the texts hold in Spark and DuckDB.
 FLAG_CONDITIONS = {
@@ -54,6 +54,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey")
+
+
 def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """A small table written and read back, for use in several places of a plan."""
     path = shared_dir(spark, name)
@@ -76,7 +80,7 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         v = F.expr(VALUES[m]).cast("double")
         return (F.when(~F.expr(MISSING[m]), v) if m in MISSING else v).alias(m)
 
-    return table(spark, sf_dir, "lineitem").select(
+    return _lineitem(spark, sf_dir).select(
         _station().alias("STATION"), F.col("l_shipdate").cast("date").alias("DATE"),
         *[value(m) for m in VALUES], _flag_code().alias("FRSHTT"))
 
@@ -114,7 +118,7 @@ def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
             return attribute(c.removesuffix("_ATTRIBUTES")).alias(c)
         return text(c).alias(c)
 
-    return table(spark, sf_dir, "lineitem").select(*[column(c) for c in RAW_COLUMNS])
+    return _lineitem(spark, sf_dir).select(*[column(c) for c in RAW_COLUMNS])
 
 
 def raw_events(events: DataFrame, dirty: bool = False) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a job should start with; all are public Spark options.
 RECOMMENDED_CONF = {
@@ -35,3 +35,13 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             _local_base = tempfile.mkdtemp(prefix="miasma-")
         base = _local_base
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deal a scan that has fewer splits than the session has slots out over all slots.
+
+    A large table has more splits than slots and stays as it is; a small one is cheap to move
+    and would leave most of the machine idle. ``keys`` should tell rows apart.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= slots else df.repartition(slots, *keys)

@@ -21,7 +21,10 @@ def text_payload(lines: DataFrame) -> DataFrame:
 
 
 def decode_payload(records: DataFrame) -> DataFrame:
-    """Broker records to the 28 text columns; works on batch and streaming frames alike."""
+    """Broker records to the 28 text columns; works on batch and streaming frames alike.
+
+    The parsed struct is spread by ``inline``, not by ``parsed.*``: Catalyst moves a later
+    filter below a projection, where each mention of a column would parse the line again.
+    """
     return (records.selectExpr("CAST(value AS STRING) AS line")
-            .select(F.from_csv("line", RAW_DDL).alias("parsed"))
-            .select("parsed.*"))
+            .select(F.inline(F.array(F.from_csv("line", RAW_DDL)))))
