@@ -10,6 +10,7 @@ from miasma.operators.metrics import regression_metrics
 from miasma.operators.model import hash_split, load_model, save_model, score, train_forest
 from miasma.schema import MEASURES
 from miasma.sinks.tables import VersionedTable
+from miasma.sources.files import read_ledger
 
 
 class Store:
@@ -21,6 +22,12 @@ class Store:
         self.predictions = VersionedTable(spark, f"{root}/predictions", ("year",))
         self.features_path = f"{root}/features"
         self.model_root = f"{root}/model"
+        self.ledger_path = f"{root}/merged-files"
+
+    def merged_files(self) -> DataFrame:
+        """Files that went into the committed versions of the weekly table."""
+        last = self.weekly.log.latest()
+        return read_ledger(self.spark, self.ledger_path, -1 if last is None else last)
 
     def features(self, is_test: bool) -> DataFrame:
         return read_side(self.spark, self.features_path, is_test)

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from miasma.operators.aggregate import weekly_upsert
+from miasma.operators.aggregate import empty_weekly, weekly_upsert
 from miasma.operators.features import feature_rows, forecast_features
 from miasma.operators.keys import new_rows, restrict_to_weeks, unmatched_weeks
 from miasma.operators.model import load_model, prediction_table, save_model, score, train_forest
 from miasma.plans.bootstrap import Store, write_features
 from miasma.schema import CASE_KEY, MEASURES
+from miasma.sources.files import list_files, new_files, read_table, rows_of_files
 
 
 def merge_daily(store: Store, daily: DataFrame, measures=MEASURES) -> None:
@@ -17,6 +18,26 @@ def merge_daily(store: Store, daily: DataFrame, measures=MEASURES) -> None:
     store.weekly.replace(weekly_upsert(store.weekly.read(), daily, measures=measures))
 
 
+def merge_new_files(store: Store, daily_root: str, measures=MEASURES) -> int | None:
+    """Merge the files of a daily table that no earlier run has merged; returns the version.
+
+    The list of merged files is written before the version it belongs to is committed, and
+    only lists of committed versions count. A run that dies in between is simply repeated, so
+    a file is merged exactly once.
+    """
+    spark, log = store.spark, store.weekly.log
+    fresh = new_files(list_files(spark, daily_root), store.merged_files())
+    if fresh.isEmpty():
+        return None
+    last, version = log.latest(), log.following()
+    fresh.select("path").write.mode("overwrite").parquet(f"{store.ledger_path}/version={version}")
+    fresh = spark.read.parquet(f"{store.ledger_path}/version={version}")
+    incoming = rows_of_files(read_table(spark, daily_root), fresh)
+    existing = empty_weekly(spark, measures) if last is None else store.weekly.read(last)
+    store.weekly.write(weekly_upsert(existing, incoming, measures=measures), version)
+    return version
+
+
 def retrain(store: Store, cases: DataFrame, **forest_size):
     """Add weeks that have gained weather or cases, then train one model on all of them.
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from miasma.functions.paths import partition_value
 from miasma.operators import aggregate, align, clean
+from miasma.plans import bootstrap, incremental
 from miasma.plans import standins as st
 from miasma.plans.registry import query
 from miasma.schema import FLAGS, NUMERIC_MEASURES, RAW_COLUMNS, SENTINELS, WEEK_KEY
@@ -143,6 +144,17 @@ def versioned_weekly_write(spark, sf_dir):
     return _merged(table.read())
 
 
+@query(_MERGED_SQL)
+def merge_new_files(spark, sf_dir):
+    """Daily files of two deliveries, merged as they come; a run without news changes nothing."""
+    store, days = bootstrap.Store(spark, shared_dir(spark, "store")), shared_dir(spark, "daily")
+    for delivery in _deliveries(spark, sf_dir):
+        tables.write_partitioned(aggregate.daily_avg(delivery, SOME), days, mode="append")
+        incremental.merge_new_files(store, days, SOME)
+    incremental.merge_new_files(store, days, SOME)
+    return _merged(store.weekly.read())
+
+
 def _line_sql() -> str:
     """The record line in SQL: every field quoted, padding as in the files."""
     def text(m: str) -> str:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
+from pyspark.sql.utils import AnalysisException
 
 from miasma.functions.paths import folder_year, partition_value, plain_path, station_of_file
 from miasma.operators.joins import broadcast_if_small
@@ -64,6 +65,17 @@ def empty_ledger(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], LEDGER_DDL)
 
 
+def read_ledger(spark: SparkSession, path: str, up_to: int) -> DataFrame:
+    """Files merged by versions up to ``up_to`` of a ledger kept as one folder per version."""
+    try:
+        rows = spark.read.schema("path STRING, version BIGINT").parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return empty_ledger(spark)
+    return rows.filter(F.col("version") <= up_to)
+
+
 def new_files(listing: DataFrame, ledger: DataFrame) -> DataFrame:
     """Listed files that no earlier run has recorded."""
     return listing.join(ledger.select("path"), "path", "left_anti")

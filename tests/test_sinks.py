@@ -123,3 +123,28 @@ def test_lines_are_sent_in_batches_from_the_executors(spark, tmp_path):
 def test_shared_dir_follows_the_session_setting(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert shared_dir(spark, "x").startswith(base + "/x-") and shared_dir(spark, "x") != shared_dir(spark, "x")
+
+
+def test_files_are_merged_once_even_if_a_run_dies(spark, tmp_path, monkeypatch):
+    from miasma.operators.aggregate import daily_avg
+    from miasma.plans import bootstrap, incremental
+
+    store, days = bootstrap.Store(spark, str(tmp_path / "store")), str(tmp_path / "daily")
+
+    def deliver(*rows):
+        obs = spark.createDataFrame([(dt.date(2024, 1, d), t) for d, t in rows], "DATE DATE, TEMP DOUBLE")
+        tables.write_partitioned(daily_avg(obs, ["TEMP"]), days, mode="append")
+
+    def merge():
+        return incremental.merge_new_files(store, days, ["TEMP"])
+
+    deliver((1, 1.0), (2, 3.0))
+    assert merge() == 0 and merge() is None
+    deliver((1, 11.0))
+    with monkeypatch.context() as m:
+        m.setattr(tables.VersionLog, "commit", lambda *a: (_ for _ in ()).throw(IOError("lost")))
+        with pytest.raises(IOError):
+            merge()
+    assert merge() == 1 and merge() is None
+    row, = store.weekly.read().collect()
+    assert (row.avg_TEMP, row.record_count) == (5.0, 3)
