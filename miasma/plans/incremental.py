@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from miasma.operators.aggregate import empty_weekly, weekly_upsert
 from miasma.operators.features import feature_rows, forecast_features
@@ -10,7 +11,8 @@ from miasma.operators.keys import new_rows, restrict_to_weeks, unmatched_weeks
 from miasma.operators.model import load_model, prediction_table, save_model, score, train_forest
 from miasma.plans.bootstrap import Store, write_features
 from miasma.schema import CASE_KEY, MEASURES
-from miasma.sources.files import list_files, new_files, read_table, rows_of_files
+from miasma.sources.files import (list_files, new_files, read_table, rows_of_files,
+                                  years_of_files)
 
 
 def merge_daily(store: Store, daily: DataFrame, measures=MEASURES) -> None:
@@ -32,7 +34,10 @@ def merge_new_files(store: Store, daily_root: str, measures=MEASURES) -> int | N
     last, version = log.latest(), log.following()
     fresh.select("path").write.mode("overwrite").parquet(f"{store.ledger_path}/version={version}")
     fresh = spark.read.parquet(f"{store.ledger_path}/version={version}")
-    incoming = rows_of_files(read_table(spark, daily_root), fresh)
+    # A handful of years at most; as literals they prune the scan to the folders that changed.
+    years = [r.year for r in years_of_files(fresh).collect()]
+    touched = read_table(spark, daily_root).filter(F.col("Weather_Year").isin(years))
+    incoming = rows_of_files(touched, fresh)
     existing = empty_weekly(spark, measures) if last is None else store.weekly.read(last)
     store.weekly.write(weekly_upsert(existing, incoming, measures=measures), version)
     return version

@@ -87,6 +87,22 @@ def test_landing_by_year_and_by_station(spark, tmp_path):
     assert not (tmp_path / "b" / "STATION=99").exists()
 
 
+def test_a_station_with_a_third_of_all_records_is_landed_by_several_tasks(spark, path):
+    df = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, "00").otherwise((F.col("id") % 40).cast("string")).alias("STATION"),
+        F.date_add(F.lit(dt.date(2024, 1, 1)), (F.col("id") % 360).cast("int")).cast("string").alias("DATE"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        tables.land_observations(df, path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    landed = spark.read.parquet(path)
+    per_file = [r["count"] for r in landed.groupBy("_metadata.file_path").count().collect()]
+    assert sum(per_file) == 9000 and max(per_file) < 0.4 * 9000
+    files_of_hot = landed.filter("STATION = '00'").select("_metadata.file_path").distinct().count()
+    assert files_of_hot > 1
+
+
 def test_paths(spark):
     df = spark.createDataFrame([("file:///d/Weather_Year=2024/x.parquet",), ("hdfs://h/raw/0100-2023/0100.csv",),
                                 ("/in/2022/0100 copy.csv",), ("/in/x.csv",)], "p STRING")
@@ -148,3 +164,30 @@ def test_files_are_merged_once_even_if_a_run_dies(spark, tmp_path, monkeypatch):
     assert merge() == 1 and merge() is None
     row, = store.weekly.read().collect()
     assert (row.avg_TEMP, row.record_count) == (5.0, 3)
+
+
+def test_a_local_session_may_go_without_a_shared_folder(spark, monkeypatch):
+    from miasma import session
+
+    class Conf:
+        def __init__(self, master):
+            self.master = master
+
+        def get(self, key, default=None):
+            return self.master if key == "spark.master" else default
+
+    class Fake:
+        def __init__(self, master):
+            self.conf = Conf(master)
+
+    assert session.shared_dir(Fake("local[2]"), "x")
+    with pytest.raises(ValueError):
+        session.shared_dir(Fake("yarn"), "x")
+
+
+def test_only_small_key_lists_are_broadcast(spark):
+    from miasma.operators.joins import broadcast_if_small
+
+    keys = spark.range(10)
+    hinted = lambda df: "hint" in df._jdf.queryExecution().logical().toString().lower()
+    assert hinted(broadcast_if_small(keys, 10)) and not hinted(broadcast_if_small(keys, 9))
