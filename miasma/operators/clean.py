@@ -1,5 +1,4 @@
-"""From raw text records to typed observations. All functions work on streams too,
-except ``dedupe_observations`` and ``reject_report``."""
+"""From raw text records to typed observations, batch or stream."""
 
 from __future__ import annotations
 
@@ -91,18 +90,14 @@ def dedupe_observations(df: DataFrame, keys=("STATION", "DATE")) -> DataFrame:
     """One row per station and day: of differing copies the smallest in column order.
 
     An aggregate, so copies collapse before the shuffle and the choice does not depend on
-    row order.
+    row order. On a stream a watermark on ``DATE`` bounds the state; a station's day comes
+    out once the watermark has passed it.
     """
     rest = [c for c in df.columns if c not in keys]
     kept = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("kept"))
     return kept.select(*keys, "kept.*").select(df.columns)
 
 
-def dedupe_stream(df: DataFrame, keys=("STATION", "DATE")) -> DataFrame:
-    """First row per station and day. Needs a watermark, which bounds the state."""
-    return df.dropDuplicatesWithinWatermark(list(keys))
-
-
 def reject_reason(df: DataFrame) -> DataFrame:
     """Add ``reason``: why a raw record cannot be used, null for a good one."""
     station, date = F.trim("STATION"), F.col("DATE")

@@ -85,13 +85,13 @@ def stream_late_drop(spark, sf_dir):
     return _days(files.read_table(spark, out))
 
 
-@query(f"""WITH {_EVENTS} SELECT {_WEEKS}, CAST("DATE" AS VARCHAR) AS "DATE",
-    count(DISTINCT "STATION") AS record_count
-  FROM e WHERE "DATE" <= {_DONE} GROUP BY e."DATE" """)
+@query(f"""WITH {_EVENTS}, once AS (SELECT "STATION", "DATE", min("TEMP") AS "TEMP" FROM e GROUP BY ALL)
+  SELECT {_WEEKS}, CAST("DATE" AS VARCHAR) AS "DATE", count(*) AS record_count, avg("TEMP") AS "avg_TEMP"
+  FROM once WHERE "DATE" <= {_DONE} GROUP BY once."DATE" """)
 def stream_dedupe(spark, sf_dir):
-    """Station-days per day when a station reports many times a day."""
+    """Daily means that count a station's day once, however often it reports."""
     means = daily.daily_stream(_records(spark, _feed(sf_dir)), ["TEMP"], dedupe=True)
-    return _days(_run(spark, means, "deduped", files_per_batch=1)).drop("avg_TEMP")
+    return _days(_run(spark, means, "deduped", files_per_batch=1))
 
 
 @query(f"""WITH {_EVENTS} SELECT {_WEEKS}, count(*) AS record_count, round(avg("TEMP"), 6) AS "avg_TEMP",

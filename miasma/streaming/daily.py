@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from miasma.operators.aggregate import daily_avg
-from miasma.operators.clean import clean_records, dedupe_stream, sentinel_to_null
+from miasma.operators.clean import clean_records, dedupe_observations, sentinel_to_null
 from miasma.schema import MEASURES
 from miasma.sources.payload import decode_payload
 
@@ -19,15 +19,16 @@ def daily_stream(records: DataFrame, measures=MEASURES, keys=(), delay: str = WA
     """Broker records to daily means under a watermark on ``DATE``.
 
     Records without a usable date go before the watermark; as a null group they would stay
-    in state for ever. ``dedupe`` drops repeated station-days within the delay. The state
-    holds one row per day (and ``keys``) of the open week, not one per record.
+    in state for ever. The state holds one row per day (and ``keys``) of the open week, not
+    one per record; with ``dedupe``, which counts a station's day once, also one per
+    station and day.
     """
     obs = clean_records(decode_payload(records))
     if null_sentinels:
         obs = sentinel_to_null(obs)
     obs = obs.withWatermark("DATE", delay)
     if dedupe:
-        obs = dedupe_stream(obs)
+        obs = dedupe_observations(obs.select("STATION", "DATE", *measures))
     return daily_avg(obs, measures, keys)
 
 

@@ -63,6 +63,16 @@ def test_repeated_station_days_count_once(spark, tmp_path):
     assert got == {"2024-01-01": (6.0, 2)}
 
 
+def test_repeats_across_runs_count_once(spark, tmp_path):
+    folder = feed(tmp_path, "1.csv", on("2024-01-01", "3.0"), on("2024-01-01", "1.0"))
+    assert run(spark, tmp_path, folder, dedupe=True)[0] == {}
+    feed(tmp_path, "2.csv", on("2024-01-01", "2.0"), on("2024-01-01", "5.0", "02"), on("2024-01-20", "7.0"))
+    assert run(spark, tmp_path, folder, dedupe=True)[0] == {"2024-01-01": (3.0, 2)}
+    feed(tmp_path, "3.csv", on("2024-01-20", "7.0"), on("2024-02-20", "1.0"))
+    assert run(spark, tmp_path, folder, dedupe=True)[0] == {
+        "2024-01-01": (3.0, 2), "2024-01-20": (7.0, 1)}
+
+
 def test_sentinels_in_a_stream(spark, tmp_path):
     folder = feed(tmp_path, "1.csv", line(record(DATE="2024-01-01", PRCP="99.99")),
                   line(record(DATE="2024-01-01", PRCP=" 2.00")), on("2024-03-01"))
