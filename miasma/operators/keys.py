@@ -10,9 +10,13 @@ from miasma.schema import WEEK_KEY
 CASE_WEEK = ["year", "weekofyear"]
 
 
-def weather_weeks(weekly: DataFrame) -> DataFrame:
-    """The distinct weeks of a weather table, under the names of the case keys."""
-    return weekly.select([F.col(w).alias(c) for w, c in zip(WEEK_KEY, CASE_WEEK)]).distinct()
+def weather_weeks(weekly: DataFrame, keys=()) -> DataFrame:
+    """The distinct weeks of a weather table, under the names of the case keys.
+
+    ``keys`` adds columns such as the region.
+    """
+    weeks = [F.col(w).alias(c) for w, c in zip(WEEK_KEY, CASE_WEEK)]
+    return weekly.select(*keys, *weeks).distinct()
 
 
 def distinct_weeks(df: DataFrame, columns=tuple(CASE_WEEK)) -> DataFrame:
@@ -25,9 +29,10 @@ def split_matched(joined: DataFrame) -> tuple[DataFrame, DataFrame]:
             joined.filter("NOT has_weather").drop("has_weather"))
 
 
-def unmatched_weeks(weekly: DataFrame, cases: DataFrame) -> DataFrame:
-    """Weather weeks without case counts: the weeks to forecast."""
-    return weather_weeks(weekly).join(cases.select(*CASE_WEEK), CASE_WEEK, "left_anti")
+def unmatched_weeks(weekly: DataFrame, cases: DataFrame, keys=()) -> DataFrame:
+    """Weather weeks without case counts: the weeks to forecast, with ``keys`` per region."""
+    on = [*keys, *CASE_WEEK]
+    return weather_weeks(weekly, keys).join(cases.select(*on), on, "left_anti")
 
 
 def after_latest_key(df: DataFrame, reference: DataFrame, columns=tuple(CASE_WEEK)) -> DataFrame:
@@ -40,10 +45,10 @@ def after_latest_key(df: DataFrame, reference: DataFrame, columns=tuple(CASE_WEE
     return df.filter(F.struct(*columns) > latest)
 
 
-def restrict_to_weeks(weekly: DataFrame, weeks: DataFrame) -> DataFrame:
-    """Weekly weather of the given (year, weekofyear) keys."""
-    keys = weeks.select([F.col(c).alias(w) for w, c in zip(WEEK_KEY, CASE_WEEK)])
-    return weekly.join(keys, WEEK_KEY, "left_semi")
+def restrict_to_weeks(weekly: DataFrame, weeks: DataFrame, keys=()) -> DataFrame:
+    """Weekly weather of the given (year, weekofyear) keys, with ``keys`` per region."""
+    wanted = weeks.select(*keys, *[F.col(c).alias(w) for w, c in zip(WEEK_KEY, CASE_WEEK)])
+    return weekly.join(wanted, [*keys, *WEEK_KEY], "left_semi")
 
 
 def new_rows(incoming: DataFrame, existing: DataFrame, keys) -> DataFrame:

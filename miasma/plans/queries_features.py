@@ -324,6 +324,18 @@ def regional_weekly(spark, sf_dir):
                     {f"avg_{m}": 8 for m in USED})
 
 
+@query(f"""WITH {OBS}, {CASES}, place AS (SELECT lpad(CAST(s_suppkey AS VARCHAR), 11, '0') AS "STATION", r_name AS city
+    FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+  weeks AS (SELECT DISTINCT city, "Weather_Year" AS year, "Weather_Week" AS weekofyear
+    FROM obs JOIN place USING ("STATION"))
+  SELECT * FROM weeks ANTI JOIN cases USING (city, year, weekofyear)""")
+def regional_unmatched_weeks(spark, sf_dir):
+    """Weeks to forecast, region by region."""
+    weekly = regional.regional_weekly(st.observations(spark, sf_dir),
+                                      st.station_regions(spark, sf_dir), ["TEMP"])
+    return keys.unmatched_weeks(weekly, st.weekly_cases(spark, sf_dir), ("city",))
+
+
 SCENARIOS = [
     regional.Scenario("as is"),
     regional.Scenario("warmer", temp_delta=2.0),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.sql import functions as F
 
-from miasma.operators import aggregate, features, metrics, model, regional
+from miasma.operators import aggregate, features, model, regional
 from miasma.plans import bootstrap, incremental
 from miasma.plans import standins as st
 from miasma.plans.registry import query
@@ -97,14 +97,27 @@ def rf_outbreak(spark, sf_dir):
                     "outbreak", "predicted_outbreak", "outbreak_probability")
 
 
+def _regional_store(spark, sf_dir, cases):
+    """Weekly means per region, their feature rows and a forest, stored."""
+    store = bootstrap.Store(spark, shared_dir(spark, "regional-store"))
+    store.weekly.replace(regional.regional_weekly(
+        st.observations(spark, sf_dir), st.station_regions(spark, sf_dir), USED))
+    rows = features.feature_rows(cases, store.weekly.read(), regional=True)
+    bootstrap.write_features(rows, store.features_path)
+    forest = model.train_forest(store.features(is_test=False), **SMALL)
+    model.save_model(forest, spark, store.model_root)
+    return store
+
+
 @query()
 def rf_regional_metrics(spark, sf_dir):
     """A forest on the weather of each region: quality per region."""
-    weekly = regional.regional_weekly(st.observations(spark, sf_dir),
-                                      st.station_regions(spark, sf_dir), USED)
-    rows = features.feature_rows(st.weekly_cases(spark, sf_dir), weekly, regional=True)
-    path = shared_dir(spark, "regional-features")
-    bootstrap.write_features(rows, path)
-    forest = model.train_forest(bootstrap.read_side(spark, path, is_test=False), **SMALL)
-    scored = model.score(forest, bootstrap.read_side(spark, path, is_test=True))
-    return metrics.regression_metrics(scored, keys=("city",))
+    store = _regional_store(spark, sf_dir, st.weekly_cases(spark, sf_dir))
+    return bootstrap.evaluate(store, keys=("city",))
+
+
+@query()
+def rf_regional_forecast(spark, sf_dir):
+    """Weeks without cases forecast per region, from its own weather and last counts."""
+    cases = _cases(spark, sf_dir)
+    return incremental.forecast(_regional_store(spark, sf_dir, cases), cases, regional=True)

@@ -50,6 +50,13 @@ def test_forecast_weeks_also_for_years_without_any_case(spark):
     assert keys.restrict_to_weeks(w, weeks).count() == 2
 
 
+def test_forecast_weeks_per_region(spark):
+    w = weekly(spark, (2024, 1), (2024, 2)).withColumn("city", F.explode(F.array(F.lit("a"), F.lit("b"))))
+    weeks = keys.unmatched_weeks(w, cases(spark, ("a", 2024, 1, 5), ("b", 2024, 2, 5)), ("city",))
+    assert {tuple(r) for r in weeks.collect()} == {("a", 2024, 2), ("b", 2024, 1)}
+    assert keys.restrict_to_weeks(w, weeks, ("city",)).count() == 2
+
+
 def test_latest_key_compares_year_and_week_together(spark):
     reference = cases(spark, ("a", 2023, 50, 1), ("a", 2024, 3, 1))
     candidates = cases(spark, ("a", 2023, 51, 1), ("a", 2024, 3, 1), ("a", 2024, 4, 1), ("a", 2025, 1, 1))
