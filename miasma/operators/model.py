@@ -18,7 +18,8 @@ FOREST = {"numTrees": 100, "maxDepth": 10, "maxBins": 32}
 SPLIT_SEED = 1947
 TEST_PERCENT = 20
 FOREST_SEED = 42
-ROWS_PER_PARTITION = 50_000
+# Partitions of the training rows; part of what makes a seed repeatable, so it does not follow the data.
+TRAIN_PARTITIONS = 32
 
 
 def key_percentile(df: DataFrame, keys=tuple(CASE_KEY), seed: int = SPLIT_SEED) -> Column:
@@ -68,11 +69,10 @@ def feature_lengths(df: DataFrame, vector: str = "features") -> DataFrame:
 def _training_order(df: DataFrame, keys) -> DataFrame:
     """Same rows, same partitions, same order, whatever the layout of the stored table.
 
-    A forest draws its samples per partition, so this is what makes a seed repeatable.
-    Counting a stored table reads file footers only.
+    A forest draws its samples per partition, so a fixed number of partitions is what makes a
+    seed repeatable.
     """
-    parts = -(-max(df.count(), 1) // ROWS_PER_PARTITION)
-    return df.repartition(parts, *keys).sortWithinPartitions(*keys)
+    return df.repartition(TRAIN_PARTITIONS, *keys).sortWithinPartitions(*keys)
 
 
 def train_forest(train: DataFrame, keys=tuple(CASE_KEY), seed: int = FOREST_SEED,

@@ -12,8 +12,6 @@ from miasma.plans.registry import query
 from miasma.session import shared_dir
 
 USED = ["TEMP", "PRCP", "DEWP"]
-# Smaller forests where the query is about the steps around the model.
-SMALL = {"numTrees": 20, "maxDepth": 6}
 
 
 def _by_week(scored, *columns):
@@ -46,7 +44,7 @@ def rf_train_predict(spark, sf_dir):
 def rf_save_load(spark, sf_dir):
     """A stored forest, loaded again: its quality on the stored test set, per region."""
     store, train, _ = _split_features(spark, sf_dir)
-    model.save_model(model.train_forest(train, **SMALL), spark, store.model_root)
+    model.save_model(model.train_forest(train), spark, store.model_root)
     return bootstrap.evaluate(store, keys=("city",))
 
 
@@ -56,10 +54,10 @@ def rf_retrain(spark, sf_dir):
     obs, cases = st.observations(spark, sf_dir), _cases(spark, sf_dir)
     store = bootstrap.Store(spark, shared_dir(spark, "store"))
     early = F.year("DATE") <= 1998
-    before = bootstrap.bootstrap(store, obs.filter(early), cases, USED, **SMALL)
+    before = bootstrap.bootstrap(store, obs.filter(early), cases, USED)
     before = st.stored(spark, before.withColumn("stage", F.lit("first load")), "metrics")
     incremental.merge_daily(store, aggregate.daily_avg(obs.filter(~early), USED), USED)
-    incremental.retrain(store, cases, **SMALL)
+    incremental.retrain(store, cases)
     after = bootstrap.evaluate(store).withColumn("stage", F.lit("retrained"))
     return before.unionByName(after)
 
@@ -69,7 +67,7 @@ def rf_forecast(spark, sf_dir):
     """Forecast of the weather weeks that have no cases."""
     cases = _cases(spark, sf_dir)
     store, train, _ = _split_features(spark, sf_dir, cases)
-    model.save_model(model.train_forest(train, **SMALL), spark, store.model_root)
+    model.save_model(model.train_forest(train), spark, store.model_root)
     return incremental.forecast(store, cases)
 
 
@@ -80,7 +78,7 @@ def rf_scenarios(spark, sf_dir):
     grid = regional.scenario_grid(test, [
         regional.Scenario("as is"), regional.Scenario("warmer", temp_delta=2.0),
         regional.Scenario("wetter", prcp_factor=1.5), regional.Scenario("spreading", case_factor=2.0)])
-    scored = model.score(model.train_forest(train, **SMALL), grid)
+    scored = model.score(model.train_forest(train), grid)
     return scored.groupBy("city", "scenario").agg(
         F.count("*").alias("weeks"), F.avg("prediction").alias("mean_prediction"))
 
@@ -90,7 +88,7 @@ def rf_outbreak(spark, sf_dir):
     """Outbreak weeks told apart by a stored classifier."""
     store, train, test = _split_features(spark, sf_dir)
     level = regional.outbreak_level(train)
-    forest = model.train_outbreak_classifier(regional.flag_outbreaks(train, level), **SMALL)
+    forest = model.train_outbreak_classifier(regional.flag_outbreaks(train, level))
     model.save_model(forest, spark, store.model_root)
     loaded = model.load_model(spark, store.model_root, RandomForestClassificationModel)
     return _by_week(model.detect_outbreak(loaded, regional.flag_outbreaks(test, level)),
@@ -104,7 +102,7 @@ def _regional_store(spark, sf_dir, cases):
         st.observations(spark, sf_dir), st.station_regions(spark, sf_dir), USED))
     rows = features.feature_rows(cases, store.weekly.read(), regional=True)
     bootstrap.write_features(rows, store.features_path)
-    forest = model.train_forest(store.features(is_test=False), **SMALL)
+    forest = model.train_forest(store.features(is_test=False))
     model.save_model(forest, spark, store.model_root)
     return store
 

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from miasma.schema import FLAGS, MEASURES, RAW_COLUMNS, SENTINELS
-from miasma.session import shared_dir, spread
+from miasma.session import shared_dir
 
 # Each FRSHTT digit is one condition on a lineitem row; the texts hold in Spark and DuckDB.
 FLAG_CONDITIONS = {
@@ -55,7 +55,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_partkey")
+    return table(spark, sf_dir, "lineitem")
 
 
 def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:

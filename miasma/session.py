@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 # Settings a job should start with; all are public Spark options.
 RECOMMENDED_CONF = {
@@ -18,30 +17,12 @@ RECOMMENDED_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
-_local_base: str | None = None
+# Used where spark.checkpoint.dir is unset. Without a scheme, so it lies in the cluster's
+# default file system, which all executors share; in a local session that is the local disk.
+DEFAULT_SHARED_DIR = "/tmp/checkpoints"
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder under ``spark.checkpoint.dir``, which every executor can reach.
-
-    Only a local session may go without that setting; it then gets a temporary folder.
-    """
-    global _local_base
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        if _local_base is None:
-            _local_base = tempfile.mkdtemp(prefix="miasma-")
-        base = _local_base
+    """A new folder under ``spark.checkpoint.dir``, which every executor can reach."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or DEFAULT_SHARED_DIR
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deal a scan that has fewer splits than the session has slots out over all slots.
-
-    A large table has more splits than slots and stays as it is; a small one is cheap to move
-    and would leave most of the machine idle. ``keys`` should tell rows apart.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= slots else df.repartition(slots, *keys)

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
-from miasma.operators.joins import broadcast_if_small
 from miasma.operators.keys import new_rows
 
 
@@ -30,7 +29,7 @@ def land_observations(raw: DataFrame, path: str, stations: DataFrame | None = No
     the load. For a few stations ``partition_by=("STATION", "year")`` gives each its own folder.
     """
     if stations is not None:
-        raw = raw.join(broadcast_if_small(stations.select("STATION")), "STATION", "left_semi")
+        raw = raw.join(stations.select("STATION"), "STATION", "left_semi")
     dated = raw.withColumn("year", F.substring(F.trim("DATE"), 1, 4).try_cast("int"))
     order = [*partition_by, *[c for c in ("STATION", "DATE") if c not in partition_by]]
     (dated.repartitionByRange(*order).sortWithinPartitions(*order)

@@ -166,28 +166,12 @@ def test_files_are_merged_once_even_if_a_run_dies(spark, tmp_path, monkeypatch):
     assert (row.avg_TEMP, row.record_count) == (5.0, 3)
 
 
-def test_a_local_session_may_go_without_a_shared_folder(spark, monkeypatch):
+def test_shared_folder_is_the_checkpoint_folder_or_a_path_of_the_default_file_system(spark):
     from miasma import session
 
-    class Conf:
-        def __init__(self, master):
-            self.master = master
+    class Unset:
+        conf = {}
 
-        def get(self, key, default=None):
-            return self.master if key == "spark.master" else default
-
-    class Fake:
-        def __init__(self, master):
-            self.conf = Conf(master)
-
-    assert session.shared_dir(Fake("local[2]"), "x")
-    with pytest.raises(ValueError):
-        session.shared_dir(Fake("yarn"), "x")
-
-
-def test_only_small_key_lists_are_broadcast(spark):
-    from miasma.operators.joins import broadcast_if_small
-
-    keys = spark.range(10)
-    hinted = lambda df: "hint" in df._jdf.queryExecution().logical().toString().lower()
-    assert hinted(broadcast_if_small(keys, 10)) and not hinted(broadcast_if_small(keys, 9))
+    given = spark.conf.get("spark.checkpoint.dir").rstrip("/")
+    assert session.shared_dir(spark, "x").startswith(given + "/x-")
+    assert session.shared_dir(Unset, "x").startswith("/tmp/checkpoints/x-")
