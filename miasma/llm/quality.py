@@ -176,3 +176,16 @@ def classify(docs: DataFrame, weights: np.ndarray, text_col: str = "text") -> Da
             yield replaced(batch, names, [pa.array(score), pa.array((score >= 0.5).astype(np.int32))])
 
     return docs.mapInArrow(run, schema)
+
+
+def select_good(docs: DataFrame, weights: np.ndarray, text_col: str = "text", least: float = 0.5) -> DataFrame:
+    """Rows of ``docs`` that score ``least`` or more, columns unchanged."""
+    model = docs.sparkSession.sparkContext.broadcast(weights)
+    border = np.log(least / (1 - least))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = Words()
+        for batch in slices(batches, text_col):
+            yield batch.filter(pa.array(dot(model.value, texts_of(batch.column(text_col)), words) >= border))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from miasma.llm import quality, rules
+from miasma.llm import bpe, decontaminate, quality, rules, simhash
 from miasma.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def query(sql: str | None = None) -> Callable[[Query], Query]:
@@ -43,3 +46,43 @@ def op8_quality_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = rules.train(docs, table(spark, sf_dir, "labels"))
     return rules.judge(docs, found).select("doc_id", *rules.BASE, "base_failed", "kept")
+
+
+@query()
+def op7_simhash_near_dedup(spark, sf_dir):
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"), width=3, radius=2)
+    return found.select(F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
+                        F.col("component").alias("component_id"))
+
+
+@query(rf"""WITH d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{decontaminate.WORD}') AS w
+  FROM documents), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{decontaminate.WORD}') AS w
+  FROM benchmark), bw AS (
+  SELECT DISTINCT item_id, least(len(w), {decontaminate.WIDTH}) AS k,
+    array_to_string(list_slice(w, i, i + least(len(w), {decontaminate.WIDTH}) - 1), ' ') AS win
+  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), {decontaminate.WIDTH}) + 2)) AS i FROM b WHERE len(w) > 0)),
+widths AS (SELECT DISTINCT k FROM bw), dw AS (
+  SELECT doc_id, k, i, array_to_string(list_slice(w, i, i + k - 1), ' ') AS win
+  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, widths WHERE len(w) >= k)),
+hits AS (SELECT doc_id, i, dw.k AS k, item_id FROM dw JOIN bw ON dw.k = bw.k AND dw.win = bw.win),
+words AS (SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hits) GROUP BY doc_id),
+items AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+  CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+FROM d LEFT JOIN words ON d.doc_id = words.doc_id LEFT JOIN items ON d.doc_id = items.doc_id""")
+def op5_benchmark_decontamination(spark, sf_dir):
+    found = decontaminate.report(decontaminate.scan(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+@query()
+def op10_bpe(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return bpe.encode(docs, TOKENIZER, outputs=("n_tokens", "ids_sha256", "decoded_sha256")).drop("text")

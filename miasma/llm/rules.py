@@ -246,3 +246,9 @@ def judge(docs: DataFrame, rules: list[Rule], text_col: str = "text") -> DataFra
     keep = [c for c in docs.columns if c not in ("base_failed", "kept")]
     return (with_statistics(docs.select(keep), text_col).withColumn("base_failed", base_failed())
             .withColumn("kept", ~F.col("base_failed") & verdict(rules)))
+
+
+def select_good(docs: DataFrame, rules: list[Rule], text_col: str = "text") -> DataFrame:
+    """Rows of ``docs`` that are kept, columns unchanged whatever their names."""
+    rows = docs.select(F.struct(*docs.columns).alias(f"{_T}row"), F.col(text_col).alias(f"{_T}input"))
+    return judge(rows, rules, f"{_T}input").filter("kept").select(f"{_T}row.*")
