@@ -73,7 +73,9 @@ def _hits(docs: DataFrame, windows: DataFrame, widths: list[int], first: bool) -
         offsets.append(offset)
         offset = offset + F.greatest(F.size("words") - w + 1, F.lit(0))
     rows = rows.withColumn("n_words", F.size("words").cast("bigint")).withColumn("keys", F.concat(*keys))
-    places = rows.select("id", "text_hash", "n_words", "words", F.posexplode("keys").alias("place", "key"))
+    # The outer form: Spark guards a plain one by a filter on the array, which it pushes below the
+    # projections, where the hashes would be worked out anew for every window.
+    places = rows.select("id", "text_hash", "n_words", "words", F.posexplode_outer("keys").alias("place", "key"))
     start = F.lit(None).cast("int")
     for w, o in zip(widths, offsets):
         start = F.when((F.col("width") == w) & (F.col("place") >= o)

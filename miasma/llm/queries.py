@@ -55,26 +55,30 @@ def op7_simhash_near_dedup(spark, sf_dir):
                         F.col("component").alias("component_id"))
 
 
-@query(rf"""WITH d AS (
-  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{decontaminate.WORD}') AS w
-  FROM documents), b AS (
-  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{decontaminate.WORD}') AS w
-  FROM benchmark), bw AS (
-  SELECT DISTINCT item_id, least(len(w), {decontaminate.WIDTH}) AS k,
-    array_to_string(list_slice(w, i, i + least(len(w), {decontaminate.WIDTH}) - 1), ' ') AS win
-  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), {decontaminate.WIDTH}) + 2)) AS i FROM b WHERE len(w) > 0)),
-widths AS (SELECT DISTINCT k FROM bw), dw AS (
-  SELECT doc_id, k, i, array_to_string(list_slice(w, i, i + k - 1), ' ') AS win
-  FROM (SELECT doc_id, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM d, widths WHERE len(w) >= k)),
-hits AS (SELECT doc_id, i, dw.k AS k, item_id FROM dw JOIN bw ON dw.k = bw.k AND dw.win = bw.win),
-words AS (SELECT doc_id, count(DISTINCT p) AS n_hit
-  FROM (SELECT doc_id, unnest(range(i, i + k)) AS p FROM hits) GROUP BY doc_id),
+def _sql_words(name: str, key: str) -> str:
+    """Words of a table, and for each the list that starts with it and has up to 13 words."""
+    return rf"""{name}_lists AS (
+  SELECT {key}, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{decontaminate.WORD}') AS w
+  FROM {name}), {name}_words AS (
+  SELECT {key}, unnest(w) AS word, generate_subscripts(w, 1) AS p, len(w) AS n FROM {name}_lists), {name}_runs AS (
+  SELECT {key}, p, n, list(word) OVER (PARTITION BY {key} ORDER BY p
+    ROWS BETWEEN CURRENT ROW AND {decontaminate.WIDTH - 1} FOLLOWING) AS run FROM {name}_words)"""
+
+
+@query(f"""WITH {_sql_words("documents", "doc_id")}, {_sql_words("benchmark", "item_id")}, windows AS (
+  SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, len(run) AS k, array_to_string(run, ' ') AS win
+  FROM benchmark_runs WHERE len(run) = least(n, {decontaminate.WIDTH})),
+hits AS (
+  SELECT doc_id, p, k, item FROM documents_runs JOIN windows
+  ON len(run) >= k AND array_to_string(list_slice(run, 1, k), ' ') = win),
+covered AS (SELECT doc_id, count(DISTINCT q) AS n_hit
+  FROM (SELECT doc_id, unnest(range(p, p + k)) AS q FROM hits) GROUP BY doc_id),
 items AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
-  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+  FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, coalesce(items_sha256, sha256('')) AS items_sha256,
   coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
-FROM d LEFT JOIN words ON d.doc_id = words.doc_id LEFT JOIN items ON d.doc_id = items.doc_id""")
+FROM documents_lists d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)""")
 def op5_benchmark_decontamination(spark, sf_dir):
     found = decontaminate.report(decontaminate.scan(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")))
