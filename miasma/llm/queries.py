@@ -69,8 +69,10 @@ def _sql_words(name: str, key: str) -> str:
   SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, len(run) AS k, array_to_string(run, ' ') AS win
   FROM benchmark_runs WHERE len(run) = least(n, {decontaminate.WIDTH})),
 hits AS (
-  SELECT doc_id, p, k, item FROM documents_runs JOIN windows
-  ON len(run) >= k AND array_to_string(list_slice(run, 1, k), ' ') = win),
+  SELECT doc_id, p, d.k AS k, item
+  FROM (SELECT doc_id, p, k, array_to_string(list_slice(run, 1, k), ' ') AS win
+    FROM documents_runs, (SELECT DISTINCT k FROM windows) WHERE len(run) >= k) d
+  JOIN windows b ON d.k = b.k AND d.win = b.win),
 covered AS (SELECT doc_id, count(DISTINCT q) AS n_hit
   FROM (SELECT doc_id, unnest(range(p, p + k)) AS q FROM hits) GROUP BY doc_id),
 items AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
