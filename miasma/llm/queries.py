@@ -8,13 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from miasma.llm import bpe, decontaminate, quality, rules, simhash
+from miasma.llm import (bpe, decontaminate, html, licenses, lm, quality, reshard, rules, simhash,
+                        warc)
 from miasma.llm.common import held_out
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -92,3 +94,40 @@ def op5_benchmark_decontamination(spark, sf_dir):
 def op10_bpe(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.encode(docs, TOKENIZER, outputs=("n_tokens", "ids_sha256", "decoded_sha256")).drop("text")
+
+
+@query(f"""WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest FROM pages),
+q AS (SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, payload_digest,
+  CASE WHEN payload_bytes >= {warc.MIN_SHARED_BYTES} AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN payload_bytes >= {warc.MIN_SHARED_BYTES} AND page_id <> first THEN first END AS refers_to FROM q""")
+def op1_warc(spark, sf_dir):
+    found = warc.round_trip(table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query()
+def op2_lm_scoring(spark, sf_dir):
+    found = lm.score(table(spark, sf_dir, "documents"), RANKS, public_tokenizers.PATTERN)
+    return found.withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op3_license_scan(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query()
+def op4_html_extraction(spark, sf_dir):
+    return html.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@query()
+def op6_resharding(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    placed = reshard.read_layout(docs, reshard.reshard(docs, shards=8, old_shards=6))
+    return placed.select("doc_id", reshard.row_size(F.col("text")).alias("size"),
+                         F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+                         F.lit("bytes").alias("law"), F.col("_shard").alias("shard"), F.col("_slot").alias("slot"),
+                         F.lit(None).cast("int").alias("grown_shard"))
