@@ -132,10 +132,10 @@ def _file() -> Column:
     return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
 
 
-def _placed(docs: DataFrame) -> DataFrame:
-    """The rows with the file and row they come from."""
-    return docs.select("*", _file().alias("_file"),
-                       F.col("_metadata.row_index").alias("_row"))
+def _placed(docs: DataFrame, columns: list[str]) -> DataFrame:
+    """(_row_of, _file, _row): the columns in a struct, so that none clashes with the names used
+    here, and the file and row they come from."""
+    return docs.select(F.struct(*columns).alias("_row_of"), _file().alias("_file"), F.col("_metadata.row_index").alias("_row"))
 
 
 def _deal(block: pd.DataFrame) -> pd.DataFrame:
@@ -155,7 +155,7 @@ def reshard(docs: DataFrame, shards: int, old_shards: int, text_col: str = "text
     """The new layout, (path, shard, n_rows, moved, rewritten): one row per file. Rewritten files
     are new and lie in the shared folder; the others are the old files, untouched."""
     spark = docs.sparkSession
-    sized = _placed(docs.select(text_col)).select("_file", "_row", row_size(F.col(text_col)).alias("size"))
+    sized = _placed(docs, [text_col]).select("_file", "_row", row_size(F.col("_row_of")[text_col]).alias("size"))
     block = F.floor(F.col("_row") / ROWS_PER_BLOCK)
     sizes = stored(sized.groupBy("_file", block.alias("block")).agg(F.sum("size").alias("size"), F.count("*").alias("n")),
                    "reshard-blocks")
@@ -198,11 +198,7 @@ def _rewrite(docs: DataFrame, sizes: DataFrame, sized: DataFrame, severed: dict[
     dealt = stored(dealt, "reshard-dealt")
     whole = (shares.filter(F.size("parts") == 1)
              .select("_file", F.col("block").alias("_block"), F.col("parts")[0]["target"].alias("_whole")))
-    names = docs.columns
-    # Original columns in one struct, so that none clashes with the names used here.
-    paths = list(severed)
-    cut_docs = _placed(spark.read.schema(docs.schema).parquet(*paths)).select(
-        F.struct(*names).alias("_row_of"), "_file", "_row", at_block.alias("_block"))
+    cut_docs = _placed(spark.read.schema(docs.schema).parquet(*severed), docs.columns).withColumn("_block", at_block)
     placed = (cut_docs.join(whole, ["_file", "_block"], "left").join(dealt, ["_file", "_row"], "left")
               .withColumn("_shard", F.coalesce("_whole", "_shard")))
     known = spark.createDataFrame([(f, home[f]) for f in severed], "_file string, _home int")
@@ -229,6 +225,5 @@ def read_layout(docs: DataFrame, layout: DataFrame) -> DataFrame:
     if not files:
         return docs.select("*", F.lit(0).alias("_shard"), F.lit(0).cast("bigint").alias("_slot")).limit(0)
     known = spark.createDataFrame(starts, "_file string, _shard int, _start bigint")
-    rows = _placed(spark.read.schema(docs.schema).parquet(*[path for path, _, _ in files]))
-    return (rows.join(known, "_file").withColumn("_slot", F.col("_start") + F.col("_row"))
-            .select(*docs.columns, "_shard", "_slot"))
+    rows = _placed(spark.read.schema(docs.schema).parquet(*[path for path, _, _ in files]), docs.columns)
+    return rows.join(known, "_file").select("_row_of.*", "_shard", (F.col("_start") + F.col("_row")).alias("_slot"))

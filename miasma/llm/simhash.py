@@ -81,7 +81,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def _counts(fp: Column, segments: int) -> list[Column]:
     size = 64 // segments
-    return [F.bit_count(F.call_function("shiftrightunsigned", fp, F.lit(s * size)).bitwiseAND((1 << size) - 1))
+    return [F.bit_count(F.call_function("shiftrightunsigned", fp, F.lit(s * size)).bitwiseAND((1 << size) - 1 if size < 64 else -1))
             for s in range(segments)]
 
 
