@@ -373,7 +373,7 @@ def test_resharding_keeps_rows_and_balances_bytes(spark, path):
     draw = np.random.default_rng(8)
     rows = [(i, "é" * int(draw.integers(0, 400))) for i in range(4000)] + [(7, None), (None, "x"), (7, "dup"), (7, "dup")]
     docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("_file", F.lit("a+b")).withColumn("shard", F.lit(1))
-    docs.repartition(7).write.parquet(path)
+    docs.repartition(40).write.parquet(path)
     docs = spark.read.parquet(path)
     layout = reshard.reshard(docs, 8, 3)
     assert layout.filter("rewritten").select("shard").count() <= 8 * 12
