@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from miasma.functions.numeric import number
-from miasma.schema import (COUNTED_MEASURES, FLAGS, NUMERIC_MEASURES, SENTINELS)
+from miasma.schema import COUNTED_MEASURES, FLAGS, NUMERIC_MEASURES, RAW_COLUMNS, SENTINELS
 
 DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
 
@@ -55,8 +55,8 @@ def require_keys(df: DataFrame) -> DataFrame:
 
 
 def clean_records(raw: DataFrame) -> DataFrame:
-    """Raw text records to typed observations with both keys present."""
-    return require_keys(trim_cast(drop_headers(raw)))
+    """Raw text records to typed observations; what ``reject_reason`` names is left out."""
+    return require_keys(trim_cast(raw.filter(rejection(raw).isNull())))
 
 
 def drop_null_rows(df: DataFrame, subset=None) -> DataFrame:
@@ -87,27 +87,48 @@ def decode_flags(df: DataFrame, code: str = "FRSHTT") -> DataFrame:
 
 
 def dedupe_observations(df: DataFrame, keys=("STATION", "DATE")) -> DataFrame:
-    """One row per station and day: of differing copies the smallest in column order.
+    """One row per station and day: of differing copies each measure's smallest reading.
 
-    An aggregate, so copies collapse before the shuffle and the choice does not depend on
-    row order. On a stream a watermark on ``DATE`` bounds the state; a station's day comes
-    out once the watermark has passed it.
+    A missing value never beats a reading. One minimum per column, so that numbers stay in the
+    hash aggregate; the flag code is compared as the number it spells. The choice does not depend
+    on row order. On a stream a watermark on ``DATE`` bounds the state; a station's day comes out
+    once the watermark has passed it.
     """
-    rest = [c for c in df.columns if c not in keys]
-    kept = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("kept"))
-    return kept.select(*keys, "kept.*").select(df.columns)
+    types = dict(df.dtypes)
+
+    def least(c: str) -> Column:
+        if c == "FRSHTT" and types[c] == "string":
+            return F.lpad(F.min(F.col(c).try_cast("int")).cast("string"), len(FLAGS), "0").alias(c)
+        return F.min(c).alias(c)
+
+    kept = df.groupBy(*keys).agg(*[least(c) for c in df.columns if c not in keys])
+    return kept.select(df.columns)
+
+
+def rejection(df: DataFrame) -> Column:
+    """Why a raw record cannot be used, null for a good one.
+
+    A line that ends at its date is short: it has no field behind, not even an empty one.
+    """
+    types = dict(df.dtypes)
+
+    def text(name: str) -> Column:
+        return F.trim(F.col(name).cast("string"))
+
+    station, date = text("STATION"), F.col("DATE")
+    bad_date = parse_date(date).isNull() if types["DATE"] == "string" else F.lit(False)
+    behind = [F.col(c) for c in df.columns[df.columns.index("DATE") + 1:] if c in RAW_COLUMNS]
+    cut = F.coalesce(*[c.cast("string") for c in behind]).isNull() if behind else F.lit(False)
+    return (F.when(station == "STATION", "header")
+            .when(F.col("STATION").isNull() | (station == ""), "no station")
+            .when(date.isNull() | (text("DATE") == ""), "short line")
+            .when(bad_date, "bad date")
+            .when(cut, "short line"))
 
 
 def reject_reason(df: DataFrame) -> DataFrame:
     """Add ``reason``: why a raw record cannot be used, null for a good one."""
-    station, date = F.trim("STATION"), F.col("DATE")
-    reason = (
-        F.when(station == "STATION", "header")
-        .when(F.col("STATION").isNull() | (station == ""), "no station")
-        .when(date.isNull() | (F.trim(date) == ""), "short line")
-        .when(parse_date(date).isNull(), "bad date")
-    )
-    return df.withColumn("reason", reason)
+    return df.withColumn("reason", rejection(df))
 
 
 def reject_report(df: DataFrame) -> DataFrame:

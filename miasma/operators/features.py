@@ -67,8 +67,8 @@ def forecast_features(weekly: DataFrame, lags: DataFrame | None = None,
                       keys=()) -> DataFrame:
     """Feature rows for weeks without cases.
 
-    Lags are 0 unless ``lags`` brings the last known counts, one row per region
-    (see ``last_known_lags``).
+    Lags are 0 unless ``lags`` brings the last known counts: one row per region (see
+    ``last_known_lags``) or one per region and week (see ``as_of_lags``).
     """
     base = weekly.withColumnsRenamed(dict(zip(WEEK_KEY, ["year", "weekofyear"])))
     base = add_seasonal(base.select(
@@ -77,10 +77,31 @@ def forecast_features(weekly: DataFrame, lags: DataFrame | None = None,
     if lags is None:
         base = base.withColumns({n: F.lit(0.0) for n in names})
     else:
-        base = base.join(lags.select(*keys, *names), list(keys), "left")
+        on = [*keys, *[c for c in ("year", "weekofyear") if c in lags.columns]]
+        base = base.join(lags.select(*on, *names), on, "left")
     return finish_features(base)
 
 
+def as_of_lags(weeks: DataFrame, cases: DataFrame, keys=(REGION,)) -> DataFrame:
+    """The (keys, year, weekofyear) of ``weeks`` with the last three counts before each.
+
+    Case rows and wanted weeks lie in one window per region, so a gap week sees the counts before
+    it and none of those after it. A region has one row per week at most.
+    """
+    names = ["lag_cases", "lag_cases_2", "lag_cases_3"]
+    on = [*keys, "year", "weekofyear"]
+    past = Window.partitionBy(*keys).orderBy("year", "weekofyear")
+    known = cases.select(*on, F.col("total_cases").cast("double").alias("last"),
+                         *[F.lag("total_cases", k).over(past).cast("double").alias(f"last_{k + 1}") for k in (1, 2)])
+    known = known.select(*on, F.struct("last", "last_2", "last_3").alias("counts"), F.lit(False).alias("wanted"))
+    wanted = weeks.select(*[F.col(c).cast(cases.schema[c].dataType).alias(c) for c in on],
+                          F.lit(None).cast(known.schema["counts"].dataType).alias("counts"), F.lit(True).alias("wanted"))
+    before = past.rowsBetween(Window.unboundedPreceding, -1)
+    seen = F.last("counts", ignorenulls=True).over(before)
+    return (known.unionByName(wanted).withColumn("counts", seen).filter("wanted")
+            .select(*on, *[F.col(f"counts.{c}").alias(n) for c, n in zip(("last", "last_2", "last_3"), names)]))
+
+
 def last_known_lags(cases: DataFrame, key: str = REGION) -> DataFrame:
     """Per region its three latest counts, as the lags of the first week to come."""
     latest = Window.partitionBy(key).orderBy(F.desc("year"), F.desc("weekofyear"))

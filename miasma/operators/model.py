@@ -109,9 +109,10 @@ def train_outbreak_classifier(train: DataFrame, keys=tuple(CASE_KEY), seed: int
 
 def detect_outbreak(model: RandomForestClassificationModel, rows: DataFrame,
                     features=FEATURES) -> DataFrame:
-    """Add ``outbreak_probability`` and ``predicted_outbreak``."""
+    """Add ``outbreak_probability`` and ``predicted_outbreak``. A forest that has seen no outbreak
+    knows one class only and gives 0 for the other."""
     scored = model.transform(assemble(rows, features))
-    return (scored.withColumn("outbreak_probability", vector_to_array("probability")[1])
+    return (scored.withColumn("outbreak_probability", F.coalesce(F.get(vector_to_array("probability"), F.lit(1)), F.lit(0.0)))
             .withColumn("predicted_outbreak", F.col("prediction").cast("int"))
             .drop("features", "rawPrediction", "probability", "prediction"))
 

@@ -15,7 +15,10 @@ def _escaped(tag: Column) -> Column:
 
 def prediction_points(predictions: DataFrame, predicted: str = "prediction",
                       region: str | None = None) -> DataFrame:
-    """``predicted_cases`` points: tag year, fields week and prediction, time of the week's start."""
+    """``predicted_cases`` points: tag year, fields week and prediction, time of the week's start.
+
+    A row without a prediction makes no point; ``without_value`` counts them.
+    """
     start = week_start_date(F.col("year"), F.col("weekofyear"))
     tags = [F.lit("predicted_cases")]
     if region:
@@ -24,21 +27,34 @@ def prediction_points(predictions: DataFrame, predicted: str = "prediction",
     fields = F.concat(
         F.lit("weekofyear="), F.col("weekofyear").cast("int").cast("string"), F.lit("i,"),
         F.lit("predicted_cases="), F.col(predicted).cast("double").cast("string"))
-    return predictions.select(F.concat_ws(
+    usable = predictions.filter(F.col(predicted).isNotNull())
+    return usable.select(F.concat_ws(
         " ", F.concat_ws(",", *tags), fields, epoch_nanos(start).cast("string")).alias("line"))
 
 
-def accuracy_points(metrics: DataFrame, run_nanos: int, keep=(), digits: int | None = None) -> DataFrame:
+def without_value(rows: DataFrame, *columns: str) -> DataFrame:
+    """Number of rows that make no point because one of the columns is null, as one row."""
+    missing = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(True)) for c in columns], F.lit(False))
+    return rows.agg(F.count_if(missing).alias("left_out"))
+
+
+def accuracy_points(metrics: DataFrame, run_nanos: int, keep=(), digits: int | None = None,
+                    region: str | None = None) -> DataFrame:
     """``model_accuracy`` points of a metric table, stamped with the run's time.
 
-    ``keep`` names columns to carry along; ``digits`` fixes the number of decimals.
+    ``region`` names the column that tells the rows apart: as a tag, so that points of one run do
+    not overwrite each other. ``keep`` names columns to carry along; ``digits`` fixes the number
+    of decimals. A row without both metrics makes no point; ``without_value`` counts them.
     """
     def shown(c: str) -> Column:
         return F.format_string(f"%.{digits}f", c) if digits is not None else F.col(c).cast("string")
 
     fields = F.concat(F.lit("accuracy="), shown("accuracy"), F.lit(",mape="), shown("mape"))
-    return metrics.select(*keep, F.concat_ws(
-        " ", F.lit("model_accuracy"), fields, F.lit(str(run_nanos))).alias("line"))
+    name = F.lit("model_accuracy")
+    if region:
+        name = F.concat(F.lit("model_accuracy,region="), _escaped(F.coalesce(F.col(region), F.lit("all"))))
+    usable = metrics.filter(F.col("accuracy").isNotNull() & F.col("mape").isNotNull())
+    return usable.select(*keep, F.concat_ws(" ", name, fields, F.lit(str(run_nanos))).alias("line"))
 
 
 def percent_text(value: Column) -> Column:

@@ -7,8 +7,8 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
+from miasma.functions.calendar import week_start_date
 from miasma.operators.aggregate import weekly_avg, weighted_merge
 from miasma.operators.features import REGION, add_interaction
 from miasma.schema import MEASURES, WEEK_KEY
@@ -79,28 +79,43 @@ def outbreak_level(cases: DataFrame, sigmas: float = 1.0) -> DataFrame:
 
 
 def flag_outbreaks(rows: DataFrame, level: DataFrame) -> DataFrame:
-    """Add ``threshold`` and the 0/1 flag ``outbreak``."""
-    joined = rows.join(level, REGION)
+    """Add ``threshold`` and the 0/1 flag ``outbreak``.
+
+    Regions without a threshold (fewer than two weeks of history) are left out: nothing can be
+    said of them, and a null label would stop a training; ``unflagged`` counts their rows.
+    """
+    joined = rows.join(level.filter(F.col("threshold").isNotNull()), REGION)
     return joined.withColumn("outbreak", (F.col("total_cases") > F.col("threshold")).cast("int"))
 
 
+def unflagged(rows: DataFrame, level: DataFrame) -> DataFrame:
+    """Rows per region that ``flag_outbreaks`` leaves out."""
+    known = level.filter(F.col("threshold").isNotNull()).select(REGION)
+    return rows.join(known, REGION, "left_anti").groupBy(REGION).agg(F.count("*").alias("left_out"))
+
+
 def outbreak_flag(cases: DataFrame, sigmas: float = 1.0) -> DataFrame:
     """Flag the weeks of a case table by its own regional levels."""
     return flag_outbreaks(cases, outbreak_level(cases, sigmas))
 
 
-def seasonal_naive(cases: DataFrame, season: int = 52) -> DataFrame:
-    """Forecast a week by the count ``season`` rows earlier in its region.
+def seasonal_naive(cases: DataFrame) -> DataFrame:
+    """Forecast a week by the count of the same week a year before in its region.
 
-    One row per region and week, so a window is as long as the calendar at most.
+    Found by key, not by counting rows back, so missing weeks and years with week 53 shift
+    nothing. Null where that week has no count.
     """
-    history = Window.partitionBy(REGION).orderBy("year", "weekofyear")
-    return cases.withColumn("prediction", F.lag("total_cases", season).over(history).cast("double"))
+    before = cases.select(REGION, (F.col("year") + 1).cast(cases.schema["year"].dataType).alias("year"),
+                          "weekofyear", F.col("total_cases").cast("double").alias("prediction"))
+    return cases.join(before, [REGION, "year", "weekofyear"], "left").select(*cases.columns, "prediction")
 
 
 def trend_forecast(cases: DataFrame, horizon: int = 4) -> DataFrame:
-    """Line fitted to each region's counts and its value ``horizon`` weeks after the last one."""
-    t = (F.col("year") * 52 + F.col("weekofyear")).cast("double")
+    """Line fitted to each region's counts and its value ``horizon`` weeks after the last one.
+
+    Time is the date of the week's start in weeks since 1970, so no two weeks share a point.
+    """
+    t = F.unix_date(week_start_date(F.col("year"), F.col("weekofyear"))) / F.lit(7.0)
     y = F.col("total_cases").cast("double")
     fitted = cases.groupBy(REGION).agg(
         F.regr_slope(y, t).alias("slope"), F.regr_intercept(y, t).alias("intercept"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from miasma.operators.aggregate import empty_weekly, weekly_upsert
-from miasma.operators.features import REGION, feature_rows, forecast_features, last_known_lags
+from miasma.operators.features import REGION, as_of_lags, feature_rows, forecast_features
 from miasma.operators.keys import new_rows, restrict_to_weeks, unmatched_weeks
 from miasma.operators.model import load_model, prediction_table, save_model, score, train_forest
 from miasma.plans.bootstrap import Store, write_features
@@ -62,11 +62,12 @@ def forecast(store: Store, cases: DataFrame, regional: bool = False) -> DataFram
     """Predict every weather week that no case row covers; stored and returned.
 
     With ``regional`` the weekly table holds the weather of each region: a region's weeks are
-    compared with its own cases, and its last known counts serve as lags.
+    compared with its own cases, and its last counts before each week serve as lags.
     """
     weekly, keys = store.weekly.read(), (REGION,) if regional else ()
     wanted = restrict_to_weeks(weekly, unmatched_weeks(weekly, cases, keys), keys)
-    rows = forecast_features(wanted, last_known_lags(cases) if regional else None, keys)
+    weeks = unmatched_weeks(weekly, cases, keys)
+    rows = forecast_features(wanted, as_of_lags(weeks, cases, keys) if regional else None, keys)
     model = load_model(store.spark, store.model_root)
     store.predictions.replace(prediction_table(score(model, rows), keys))
     return store.predictions.read()

@@ -9,7 +9,7 @@ from miasma.operators import aggregate, align, clean
 from miasma.plans import bootstrap, incremental
 from miasma.plans import standins as st
 from miasma.plans.registry import query
-from miasma.schema import FLAGS, NUMERIC_MEASURES, RAW_COLUMNS, SENTINELS, WEEK_KEY
+from miasma.schema import FLAGS, MEASURES, NUMERIC_MEASURES, RAW_COLUMNS, SENTINELS, WEEK_KEY
 from miasma.session import shared_dir
 from miasma.sinks import tables
 from miasma.sources import files, payload
@@ -212,12 +212,11 @@ def sentinel_to_null(spark, sf_dir):
 _KEPT = ["TEMP", "PRCP", "DEWP", "SLP", "GUST"]
 
 
-@query(f"""WITH {OBS} SELECT "STATION", CAST("DATE" AS VARCHAR) AS "DATE", {", ".join(f'"{m}"' for m in _KEPT)}
-  FROM obs QUALIFY row_number() OVER (PARTITION BY "STATION", obs."DATE"
-    ORDER BY {", ".join(f'"{m}" NULLS FIRST' for m in _KEPT)}) = 1""")
+@query(f"""WITH {OBS} SELECT "STATION", CAST("DATE" AS VARCHAR) AS "DATE", {", ".join(f'min("{m}") AS "{m}"' for m in MEASURES)}
+  FROM obs GROUP BY "STATION", obs."DATE" """)
 def dedupe_obs(spark, sf_dir):
-    """One row per station and day."""
-    obs = st.observations(spark, sf_dir).select("STATION", "DATE", *_KEPT)
+    """One row per station and day: each measure's smallest reading, whatever copies lack it."""
+    obs = st.observations(spark, sf_dir).select("STATION", "DATE", *MEASURES)
     return clean.dedupe_observations(obs).withColumn("DATE", F.col("DATE").cast("string"))
 
 

@@ -286,14 +286,15 @@ def prediction_points(spark, sf_dir):
 
 
 @query(f"""WITH {CASES}, {_NAIVE}, m AS ({_METRICS_SQL} FROM naive GROUP BY city)
-  SELECT city, 'model_accuracy accuracy=' || printf('%.4f', accuracy) || ',mape=' || printf('%.4f', mape)
+  SELECT city, 'model_accuracy,region=' || replace(city, ' ', '\\ ') || ' accuracy=' || printf('%.4f', accuracy) || ',mape=' || printf('%.4f', mape)
     || ' 1700000000000000000' AS line, printf('%.2f', mape) || '%' AS mape_text FROM m""")
 def accuracy_points(spark, sf_dir):
     """Quality per region as points at a given run time, and as reported text."""
     scored = metrics.regression_metrics(_naive(spark, sf_dir), keys=("city",))
     fixed = _rounded(scored, _METRICS)
     text = fixed.withColumn("mape_text", points.percent_text(F.col("mape")))
-    return points.accuracy_points(text, 1_700_000_000_000_000_000, keep=("city", "mape_text"), digits=4)
+    return points.accuracy_points(text, 1_700_000_000_000_000_000, keep=("city", "mape_text"), digits=4,
+                                  region="city")
 
 
 # ---- regions ----
@@ -366,14 +367,15 @@ def outbreak_flag(spark, sf_dir):
     return _rounded(regional.outbreak_flag(st.weekly_cases(spark, sf_dir)), {"threshold": 6})
 
 
-@query(f"""WITH {CASES} SELECT *, lag(total_cases, 52) OVER (PARTITION BY city ORDER BY year, weekofyear)::DOUBLE
-    AS prediction FROM cases""")
+@query(f"""WITH {CASES} SELECT now.*, ago.total_cases::DOUBLE AS prediction FROM cases now LEFT JOIN cases ago
+    ON ago.city = now.city AND ago.year = now.year - 1 AND ago.weekofyear = now.weekofyear""")
 def seasonal_naive(spark, sf_dir):
-    """The count of a year before as forecast."""
+    """The count of the same week a year before as forecast."""
     return regional.seasonal_naive(st.weekly_cases(spark, sf_dir))
 
 
-@query(f"""WITH {CASES}, t AS (SELECT city, (year * 52 + weekofyear)::DOUBLE AS t, total_cases::DOUBLE AS y FROM cases),
+@query(f"""WITH {CASES}, t AS (SELECT city,
+    (make_date(year, 1, 1) + (weekofyear - 1) * 7 - DATE '1970-01-01') / 7.0::DOUBLE AS t, total_cases::DOUBLE AS y FROM cases),
   fit AS (SELECT city, regr_slope(y, t) AS slope, regr_intercept(y, t) AS intercept, max(t) AS last_t FROM t GROUP BY city)
   SELECT city, round(slope, 8) + 0.0 AS slope, round(intercept, 4) + 0.0 AS intercept,
     round(intercept + slope * (last_t + 4), 6) + 0.0 AS forecast FROM fit""")
@@ -383,8 +385,8 @@ def trend_forecast(spark, sf_dir):
     return _rounded(fitted, {"slope": 8, "intercept": 4, "forecast": 6})
 
 
-@query(f"""WITH {OBS}, d AS (SELECT DISTINCT ON ("STATION", "DATE") "STATION", "DATE", "Weather_Year", "Weather_Week",
-    "TEMP", "PRCP" FROM obs ORDER BY "STATION", obs."DATE", "TEMP" NULLS FIRST, "PRCP" NULLS FIRST)
+@query(f"""WITH {OBS}, d AS (SELECT "Weather_Year", "Weather_Week", min("TEMP") AS "TEMP", min("PRCP") AS "PRCP"
+    FROM obs GROUP BY "STATION", obs."DATE", "Weather_Year", "Weather_Week")
   SELECT "Weather_Year", "Weather_Week", count(*) AS record_count, avg("TEMP") AS "avg_TEMP", avg("PRCP") AS "avg_PRCP"
   FROM d GROUP BY "Weather_Year", "Weather_Week" """)
 def weekly_avg_deduped(spark, sf_dir):

@@ -100,9 +100,10 @@ class VersionedTable:
 
 
 def append_new(incoming: DataFrame, path: str, keys) -> None:
-    """Append the rows whose key the table does not hold yet, so a repeated run adds nothing."""
+    """Append the rows whose key the table does not hold yet, so a repeated run adds nothing.
+    A key that a delivery repeats is stored once."""
     spark = incoming.sparkSession
-    new_rows(incoming, spark.read.parquet(path), keys).write.mode("append").parquet(path)
+    new_rows(incoming.dropDuplicates(list(keys)), spark.read.parquet(path), keys).write.mode("append").parquet(path)
 
 
 def append_ledger(files: DataFrame, path: str) -> None:

@@ -116,8 +116,8 @@ def test_outbreak_and_baselines(spark):
     df = cases(spark, *[("a", 2024, w, 1) for w in range(1, 10)], ("a", 2024, 10, 50), ("b", 2024, 1, 7), ("b", 2024, 2, 7))
     flagged = {(r.city, r.weekofyear) for r in regional.outbreak_flag(df).filter("outbreak = 1").collect()}
     assert flagged == {("a", 10)}
-    naive = regional.seasonal_naive(df, season=9).filter("prediction IS NOT NULL").collect()
-    assert [(r.weekofyear, r.prediction) for r in naive] == [(10, 1.0)]
+    naive = regional.seasonal_naive(df.unionByName(cases(spark, ("a", 2025, 10, 3))))
+    assert [(r.year, r.weekofyear, r.prediction) for r in naive.filter("prediction IS NOT NULL").collect()] == [(2025, 10, 50.0)]
     line = cases(spark, *[("a", 2024, w, 2 * w) for w in range(1, 9)])
     row = regional.trend_forecast(line, horizon=4).first()
     assert row.slope == pytest.approx(2.0) and row.forecast == pytest.approx(24.0)
