@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from miasma.functions.numeric import from_log, to_log
 from miasma.schema import CASE_KEY, FEATURES, LABEL
-from miasma.sinks.tables import VersionLog
+from miasma.sinks.tables import VersionLog, new_attempt
 
 # Forest size, split seed and share.
 FOREST = {"numTrees": 100, "maxDepth": 10, "maxBins": 32}
@@ -119,11 +119,11 @@ def detect_outbreak(model: RandomForestClassificationModel, rows: DataFrame,
 
 def save_model(model, spark: SparkSession, root: str) -> str:
     """Store a model as the next version; the one in force stays until this one is complete."""
-    log = VersionLog(spark, root)
+    log, attempt = VersionLog(spark, root), new_attempt()
     version = log.following()
-    model.write().overwrite().save(log.path(version))
-    log.commit(version)
-    return log.path(version)
+    model.write().save(log.path(version, attempt))
+    log.commit(version, attempt)
+    return log.path(version, attempt)
 
 
 def load_model(spark: SparkSession, root: str, kind=RandomForestRegressionModel):

@@ -3,55 +3,62 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from miasma.operators.aggregate import weekly_avg
-from miasma.operators.features import feature_rows
+from miasma.operators.features import REGION, feature_rows
 from miasma.operators.metrics import regression_metrics
+from miasma.operators.regional import regional_weekly
 from miasma.operators.model import hash_split, load_model, save_model, score, train_forest
-from miasma.schema import MEASURES
+from miasma.schema import CASE_KEY, MEASURES, WEEK_KEY
 from miasma.sinks.tables import VersionedTable
 from miasma.sources.files import read_ledger
 
 
 class Store:
-    """Where the tables of one deployment live, below one root."""
+    """Where the tables of one deployment live, below one root.
 
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.weekly = VersionedTable(spark, f"{root}/weekly")
-        self.predictions = VersionedTable(spark, f"{root}/predictions", ("year",))
-        self.features_path = f"{root}/features"
+    ``regional``: weather is kept per region, so weeks and training rows have the region as a key
+    in every step. The store knows this; the steps ask it.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, regional: bool = False):
+        self.spark, self.regional = spark, regional
+        self.keys = (REGION,) if regional else ()
+        self.weekly = VersionedTable(spark, f"{root}/weekly", keys=(*self.keys, *WEEK_KEY))
+        self.predictions = VersionedTable(spark, f"{root}/predictions", ("year",), (*self.keys, "year", "weekofyear"))
+        self.training = VersionedTable(spark, f"{root}/features", ("is_test",), CASE_KEY)
         self.model_root = f"{root}/model"
         self.ledger_path = f"{root}/merged-files"
 
     def merged_files(self) -> DataFrame:
         """Files that went into the committed versions of the weekly table."""
-        last = self.weekly.log.latest()
-        return read_ledger(self.spark, self.ledger_path, -1 if last is None else last)
+        return read_ledger(self.spark, self.ledger_path, self.weekly.log.committed())
 
     def features(self, is_test: bool) -> DataFrame:
-        return read_side(self.spark, self.features_path, is_test)
-
-
-def write_features(rows: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """Both sides of the split in one pass."""
-    hash_split(rows).write.mode(mode).partitionBy("is_test").parquet(path)
+        """Training or test rows; the side is a folder (named by text), so only that one is read."""
+        rows = self.training.read()
+        return rows.filter(rows.is_test == str(is_test).lower()).drop("is_test")
 
+    def put_features(self, rows: DataFrame) -> int:
+        """Store rows of both sides in one pass: a key that is stored is replaced, the side of a
+        key never changes."""
+        return self.training.upsert(hash_split(rows).withColumn("is_test", F.col("is_test").cast("string")))
 
-def read_side(spark: SparkSession, path: str, is_test: bool) -> DataFrame:
-    """Training or test rows; the side is a folder (named by text), so only that one is read."""
-    rows = spark.read.parquet(path)
-    return rows.filter(rows.is_test == str(is_test).lower()).drop("is_test")
+    def feature_rows(self, cases: DataFrame) -> DataFrame:
+        return feature_rows(cases, self.weekly.read(), regional=self.regional)
 
 
 def bootstrap(store: Store, obs: DataFrame, cases: DataFrame, measures=MEASURES,
-              **forest_size) -> DataFrame:
+              station_regions: DataFrame | None = None, **forest_size) -> DataFrame:
     """Build everything from history; returns the test-set metrics.
 
-    The observations are read once: later steps start from the stored weekly means.
+    The observations are read once: later steps start from the stored weekly means. A regional
+    store needs ``station_regions`` (STATION, city).
     """
-    store.weekly.replace(weekly_avg(obs, measures))
-    write_features(feature_rows(cases, store.weekly.read()), store.features_path)
+    store.weekly.replace(regional_weekly(obs, station_regions, measures) if store.regional
+                         else weekly_avg(obs, measures))
+    store.put_features(store.feature_rows(cases))
     model = train_forest(store.features(is_test=False), **forest_size)
     save_model(model, store.spark, store.model_root)
     return evaluate(store)

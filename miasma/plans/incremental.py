@@ -6,68 +6,81 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from miasma.operators.aggregate import empty_weekly, weekly_upsert
-from miasma.operators.features import REGION, as_of_lags, feature_rows, forecast_features
-from miasma.operators.keys import new_rows, restrict_to_weeks, unmatched_weeks
+from miasma.operators.features import as_of_lags, forecast_features
+from miasma.operators.keys import restrict_to_weeks, unmatched_weeks
 from miasma.operators.model import load_model, prediction_table, save_model, score, train_forest
-from miasma.plans.bootstrap import Store, write_features
-from miasma.schema import CASE_KEY, MEASURES
+from miasma.plans.bootstrap import Store
+from miasma.schema import MEASURES
+from miasma.sinks.tables import new_attempt
 from miasma.sources.files import (list_files, new_files, read_table, rows_of_files,
                                   years_of_files)
 
 
-def merge_daily(store: Store, daily: DataFrame, measures=MEASURES) -> None:
-    """All new daily means into the weekly table, all years in one job."""
-    store.weekly.replace(weekly_upsert(store.weekly.read(), daily, measures=measures))
+def merge_daily(store: Store, daily: DataFrame, delivery: str, measures=MEASURES) -> int | None:
+    """Merge daily means that carry a delivery's name; returns the version.
+
+    The name is committed with the version, so the same delivery counts once, however often it
+    comes.
+    """
+    table, stream = store.weekly, f"delivery:{delivery}"
+    if table.log.holds(stream, 0):
+        return None
+    return table.replace(weekly_upsert(table.read(), daily, table.keys, measures), stream, 0)
 
 
 def merge_new_files(store: Store, daily_root: str, measures=MEASURES) -> int | None:
     """Merge the files of a daily table that no earlier run has merged; returns the version.
 
-    The list of merged files is written before the version it belongs to is committed, and
-    only lists of committed versions count. A run that dies in between is simply repeated, so
-    a file is merged exactly once.
+    The list of merged files is written before the version it belongs to is committed, in a folder
+    of the same attempt, and only lists of committed attempts count. A run that dies in between
+    is simply repeated, so a file is merged exactly once; of two runs at a time one fails.
     """
-    spark, log = store.spark, store.weekly.log
+    spark, table = store.spark, store.weekly
     fresh = new_files(list_files(spark, daily_root), store.merged_files())
     if fresh.isEmpty():
         return None
-    last, version = log.latest(), log.following()
-    fresh.select("path").write.mode("overwrite").parquet(f"{store.ledger_path}/version={version}")
-    fresh = spark.read.parquet(f"{store.ledger_path}/version={version}")
+    last, attempt = table.log.latest(), new_attempt()
+    ledger = f"{store.ledger_path}/attempt={attempt}"
+    fresh.select("path").write.parquet(ledger)
+    fresh = spark.read.parquet(ledger)
     # A handful of years at most; as literals they prune the scan to the folders that changed.
     years = [r.year for r in years_of_files(fresh).collect()]
     touched = read_table(spark, daily_root).filter(F.col("Weather_Year").isin(years))
     incoming = rows_of_files(touched, fresh)
-    existing = empty_weekly(spark, measures) if last is None else store.weekly.read(last)
-    store.weekly.write(weekly_upsert(existing, incoming, measures=measures), version)
+    existing = empty_weekly(spark, measures, table.keys) if last is None else table.read(last)
+    version = 0 if last is None else last + 1
+    table.write(weekly_upsert(existing, incoming, table.keys, measures), version, attempt)
     return version
 
 
 def retrain(store: Store, cases: DataFrame, **forest_size):
-    """Add weeks that have gained weather or cases, then train one model on all of them.
+    """Bring the training rows up to date, then train one model on all of them.
 
-    Weeks already stored are left alone, so a second run changes nothing, and the split by
-    key keeps test weeks out of the training rows.
+    All weeks with weather and cases are worked out again from the stored weekly means, which the
+    calendar bounds, and replace the rows of their keys: late readings and corrected counts reach
+    stored rows. The split by key keeps test weeks out of the training rows for ever.
     """
-    rows = feature_rows(cases, store.weekly.read())
-    stored = store.spark.read.parquet(store.features_path)
-    write_features(new_rows(rows, stored, CASE_KEY).select(*stored.drop("is_test").columns),
-                   store.features_path, mode="append")
+    store.put_features(store.feature_rows(cases))
     model = train_forest(store.features(is_test=False), **forest_size)
     save_model(model, store.spark, store.model_root)
     return model
 
 
-def forecast(store: Store, cases: DataFrame, regional: bool = False) -> DataFrame:
-    """Predict every weather week that no case row covers; stored and returned.
+def forecast_rows(store: Store, cases: DataFrame) -> DataFrame:
+    """Feature rows of every weather week that no case row covers.
 
-    With ``regional`` the weekly table holds the weather of each region: a region's weeks are
-    compared with its own cases, and its last counts before each week serve as lags.
+    In a regional store a region's weeks are compared with its own cases, and its last counts
+    before each week serve as lags. A store without regions takes the cases of one place.
     """
-    weekly, keys = store.weekly.read(), (REGION,) if regional else ()
-    wanted = restrict_to_weeks(weekly, unmatched_weeks(weekly, cases, keys), keys)
+    weekly, keys = store.weekly.read(), store.keys
     weeks = unmatched_weeks(weekly, cases, keys)
-    rows = forecast_features(wanted, as_of_lags(weeks, cases, keys) if regional else None, keys)
+    wanted = restrict_to_weeks(weekly, weeks, keys)
+    return forecast_features(wanted, as_of_lags(weeks, cases, keys) if keys else None, keys)
+
+
+def forecast(store: Store, cases: DataFrame) -> DataFrame:
+    """Predict the weeks of ``forecast_rows``; stored and returned."""
+    rows, keys = forecast_rows(store, cases), store.keys
     model = load_model(store.spark, store.model_root)
     store.predictions.replace(prediction_table(score(model, rows), keys))
     return store.predictions.read()

@@ -9,7 +9,7 @@ from miasma.operators import aggregate, features, keys, metrics, model, points,
 from miasma.operators.clean import dedupe_observations
 from miasma.plans import standins as st
 from miasma.plans.registry import query
-from miasma.schema import CASE_KEY, FEATURES, MEASURES, WEEK_KEY
+from miasma.schema import CASE_KEY, FEATURES, MEASURES, WEEK_KEY, sum_columns
 from miasma.session import shared_dir
 from miasma.sinks import tables
 
@@ -82,7 +82,8 @@ def log_transform(spark, sf_dir):
 @query(f'WITH {OBS}, {WEEKLY} SELECT * FROM weekly')
 def weekly_avg(spark, sf_dir):
     """All 16 means per week."""
-    return _weekly(spark, sf_dir, MEASURES)
+    weekly = _weekly(spark, sf_dir, MEASURES)
+    return weekly.drop(*sum_columns(MEASURES))
 
 
 _DAILY = f"""SELECT "Weather_Year", "Weather_Week", CAST("DATE" AS VARCHAR) AS "DATE",
@@ -103,7 +104,8 @@ def daily_avg_count(spark, sf_dir):
 def weighted_merge(spark, sf_dir):
     """Weekly means made from daily means, equal to the means of all readings."""
     daily = aggregate.daily_avg(st.observations(spark, sf_dir), USED)
-    return _rounded(aggregate.weighted_merge(daily, measures=USED), {f"avg_{m}": 8 for m in USED})
+    merged = aggregate.weighted_merge(daily, measures=USED).drop(*sum_columns(USED))
+    return _rounded(merged, {f"avg_{m}": 8 for m in USED})
 
 
 # ---- features ----
@@ -131,32 +133,36 @@ def feature_join_inner(spark, sf_dir):
 _LEFT = f"""joined AS (SELECT city, CAST(year AS DOUBLE) AS year, CAST(weekofyear AS DOUBLE) AS weekofyear,
     total_cases, coalesce("avg_TEMP", 0) AS "avg_TEMP", coalesce("avg_PRCP", 0) AS "avg_PRCP",
     record_count IS NOT NULL AS has_weather
-  FROM cases LEFT JOIN weekly ON year = "Weather_Year" AND weekofyear = "Weather_Week" AND "avg_TEMP" > 25.5)"""
+  FROM cases LEFT JOIN weekly ON year = "Weather_Year" AND weekofyear = "Weather_Week")"""
 _LEFT_ALL = f"{OBS}, {WEEKLY}, {CASES}, {_LEFT}"
 
 
 def _left(spark, sf_dir):
-    """Cases against warm weeks only, so that both sides of the split have rows."""
-    warm = _weekly(spark, sf_dir).filter("avg_TEMP > 25.5")
-    return features.feature_rows(st.weekly_cases(spark, sf_dir), warm, how="left")
+    return features.feature_rows(st.weekly_cases(spark, sf_dir), _weekly(spark, sf_dir), how="left")
 
 
 @query(f"WITH {_LEFT_ALL} SELECT * FROM joined")
 def feature_join_left(spark, sf_dir):
-    """All case weeks, with the weather of warm weeks."""
+    """All case weeks, with the weather of those that have any."""
     return _left(spark, sf_dir).select(
         "city", "year", "weekofyear", "total_cases", "avg_TEMP", "avg_PRCP", "has_weather")
 
 
-@query(f"""WITH {_LEFT_ALL} SELECT city, CASE WHEN has_weather THEN 'matched' ELSE 'unmatched' END AS side,
-    count(*) AS n, CAST(sum(total_cases) AS BIGINT) AS total_cases FROM joined GROUP BY ALL""")
+@query(f"""WITH {OBS}, {CASES}, place AS (SELECT lpad(CAST(s_suppkey AS VARCHAR), 11, '0') AS "STATION", r_name AS city
+    FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+  weeks AS (SELECT city, "Weather_Year" AS year, "Weather_Week" AS weekofyear, count(*) AS record_count
+    FROM obs JOIN place USING ("STATION") GROUP BY ALL)
+  SELECT city, CASE WHEN total_cases IS NULL THEN 'unmatched' ELSE 'matched' END AS side, count(*) AS n,
+    CAST(sum(record_count) AS BIGINT) AS record_count
+  FROM weeks LEFT JOIN cases USING (city, year, weekofyear) GROUP BY ALL""")
 def matched_unmatched_split(spark, sf_dir):
-    """Case weeks with and without weather, counted per region."""
-    matched, unmatched = keys.split_matched(st.stored(spark, _left(spark, sf_dir), "joined"))
-    both = (matched.withColumn("side", F.lit("matched"))
-            .unionByName(unmatched.withColumn("side", F.lit("unmatched"))))
-    return both.groupBy("city", "side").agg(F.count("*").alias("n"),
-                                            F.sum("total_cases").alias("total_cases"))
+    """Weather weeks with and without cases, counted per region: a natural gap."""
+    weekly = regional.regional_weekly(st.observations(spark, sf_dir), st.station_regions(spark, sf_dir), ["TEMP"])
+    weeks = weekly.withColumnsRenamed(dict(zip(WEEK_KEY, ["year", "weekofyear"])))
+    known = st.weekly_cases(spark, sf_dir).select(*CASE_KEY, F.lit(True).alias("known"))
+    side = F.when(F.col("known"), "matched").otherwise("unmatched")
+    return (weeks.join(known, CASE_KEY, "left").groupBy("city", side.alias("side"))
+            .agg(F.count("*").alias("n"), F.sum("record_count").alias("record_count")))
 
 
 _UNMATCHED = """unmatched AS (SELECT DISTINCT "Weather_Year" AS year, "Weather_Week" AS weekofyear

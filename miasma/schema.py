@@ -54,9 +54,14 @@ def count_columns(measures=MEASURES) -> list[str]:
     return [f"n_{m}" for m in measures]
 
 
+def sum_columns(measures=MEASURES) -> list[str]:
+    return [f"s_{m}" for m in measures]
+
+
 def weekly_ddl(measures=MEASURES, keys: str = "") -> str:
-    """DDL of the weekly table: keys, rows per week, mean and reading count per measure."""
+    """DDL of the weekly table: keys, rows per week; mean, reading count and sum per measure."""
     head = (keys + ", " if keys else "") + "Weather_Year INT, Weather_Week INT, record_count BIGINT"
     means = ", ".join(f"{c} DOUBLE" for c in avg_columns(measures))
     counts = ", ".join(f"{c} BIGINT" for c in count_columns(measures))
-    return f"{head}, {means}, {counts}"
+    sums = ", ".join(f"{c} DOUBLE" for c in sum_columns(measures))
+    return f"{head}, {means}, {counts}, {sums}"

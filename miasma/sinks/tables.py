@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from miasma.operators.keys import new_rows
+from miasma.schema import WEEK_KEY
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by=("Weather_Year",),
@@ -36,29 +40,48 @@ def land_observations(raw: DataFrame, path: str, stations: DataFrame | None = No
      .write.partitionBy(*partition_by).parquet(path))
 
 
+class ConcurrentWrite(RuntimeError):
+    """Another writer committed the same version first; nothing of this attempt counts."""
+
+
 class VersionLog:
-    """Numbered folders below a root. A version counts once its number is in ``_versions``;
-    readers take the highest, so a job that dies leaves the last version in force."""
+    """Numbered versions below a root, each attempt in a folder of its own.
+
+    A version counts once a row in ``_versions`` names its attempt; readers take the highest, so
+    a job that dies leaves the last version in force. Of two attempts at one number the first to
+    commit wins and the other fails; neither overwrites the other's folder. A commit may carry the
+    stream and batch it holds, so that a replay is told from news.
+    """
+
+    SCHEMA = "version BIGINT, attempt STRING, at BIGINT, stream STRING, batch BIGINT"
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark, self.root = spark, root.rstrip("/")
 
-    def path(self, version: int) -> str:
-        return f"{self.root}/version={version}"
+    def path(self, version: int, attempt: str | None = None) -> str:
+        """Folder of an attempt at a version, of the committed one by default."""
+        if attempt is None:
+            row = self.committed().filter(F.col("version") == version).first()
+            attempt = row.attempt if row else None
+        return f"{self.root}/version={version}-{attempt}"
 
     def committed(self) -> DataFrame:
+        """One row per version: the attempt that counts."""
         try:
-            return self.spark.read.schema("version BIGINT").parquet(f"{self.root}/_versions")
+            rows = self.spark.read.schema(self.SCHEMA).parquet(f"{self.root}/_versions")
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], "version BIGINT")
+            return self.spark.createDataFrame([], self.SCHEMA)
+        first = rows.groupBy("version").agg(F.min(F.struct("at", "attempt", "stream", "batch")).alias("first"))
+        return first.select("version", "first.attempt", "first.at", "first.stream", "first.batch")
+
+    def latest(self) -> int | None:
+        return self.committed().agg(F.max("version")).first()[0]
 
-    def latest(self, before: int | None = None) -> int | None:
-        seen = self.committed()
-        if before is not None:
-            seen = seen.filter(F.col("version") < before)
-        return seen.agg(F.max("version")).first()[0]
+    def holds(self, stream: str, batch: int) -> bool:
+        """Whether a committed version holds this batch of this stream."""
+        return not self.committed().filter((F.col("stream") == stream) & (F.col("batch") == batch)).isEmpty()
 
     def following(self) -> int:
         last = self.latest()
@@ -70,34 +93,51 @@ class VersionLog:
             raise ValueError(f"nothing written yet: {self.root}")
         return self.path(last)
 
-    def commit(self, version: int) -> None:
-        (self.spark.range(version, version + 1, 1, 1).toDF("version")
-         .write.mode("append").parquet(f"{self.root}/_versions"))
+    def commit(self, version: int, attempt: str, stream: str | None = None, batch: int | None = None) -> None:
+        row = [(version, attempt, time.time_ns(), stream, batch)]
+        self.spark.createDataFrame(row, self.SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.root}/_versions")
+        if self.path(version) != self.path(version, attempt):
+            raise ConcurrentWrite(f"version {version} of {self.root} was committed by another writer")
+
+
+def new_attempt() -> str:
+    return uuid.uuid4().hex[:12]
 
 
 class VersionedTable:
     """A table that is replaced as a whole, each time in a new folder; no input is overwritten.
 
-    Meant for tables whose size the calendar bounds, such as weekly means.
+    Meant for tables whose size the calendar bounds, such as weekly means. ``keys`` name a row;
+    every step that merges rows takes them from here.
     """
 
-    def __init__(self, spark: SparkSession, root: str, partition_by=("Weather_Year",)):
-        self.spark, self.log, self.partition_by = spark, VersionLog(spark, root), list(partition_by)
+    def __init__(self, spark: SparkSession, root: str, partition_by=("Weather_Year",), keys=tuple(WEEK_KEY)):
+        self.spark, self.log = spark, VersionLog(spark, root)
+        self.partition_by, self.keys = list(partition_by), list(keys)
 
     def read(self, version: int | None = None) -> DataFrame:
         path = self.log.latest_path() if version is None else self.log.path(version)
         return self.spark.read.parquet(path)
 
-    def write(self, df: DataFrame, version: int) -> None:
-        """Write and commit a version; leftovers of an attempt that never committed go."""
-        write_partitioned(df, self.log.path(version), self.partition_by, mode="overwrite")
-        self.log.commit(version)
+    def write(self, df: DataFrame, version: int, attempt: str | None = None, stream: str | None = None,
+              batch: int | None = None) -> None:
+        """Write and commit a version; fails if another writer was first."""
+        attempt = attempt or new_attempt()
+        write_partitioned(df, self.log.path(version, attempt), self.partition_by)
+        self.log.commit(version, attempt, stream, batch)
 
-    def replace(self, df: DataFrame) -> int:
+    def replace(self, df: DataFrame, stream: str | None = None, batch: int | None = None) -> int:
         version = self.log.following()
-        self.write(df, version)
+        self.write(df, version, None, stream, batch)
         return version
 
+    def upsert(self, rows: DataFrame) -> int:
+        """Next version: ``rows``, and the stored rows whose key is not among them."""
+        if self.log.latest() is None:
+            return self.replace(rows.dropDuplicates(self.keys))
+        kept = new_rows(self.read(), rows, self.keys)
+        return self.replace(rows.dropDuplicates(self.keys).unionByName(kept.select(rows.columns)))
+
 
 def append_new(incoming: DataFrame, path: str, keys) -> None:
     """Append the rows whose key the table does not hold yet, so a repeated run adds nothing.

@@ -64,15 +64,15 @@ def empty_ledger(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], LEDGER_DDL)
 
 
-def read_ledger(spark: SparkSession, path: str, up_to: int) -> DataFrame:
-    """Files merged by versions up to ``up_to`` of a ledger kept as one folder per version."""
+def read_ledger(spark: SparkSession, path: str, committed: DataFrame) -> DataFrame:
+    """Files merged by the committed versions, of a ledger kept as one folder per attempt."""
     try:
-        rows = spark.read.schema("path STRING, version BIGINT").parquet(path)
+        rows = spark.read.schema("path STRING, attempt STRING").parquet(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
         return empty_ledger(spark)
-    return rows.filter(F.col("version") <= up_to)
+    return rows.join(committed.select("attempt"), "attempt", "left_semi")
 
 
 def new_files(listing: DataFrame, ledger: DataFrame) -> DataFrame:

@@ -12,16 +12,17 @@ from miasma.schema import MEASURES
 from miasma.sinks.tables import VersionedTable
 
 
-def upsert_batch(table: VersionedTable, measures=MEASURES) -> Callable[[DataFrame, int], None]:
-    """A ``foreachBatch`` function. The batch number is the version, so a replay is harmless:
-    a committed version is left alone, an unfinished one is made again from its predecessor."""
+def upsert_batch(table: VersionedTable, measures=MEASURES, stream: str = "stream") -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function. Each batch makes the next version of the table, whoever wrote
+    the ones before, and is committed under (stream, batch number): a replay finds that pair and
+    does nothing. ``stream`` must differ between streams that feed one table."""
     def merge(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        if table.log.latest(before=batch_id + 1) == batch_id:
+        if table.log.holds(stream, batch_id):
             return
-        last = table.log.latest(before=batch_id)
-        existing = empty_weekly(spark, measures) if last is None else table.read(last)
-        table.write(weekly_upsert(existing, batch, measures=measures), batch_id)
+        last = table.log.latest()
+        existing = empty_weekly(batch.sparkSession, measures, table.keys) if last is None else table.read(last)
+        merged = weekly_upsert(existing, batch, table.keys, measures)
+        table.write(merged, 0 if last is None else last + 1, None, stream, batch_id)
 
     return merge
 
@@ -30,9 +31,10 @@ def weekly_upsert_stream(daily: DataFrame, table: VersionedTable, checkpoint: st
                          measures=MEASURES, available_now: bool = False) -> StreamingQuery:
     """Keep the weekly table up to date with a stream of daily means.
 
-    The checkpoint remembers which files were merged; each one counts once.
+    The checkpoint remembers which files were merged; each one counts once. Its path names the
+    stream, so a stream with a new checkpoint starts anew beside what the table holds.
     """
-    writer = (daily.writeStream.foreachBatch(upsert_batch(table, measures))
+    writer = (daily.writeStream.foreachBatch(upsert_batch(table, measures, checkpoint.rstrip("/")))
               .option("checkpointLocation", checkpoint))
     if available_now:
         writer = writer.trigger(availableNow=True)

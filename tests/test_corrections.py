@@ -89,3 +89,59 @@ def test_regions_without_threshold_do_not_stop_a_fit_and_one_class_scores_zero(s
 def test_week_starts(spark, year, week, day):
     from miasma.functions.calendar import week_start_date
     assert str(spark.range(1).select(week_start_date(F.lit(year), F.lit(week))).first()[0]) == day
+
+
+WEEKLY = "Weather_Year int, Weather_Week int, record_count bigint, avg_TEMP double, n_TEMP bigint"
+
+
+def test_a_stream_does_not_mistake_other_versions_for_its_batches(spark, path):
+    from miasma.streaming import upsert
+
+    table = tables.VersionedTable(spark, path)
+    table.replace(spark.createDataFrame([(2024, 1, 2, 1.0, 2)], WEEKLY))
+    news = spark.createDataFrame([(2024, 2, 1, 5.0, 1)], WEEKLY)
+    for stream in ("a", "a", "b"):  # a replay, then another stream with the same batch number
+        upsert.upsert_batch(table, ["TEMP"], stream)(news, 0)
+    assert {r.Weather_Week: r.record_count for r in table.read().collect()} == {1: 2, 2: 2}
+
+
+def test_a_second_writer_of_a_version_fails_and_changes_nothing(spark, path):
+    table = tables.VersionedTable(spark, path)
+    rows = spark.createDataFrame([(2024, 1, 2, 1.0, 2)], WEEKLY)
+    table.write(rows, 0)
+    with pytest.raises(tables.ConcurrentWrite):
+        table.write(rows.withColumn("avg_TEMP", F.lit(9.0)), 0)
+    assert table.log.latest() == 0 and [r.avg_TEMP for r in table.read().collect()] == [1.0]
+
+
+def test_a_regional_table_refuses_deliveries_without_region(spark):
+    from miasma.operators import aggregate
+
+    plain = aggregate.empty_weekly(spark, ["TEMP"])
+    by_region = aggregate.empty_weekly(spark, ["TEMP"], ("city", "Weather_Year", "Weather_Week"))
+    for table, delivery, keys in ((by_region, plain, ("city", "Weather_Year", "Weather_Week")),
+                                  (plain, by_region, ("Weather_Year", "Weather_Week"))):
+        with pytest.raises(ValueError, match="keys"):
+            aggregate.weekly_upsert(table, delivery, keys, ["TEMP"])
+
+
+def test_merging_keeps_sums_exact(spark):
+    from miasma.operators import aggregate
+
+    values = [0.1 * i for i in range(1, 40)]
+    obs = spark.createDataFrame([("2024-01-01", v) for v in values], "DATE string, TEMP double").withColumn("DATE", F.col("DATE").cast("date"))
+    daily = aggregate.daily_avg(obs.coalesce(1), ["TEMP"])
+    again = aggregate.weighted_merge(daily, measures=["TEMP"]).first()
+    assert again.s_TEMP == daily.first().s_TEMP and again.avg_TEMP == daily.first().avg_TEMP
+
+
+def test_plain_means_take_one_exchange(spark):
+    from miasma.plans import standins
+
+    import os
+    if not os.path.isdir("/root/testdata/sf0.001"):
+        pytest.skip("no test tables")
+    from miasma.operators import aggregate
+    weekly = aggregate.weekly_avg(standins.observations(spark, "/root/testdata/sf0.001"), ["TEMP"])
+    plan = weekly._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1

@@ -64,14 +64,14 @@ def test_load_train_merge_retrain_forecast(spark, data, path):
     first = bootstrap.bootstrap(store, days.filter(early), cases, measures, **SMALL).first()
     assert first.n > 0 and first.rmse < 10
 
-    before = spark.read.parquet(store.features_path).count()
-    incremental.merge_daily(store, daily_avg(days.filter(~early), measures), measures)
+    before = store.training.read().count()
+    incremental.merge_daily(store, daily_avg(days.filter(~early), measures), "late", measures)
     incremental.retrain(store, cases, **SMALL)
-    stored = spark.read.parquet(store.features_path)
+    stored = store.training.read()
     assert stored.count() > before
     assert stored.count() == stored.select("year", "weekofyear").distinct().count()
     incremental.retrain(store, cases, **SMALL)
-    assert spark.read.parquet(store.features_path).count() == stored.count()
+    assert store.training.read().count() == stored.count()
 
     train, test = store.features(False), store.features(True)
     assert train.join(test, ["city", "year", "weekofyear"], "left_semi").isEmpty()

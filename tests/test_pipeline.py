@@ -54,9 +54,9 @@ def test_records_to_forecast(spark, tmp_path):
 
     weekly = store.weekly.read().filter("Weather_Year = 2024")
     assert weekly.agg({"record_count": "sum"}).first()[0] == 60 - 7
-    before = spark.read.parquet(store.features_path).count()
+    before = store.training.read().count()
     incremental.retrain(store, cases, **SMALL)
-    assert spark.read.parquet(store.features_path).count() == before + 4
+    assert store.training.read().count() == before + 4
     assert bootstrap.evaluate(store).first().n >= quality.n
 
     forecast = incremental.forecast(store, cases)
