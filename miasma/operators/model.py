@@ -19,7 +19,7 @@ SPLIT_SEED = 1947
 TEST_PERCENT = 20
 FOREST_SEED = 42
 # Partitions of the training rows; part of what makes a seed repeatable, so it does not follow the data.
-TRAIN_PARTITIONS = 32
+TRAIN_PARTITIONS = 16
 
 
 def key_percentile(df: DataFrame, keys=tuple(CASE_KEY), seed: int = SPLIT_SEED) -> Column:
