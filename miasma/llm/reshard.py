@@ -184,9 +184,9 @@ def _rewrite(docs: DataFrame, sizes: DataFrame, sized: DataFrame, severed: dict[
                                   "_file string, start bigint, end bigint, target int")
     # Running bytes within a file: as many rows as it has blocks.
     before = Window.partitionBy("_file").orderBy("block").rowsBetween(Window.unboundedPreceding, 0)
-    blocks = (sizes.join(parts.select("_file").distinct(), "_file", "left_semi")
+    blocks = (sizes.join(F.broadcast(parts.select("_file").distinct()), "_file", "left_semi")
               .withColumn("to", F.sum("size").over(before)).withColumn("from", F.col("to") - F.col("size")))
-    shares = (blocks.join(parts, "_file").filter("from < end AND to > start")
+    shares = (blocks.join(F.broadcast(parts), "_file").filter("from < end AND to > start")
               .withColumn("share", F.least("to", "end") - F.greatest("from", "start"))
               .groupBy("_file", "block").agg(F.sort_array(F.collect_list(F.struct("target", "share"))).alias("parts")))
     shares = stored(shares, "reshard-shares")
@@ -199,11 +199,12 @@ def _rewrite(docs: DataFrame, sizes: DataFrame, sized: DataFrame, severed: dict[
     whole = (shares.filter(F.size("parts") == 1)
              .select("_file", F.col("block").alias("_block"), F.col("parts")[0]["target"].alias("_whole")))
     cut_docs = _placed(spark.read.schema(docs.schema).parquet(*severed), docs.columns).withColumn("_block", at_block)
-    placed = (cut_docs.join(whole, ["_file", "_block"], "left").join(dealt, ["_file", "_row"], "left")
+    # At most ROWS_PER_BLOCK rows for each border, and one row per cut file.
+    placed = (cut_docs.join(whole, ["_file", "_block"], "left").join(F.broadcast(dealt), ["_file", "_row"], "left")
               .withColumn("_shard", F.coalesce("_whole", "_shard")))
     known = spark.createDataFrame([(f, home[f]) for f in severed], "_file string, _home int")
     root, folder = shared_dir(spark, "resharded"), "_from_to"
-    (placed.join(known, "_file").select("_row_of.*", F.concat_ws("-", "_home", "_shard").alias(folder))
+    (placed.join(F.broadcast(known), "_file").select("_row_of.*", F.concat_ws("-", "_home", "_shard").alias(folder))
      .write.partitionBy(folder).parquet(root))
     written = spark.read.schema(docs.schema).parquet(root).select(_file().alias("path"))
     out = []
@@ -226,4 +227,6 @@ def read_layout(docs: DataFrame, layout: DataFrame) -> DataFrame:
         return docs.select("*", F.lit(0).alias("_shard"), F.lit(0).cast("bigint").alias("_slot")).limit(0)
     known = spark.createDataFrame(starts, "_file string, _shard int, _start bigint")
     rows = _placed(spark.read.schema(docs.schema).parquet(*[path for path, _, _ in files]), docs.columns)
-    return rows.join(known, "_file").select("_row_of.*", "_shard", (F.col("_start") + F.col("_row")).alias("_slot"))
+    # One row per file, which the driver lists for any scan; without the hint all texts would be
+    # shuffled, for Spark does not know how short the list is.
+    return rows.join(F.broadcast(known), "_file").select("_row_of.*", "_shard", (F.col("_start") + F.col("_row")).alias("_slot"))
