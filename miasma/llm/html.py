@@ -34,6 +34,7 @@ RAW = frozenset("script style textarea title xmp iframe noembed noframes".split(
 BLOCKS = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt
     fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol
     optgroup option p pre section summary table tbody td tfoot th thead tr ul""".split())
+MENUS = frozenset("ul ol dl table p".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 NEVER_TEXT = frozenset("""script style noscript template head title meta link nav footer aside form button
     select option textarea input label iframe object embed applet svg math canvas audio video map menu dialog
@@ -44,7 +45,11 @@ UNLIKELY = frozenset("""ad ads adv advert adverts advertisement advertising spon
     subscribe subscription signup login register social share sharing sharebar related recommended
     recommendations trending popular comment comments commentlist disqus reply replies respond responses
     widget widgets toolbar pagination pager skip skiplink search searchbox copyright legal tags tagcloud
-    topbar bottombar outbrain taboola""".split())
+    topbar bottombar outbrain taboola discussion feedback disclaimer paywall toast teaser teasers""".split())
+# Stems that say the same inside a longer word.
+STEMS = ("comment", "sidebar", "advert", "cookie", "newsletter", "breadcrumb", "masthead", "navbar", "subscri")
+# What an article element may still be: someone's comment, or a pointer to another article.
+NO_ARTICLE = frozenset("comment comments reply replies ad ads advert promo sponsored related recommended teaser".split())
 UNLIKELY_ROLES = frozenset("""navigation banner contentinfo complementary search dialog alertdialog alert menu
     menubar toolbar tablist form""".split())
 LAYOUT = frozenset("with has no".split())
@@ -62,6 +67,7 @@ _TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<![^>]*+>|<\?[^>]*+>
     |<(/?)([a-zA-Z][a-zA-Z0-9:_-]*+)((?>[^>"']++|"[^"]*+"|'[^']*+')*+)>
     |<(/?)([a-zA-Z][a-zA-Z0-9:_-]*+)([^>]*+)>""", re.S | re.X)
 _ATTRIBUTE = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+))?""", re.I)
+_SELF_CLOSED = re.compile(r"""(?:^|[\s"'])/$""")  # not <a href=/>
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
@@ -100,7 +106,7 @@ def parse(page: str) -> Node:
                     end = re.compile(rf"</{name}(?=[\s/>]|\Z)", re.I).search(page, at)
                     close = page.find(">", end.start()) if end else -1
                     at = close + 1 if close >= 0 else size
-                elif name not in VOID and not attributes.endswith("/"):
+                elif name not in VOID and not _SELF_CLOSED.search(attributes):
                     node = child
         token = _TOKEN.search(page, at)
     return root
@@ -148,7 +154,7 @@ def unlikely(node: Node, inside: bool) -> bool:
     tag = node.tag
     if tag in NEVER_TEXT:
         return True
-    if tag in ("html", "body", "article", "main", "#root"):
+    if tag in ("html", "body", "main", "#root"):
         return False
     if tag == "header":
         return not inside
@@ -161,19 +167,39 @@ def unlikely(node: Node, inside: bool) -> bool:
         return True
     for name in f"{names.get('class', '')} {names.get('id', '')}".split():
         words = {w.lower() for w in _NAME.findall(name)}
+        if tag == "article":
+            if words & NO_ARTICLE:
+                return True
+            continue
         # "with-sidebar" is a page's layout, not its side bar.
-        if not words & LAYOUT and (words & UNLIKELY or ("header" in words and not inside)):
+        if not words & LAYOUT and (words & UNLIKELY or any(s in name.lower() for s in STEMS)
+                                   or ("header" in words and not inside)):
             return True
     return False
 
 
+def _is_menu(node: Node) -> bool:
+    """Three links or more that make up nearly all of its text."""
+    length = linked = links = depth = 0
+    for part, _, entering in _walk(node):
+        if isinstance(part, str):
+            size = len("".join(part.split()))
+            length += size
+            linked += size if depth else 0
+        elif part.tag == "a":
+            depth += 1 if entering else -1
+            links += entering
+    return links >= 3 and linked >= 0.8 * length
+
+
 def prune(root: Node) -> None:
     """Take away what is never part of an article."""
     todo = [(root, False)]
     while todo:
         node, inside = todo.pop()
         inside = inside or node.tag in ("article", "main")
-        node.children = [c for c in node.children if isinstance(c, str) or not unlikely(c, inside)]
+        node.children = [c for c in node.children if isinstance(c, str) or not (
+            unlikely(c, inside) or (not inside and c.tag in MENUS and _is_menu(c)))]
         todo += [(c, inside) for c in node.children if isinstance(c, Node)]
 
 
