@@ -46,6 +46,40 @@ def typed_csv_scan(spark, sf_dir):
     return _station_totals(clean.sentinel_to_null(clean.clean_records(raw)))
 
 
+@query("""SELECT lpad(CAST(l_suppkey AS VARCHAR), 11, '0') AS file_station, CAST(year(l_shipdate) AS INTEGER) AS file_year,
+    count(*) AS n, count(*) AS own_station, sum(l_quantity) AS sum_temp FROM lineitem GROUP BY ALL""")
+def csv_tree_scan(spark, sf_dir):
+    """Raw records as a tree of ``<station>-<year>/<station>.csv`` files, station and year read from the
+    path. The tree's folders are made of whole groups: one station of one year each."""
+    path = shared_dir(spark, "tree")
+    raw = st.raw_observations(spark, sf_dir)
+    folder = F.concat_ws("-", "STATION", F.substring("DATE", 1, 4))
+    (raw.withColumn("folder", folder).repartition("folder").write.partitionBy("folder")
+     .option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    tree = files.read_observation_tree(spark, path)
+    station = F.regexp_extract(F.col("_metadata.file_path"), r"folder=([^/-]+)-", 1)
+    typed = clean.trim_cast(tree.withColumn("file_station", station))
+    return (typed.groupBy("file_station", "file_year")
+            .agg(F.count("*").alias("n"), F.count_if(F.col("STATION") == F.col("file_station")).alias("own_station"),
+                 F.sum("TEMP").alias("sum_temp")))
+
+
+@query("""SELECT CAST(year(l_shipdate) AS INTEGER) AS year, count(*) AS n, sum(l_quantity) AS sum_temp
+  FROM lineitem GROUP BY year(l_shipdate)""")
+def land_new_files(spark, sf_dir):
+    """Two deliveries of CSV files landed as they come, and a run without news: each file once."""
+    feed, path = shared_dir(spark, "feed"), shared_dir(spark, "landing")
+    raw = st.raw_observations(spark, sf_dir)
+    rainy = F.substring("FRSHTT", 2, 1) == "1"
+    for part in (raw.filter(rainy), raw.filter(~rainy)):
+        part.write.mode("append").option("header", True).option("ignoreLeadingWhiteSpace", False).option(
+            "ignoreTrailingWhiteSpace", False).csv(feed)
+        tables.land_new_files(spark, feed, path, lambda paths: files.read_observation_csv(spark, paths))
+    tables.land_new_files(spark, feed, path, lambda paths: files.read_observation_csv(spark, paths))
+    rows = clean.trim_cast(tables.landed(spark, path))
+    return rows.groupBy("year").agg(F.count("*").alias("n"), F.sum("TEMP").alias("sum_temp"))
+
+
 @query(f"WITH {CASES} SELECT * FROM cases")
 def case_file_load(spark, sf_dir):
     """Case counts from CSV, landed as Parquet."""

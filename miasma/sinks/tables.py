@@ -11,6 +11,7 @@ from pyspark.sql.utils import AnalysisException
 
 from miasma.operators.keys import new_rows
 from miasma.schema import WEEK_KEY
+from miasma.sources.files import list_files, new_files, read_ledger
 
 
 def write_partitioned(df: DataFrame, path: str, partition_by=("Weather_Year",),
@@ -25,8 +26,9 @@ def write_partitioned(df: DataFrame, path: str, partition_by=("Weather_Year",),
 
 
 def land_observations(raw: DataFrame, path: str, stations: DataFrame | None = None,
-                      partition_by=("year",)) -> None:
-    """Keep raw records by year, each file holding a range of stations.
+                      partition_by=("year",), mode: str = "errorifexists") -> None:
+    """Keep raw records by year, each file holding a range of stations. ``mode="append"`` adds to
+    what is there.
 
     Range partitions make few files per year, let a station's scan skip most of them, and
     split a station that has very many records by date. ``stations`` (column STATION) limits
@@ -37,7 +39,39 @@ def land_observations(raw: DataFrame, path: str, stations: DataFrame | None = No
     dated = raw.withColumn("year", F.substring(F.trim("DATE"), 1, 4).try_cast("int"))
     order = [*partition_by, *[c for c in ("STATION", "DATE") if c not in partition_by]]
     (dated.repartitionByRange(*order).sortWithinPartitions(*order)
-     .write.partitionBy(*partition_by).parquet(path))
+     .write.mode(mode).partitionBy(*partition_by).parquet(path))
+
+
+def land_new_files(spark: SparkSession, source: str, path: str, read, suffix: str = ".csv",
+                   partition_by=("year",)) -> int | None:
+    """Land the files below ``source`` that no earlier run has landed; returns the version.
+
+    ``read`` turns a list of paths into raw records. Each run lands in a folder of its own attempt
+    and is committed with its list of files, so a run that dies is repeated as a whole and no file
+    is landed twice. ``landed`` reads all that counts.
+    """
+    log, ledger = VersionLog(spark, path), f"{path.rstrip('/')}/_files"
+    fresh = new_files(list_files(spark, source, suffix), read_ledger(spark, ledger, log.committed()))
+    paths = [r.path for r in fresh.select("path").collect()]  # the files of one delivery
+    if not paths:
+        return None
+    version, attempt = log.following(), new_attempt()
+    land_observations(read(paths), log.path(version, attempt), partition_by=partition_by)
+    spark.createDataFrame([(p,) for p in paths], "path STRING").write.parquet(f"{ledger}/attempt={attempt}")
+    log.commit(version, attempt)
+    return version
+
+
+def landed(spark: SparkSession, path: str) -> DataFrame:
+    """Everything that ``land_new_files`` has committed, year column included."""
+    log = VersionLog(spark, path)
+    found = None
+    for row in log.committed().orderBy("version").collect():
+        part = spark.read.parquet(log.path(row.version, row.attempt))
+        found = part if found is None else found.unionByName(part)
+    if found is None:
+        raise ValueError(f"nothing landed yet: {path}")
+    return found
 
 
 class ConcurrentWrite(RuntimeError):
