@@ -115,6 +115,7 @@ def test_empty_tables(spark):
     assert rules.train(empty, labels) == [] and rules.judge(empty, []).count() == 0
     assert bpe.encode(empty, queries.TOKENIZER).count() == 0
     assert licenses.scan(empty).count() == 0
+    assert lm.score(empty, queries.RANKS, __import__("public_tokenizers").PATTERN).count() == 0
     assert html.extract(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
     assert warc.round_trip(spark.createDataFrame([], "page_id bigint, url string, html string")).count() == 0
 
@@ -127,15 +128,19 @@ def lower(text):
 
 def brute_hits(text, items, width=13):
     rule = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
-    w, covered, found = rule.findall(lower(text)), set(), set()
+    windows = {}
     for key, item in items:
         iw = rule.findall(lower(item))
         k = min(width, len(iw))
         for i in range(len(iw) - k + 1 if k else 0):
-            for p in range(len(w) - k + 1):
-                if w[p:p + k] == iw[i:i + k]:
-                    covered |= set(range(p, p + k))
-                    found.add("" if key is None else str(key))
+            windows.setdefault(tuple(iw[i:i + k]), set()).add("" if key is None else str(key))
+    w, covered, found = rule.findall(lower(text)), set(), set()
+    for k in {len(x) for x in windows}:
+        for p in range(len(w) - k + 1):
+            hit = windows.get(tuple(w[p:p + k]))
+            if hit:
+                covered |= set(range(p, p + k))
+                found |= hit
     return len(w), len(covered), sorted(found)
 
 
@@ -345,6 +350,10 @@ use cookies</div></div><div class="comments"><p>I disagree, strongly, with, all,
     (PAGE, "Title\n\nFirst para, with commas, and break.\n\nSub\n\nShort.\n\none\n\ntwo\n\na < b & c <tag>"),
     ("<article><h1>T</h1><p><b>One.<br><p>Two</article><footer>f</footer>", "T\n\nOne.\n\nTwo"),
     ("<body><nav><a href=x>a</a></nav><p>One.</p><p>Two, three.</p><form><p>form, text</p></form>", "One.\n\nTwo, three."),
+    ("<main><article class='post'><p>Body, text.</p></article><article class='comment'><p>Mine, too, is, long, enough, to count</p></article>"
+     "<div id='readerComments'><p>No, no, no.</p></div></main>", "Body, text."),
+    ("<ul><li><a href=/>Home</a><li><a href=/a>A</a><li><a href=/b>B</a></ul><div id=content><h1>T</h1><p>One, two.</p><p>Three.</p></div>",
+     "T\n\nOne, two.\n\nThree."),
     ("just text\n here", "just text here"), ("", ""), (None, ""), ("<div>" * 5000 + "x", "x"),
     ("<p>1 < 2 <3 &eacute;&#233;&#x1F600;</p><!-- c --><p title='a>b'>q</p>", "1 < 2 <3 éé😀\n\nq"),
 ])
