@@ -170,7 +170,7 @@ def _best_condition(x: np.ndarray, bad: np.ndarray, cuts: int = 64) -> Condition
 
 
 def learn(x: np.ndarray, bad: np.ndarray, max_rules: int = 12, max_conditions: int = 4,
-          min_precision: float = 0.9, seed: int = 11) -> list[Rule]:
+          min_precision: float = 0.95, seed: int = 11) -> list[Rule]:
     """Ordered rules that cover the rows marked ``bad``. A rule that is not precise enough on the
     rows kept aside for pruning ends the list, so clean rows stay."""
     rules, draw = [], np.random.default_rng(seed)
@@ -251,4 +251,8 @@ def judge(docs: DataFrame, rules: list[Rule], text_col: str = "text") -> DataFra
 def select_good(docs: DataFrame, rules: list[Rule], text_col: str = "text") -> DataFrame:
     """Rows of ``docs`` that are kept, columns unchanged whatever their names."""
     rows = docs.select(F.struct(*docs.columns).alias(f"{_T}row"), F.col(text_col).alias(f"{_T}input"))
-    return judge(rows, rules, f"{_T}input").filter("kept").select(f"{_T}row.*")
+    # Spark would push the filter below the projections that build the statistics and work out the
+    # arrays anew for each of their elements; it moves no filter past a column that depends on
+    # where a row lies.
+    judged = judge(rows, rules, f"{_T}input").withColumn(f"{_T}where", F.spark_partition_id())
+    return judged.filter(F.col("kept") & (F.col(f"{_T}where") >= 0)).select(f"{_T}row.*")
