@@ -40,6 +40,7 @@ from miasma.llm.common import replaced, slices, texts_of
 WORD_RULE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 MAX_KNOWN_WORDS = 300_000
 MAX_NODES = 600_000
+MAX_PAIRS = 500_000
 _END = 256  # a trie key that is no byte
 
 
@@ -69,7 +70,7 @@ class Vocabulary:
             self.merged[pair] = rank
             self.rank.setdefault(made, rank)
             self.parts.setdefault(made, pair)
-        self._beside: dict[tuple[int, int], bool] = {}
+        self.beside = Beside(self)
         self.ending: dict = {}
         # Shorter tokens first: a token belongs in the trie if BPE makes it from its own bytes.
         for i in sorted(self.rank, key=lambda i: self.rank[i]):
@@ -80,6 +81,7 @@ class Vocabulary:
                 node[_END] = i
         self.special_rule = regex.compile("|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) or r"(?!)")
         self.text = self.bytes | {i: s.encode() for s, i in self.special.items()}
+        self.spelt = {i: str(i) for i in self.text}
 
     def _reached(self, token: int) -> bool:
         """The token's last merge is the one BPE makes: no earlier merge reaches over its border."""
@@ -104,14 +106,19 @@ class Vocabulary:
             else:
                 limit, right = b + 0.5, self.parts[right][0]
 
-    def beside(self, left: int, right: int) -> bool:
-        """Whether BPE leaves these two tokens side by side."""
-        known = self._beside.get((left, right))
-        if known is None:
-            known = self._beside[left, right] = self._unmerged(left, right, float("inf"))
-            if len(self._beside) > 2_000_000:
-                self._beside.clear()
-        return known
+
+class Beside(dict):
+    """Whether BPE leaves two tokens side by side, by ``left << 32 | right``; kept once found."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        super().__init__()
+        self.vocabulary = vocabulary
+
+    def __missing__(self, pair: int) -> bool:
+        if len(self) > MAX_PAIRS:
+            self.clear()
+        found = self[pair] = self.vocabulary._unmerged(pair >> 32, pair & 0xFFFFFFFF, float("inf"))
+        return found
 
 
 class Trie:
@@ -146,11 +153,11 @@ class Trie:
     def _state(self, word: bytes, end: int, path: list[int]) -> int:
         """A new node for ``word[:end]``: of the tokens that end there, found by walking
         backwards, the one that BPE leaves beside the last token of what comes before it."""
-        inner, start, token = self.vocabulary.ending, end, self.token
+        inner, start, token, beside = self.vocabulary.ending, end, self.token, self.vocabulary.beside
         while start and (inner := inner.get(word[start - 1])) is not None:
             start -= 1
             found = inner.get(_END)
-            if found is not None and (not start or self.vocabulary.beside(token[path[start]], found)):
+            if found is not None and (not start or beside[token[path[start]] << 32 | found]):
                 token.append(found)
                 self.size.append(end - start)
                 return len(token) - 1
@@ -179,20 +186,23 @@ class Encoder:
     def learn(self, words: set[str]) -> None:
         """Encode words not known yet: number of ids, their spelling, the bytes they decode to, and
         the ids as 32-bit numbers."""
-        special, text = self.vocabulary.special, self.vocabulary.text
+        special, text, spelt = self.vocabulary.special, self.vocabulary.text, self.vocabulary.spelt
+        known, encode = self.known, self.trie.encode
         for w in words:
-            if w not in self.known:
-                ids = [special[w]] if w in special else self.trie.encode(w.encode())
-                self.known[w] = (len(ids), ",".join(map(str, ids)), b"".join([text[i] for i in ids]),
-                                 array("i", ids).tobytes())
+            if w not in known:
+                ids = [special[w]] if w in special else encode(w.encode())
+                known[w] = (len(ids), ",".join([spelt[i] for i in ids]), b"".join([text[i] for i in ids]),
+                            array("i", ids).tobytes())
 
     def batch(self, texts: list[str]) -> Iterator[list[tuple[int, str, bytes, bytes]]]:
         """The known entries of each text's words."""
-        if len(self.known) > MAX_KNOWN_WORDS or len(self.trie.token) > MAX_NODES:
-            self.known.clear()
-            self.trie = Trie(self.vocabulary)
         cut = [self.cut(t) for t in texts]
-        self.learn(set().union(*cut) if cut else set())
+        words = set().union(*cut) if cut else set()
+        if len(self.known) > MAX_KNOWN_WORDS:  # those at hand stay
+            self.known = {w: self.known[w] for w in words if w in self.known}
+        if len(self.trie.token) > MAX_NODES:
+            self.trie = Trie(self.vocabulary)
+        self.learn(words)
         for words in cut:
             yield [self.known[w] for w in words]
 
