@@ -477,3 +477,33 @@ def test_lm_scores_do_not_depend_on_the_batch():
     whole = model.score(np.concatenate(texts), np.array([len(t) for t in texts]), np.concatenate(spans), np.concatenate(known), batch=2)
     single = np.concatenate([model.score(t, np.array([len(t)]), s, c) for t, s, c in zip(texts, spans, known)])
     assert whole == pytest.approx(single, abs=1e-4) and (whole < 0).all()
+
+
+def test_lm_is_fitted_though_the_only_training_text_is_long(spark, path, monkeypatch):
+    fitted = []
+    monkeypatch.setattr(lm.Attention, "fit", lambda self, inputs, targets: fitted.append(len(targets)))
+    long = " ".join(f"word{i % 90}" for i in range(350_000))
+    assert len(long) > 2 << 20
+    docs = spark.createDataFrame([(i, long if i == 2 else "held out") for i in range(60) if i == 2 or zlib.crc32(str(i).encode()) % 5 == 1],
+                                 "doc_id bigint, text string")
+    assert zlib.crc32(b"2") % 5 != 1
+    docs.write.parquet(path)
+    got = lm.score(spark.read.parquet(path), queries.RANKS, __import__("public_tokenizers").PATTERN).collect()
+    assert fitted == [lm.SAMPLE_CHUNKS * lm.CHUNK] and all(np.isfinite(r.score) and r.score < 0 for r in got)
+
+
+def test_lm_chunks_hold_every_subword_of_the_training_documents(spark, path):
+    odd_docs(spark).repartition(3).write.parquet(path)
+    docs = spark.read.parquet(path)
+    public = __import__("public_tokenizers")
+    file = open(queries.RANKS).read()
+    encoding = lm.tokenizer(file, public.PATTERN)
+    expected = Counter()
+    for r in docs.collect():
+        if r.doc_id is None or zlib.crc32(str(r.doc_id).encode()) % 5 != 1:
+            expected.update([*(i for w in words(r.text) for i in encoding.encode_ordinary(" " + w.decode())), encoding.n_vocab])
+    got = Counter()
+    rows = lm._blocks(docs, "doc_id", "text")
+    for r in lm._chunks(rows, spark.sparkContext.broadcast(file), public.PATTERN, encoding.n_vocab).collect():
+        got.update(np.frombuffer(r.ids, np.int32)[1:].tolist())
+    assert got == expected
