@@ -507,3 +507,29 @@ def test_lm_chunks_hold_every_subword_of_the_training_documents(spark, path):
     for r in lm._chunks(rows, spark.sparkContext.broadcast(file), public.PATTERN, encoding.n_vocab).collect():
         got.update(np.frombuffer(r.ids, np.int32)[1:].tolist())
     assert got == expected
+
+
+def test_lm_learns_from_training_documents_beyond_the_sample(spark, path, monkeypatch):
+    monkeypatch.setattr(lm, "SAMPLE_CHUNKS", 1)
+    monkeypatch.setattr(lm.Attention, "fit", lambda self, inputs, targets: None)
+    learned, whole = [], lm._learned
+
+    def watched(chunks, model):
+        before = {k: v.copy() for k, v in model.net.p.items()}
+        sizes = [len(np.frombuffer(r.ids, np.int32)) - 1 for r in chunks.collect()]
+        table = lm._neighbours(chunks, counts := model_counts(chunks))
+        model = whole(chunks, model)
+        learned.append((sum(sizes), table, counts, any((before[k] != v).any() for k, v in model.net.p.items())))
+        return model
+
+    def model_counts(chunks):
+        return np.bincount(np.concatenate([np.frombuffer(r.ids, np.int32)[1:] for r in chunks.collect()]), minlength=60_000)
+
+    monkeypatch.setattr(lm, "_learned", watched)
+    rows = [(i, " ".join(f"w{(i * 7 + k) % 50}" for k in range(900))) for i in range(40)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3).write.parquet(path)
+    lm.score(spark.read.parquet(path), queries.RANKS, __import__("public_tokenizers").PATTERN).count()
+    (subwords, table, counts, moved), = learned
+    assert subwords > 2 * lm.CHUNK and counts.sum() == subwords and moved
+    # All subwords are frequent here, so each stands once before and once after another.
+    assert (counts > 0).sum() <= lm.AROUND and table.sum() == 2 * subwords
