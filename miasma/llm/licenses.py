@@ -6,18 +6,24 @@ zstandard raw dictionary; templates are ranked by the share of bytes saved. The
 hold up word by word: the exact differences between its wording and the block's are worked out, and
 the block counts as that license only if few words differ. The differences are part of the result.
 
-Candidates are lines that mention what licenses speak of; the block for a template starts at such
-a line and runs over as many lines as the template's words need. Lines are found in Catalyst
-expressions, so only documents with a candidate reach Python. One pass, no shuffle.
-
-Defined cases: null and empty texts give no row; a line inside a block already confirmed starts no
-block of its own; equal savings are broken by fewer differences, then by name; documents that
-repeat give their rows each; input columns beside id and text are ignored.
+Candidates are cues, words that licenses speak of. The block for a template is the span of words
+around a cue that aligns with the template at the fewest differences, wherever it begins and ends
+within a line and over however many lines it runs; words before and behind it count for nothing.
+Cues are found in Catalyst expressions, so only documents with one reach Python. One pass, no
+shuffle.
+
+Defined cases: null and empty texts give no row; a cue inside a block already confirmed starts no
+block of its own; of several templates that hold up at a cue the one with most words in common
+counts, then by savings, fewer differences and name; documents that repeat give their rows each;
+input columns beside id and text are ignored. Case and punctuation are not compared.
 """
 
 from __future__ import annotations
 
 import re
+from array import array
+from bisect import bisect_right
+from collections import Counter
 from collections.abc import Iterator
 from difflib import SequenceMatcher
 from functools import cached_property
@@ -85,10 +91,12 @@ def words(text: str) -> list[str]:
 class Template:
     def __init__(self, name: str, text: str):
         self.name, self.text, self.words = name, text, words(text)
+        self.counts, self.limit = Counter(self.words), int(MAX_DIFFERENT * len(self.words))
+        self.reach = len(self.words) + self.limit
 
     @cached_property
     def compressor(self) -> zstandard.ZstdCompressor:
-        known = zstandard.ZstdCompressionDict(self.text.encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        known = zstandard.ZstdCompressionDict(" ".join(self.words).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         return _compressor(known)
 
 
@@ -110,44 +118,79 @@ def differences(block: list[str], template: list[str]) -> list[str]:
     return out
 
 
+def aligned(template: list[str], region: list[str], at: int, limit: int) -> tuple[int, int] | None:
+    """The span of ``region`` over word ``at`` that differs from the template by the fewest words
+    left out or put in, at most ``limit``."""
+    cost, start = [0] * (len(region) + 1), list(range(len(region) + 1))
+    for i, word in enumerate(template, 1):
+        above, from_above = cost, start
+        cost, start = [i], [0]
+        for j, other in enumerate(region, 1):
+            if word == other:
+                cost.append(above[j - 1])
+                start.append(from_above[j - 1])
+            elif above[j] <= cost[j - 1]:
+                cost.append(above[j] + 1)
+                start.append(from_above[j])
+            else:
+                cost.append(cost[j - 1] + 1)
+                start.append(start[j - 1])
+    found = [(c, j - b, b, j) for j, (c, b) in enumerate(zip(cost, start)) if c <= limit and b <= at < j]
+    return min(found)[2:] if found else None
+
+
 class Scanner:
     def __init__(self, source: dict[str, list[str]] = TEMPLATES):
         self.templates, self.plain, self.cue = templates(source), _compressor(), re.compile(CUE)
 
     def scan(self, text: str) -> Iterator[tuple[int, int, str, str, int, int, float, list[str]]]:
         """(line, lines, license, block, plain bytes, conditional bytes, share saved, differences)."""
-        lines = text.split("\n")
-        after = 0
-        for at, line in enumerate(lines):
-            if at < after or not self.cue.search(line):
+        starts, ends = array("Q"), array("Q")
+        for m in _WORD.finditer(text):
+            starts.append(m.start())
+            ends.append(m.end())
+        after, line, counted, last = 0, 0, 0, -1
+        for cue in self.cue.finditer(text):
+            at = bisect_right(ends, cue.start())
+            if at < after or at == last or at == len(starts):
                 continue
-            found = self._best(lines, at)
+            last = at
+            found = self._best(text, starts, ends, at, after)
             if found:
-                after = at + found[0]
-                yield at, *found
-
-    def _best(self, lines: list[str], at: int) -> tuple | None:
-        """The template that saves most and holds up in its wording, with its block."""
-        ranked, plain = [], {}
+                first, after, *rest = found
+                begin, end = starts[first], ends[after - 1]
+                line, counted = line + text.count("\n", counted, begin), begin
+                while end < len(text) and not (text[end].isalnum() or text[end].isspace()):
+                    end += 1
+                block = text[begin:end]
+                yield line, block.count("\n") + 1, rest[0], " ".join(block.split()), *rest[1:]
+
+    def _best(self, text: str, starts: array, ends: array, at: int, after: int) -> tuple | None:
+        """The template that holds up in its wording around a cue, with its span of words."""
+        most = max(t.reach for t in self.templates)
+        low = max(after, at - most)
+        near = [text[starts[i]:ends[i]].lower() for i in range(low, min(len(starts), at + most))]
+        seen = set(near)
+        best = key = None
         for t in self.templates:
-            end, n = at, 0
-            while end < len(lines) and (end == at or n < len(t.words)):
-                n += len(words(lines[end]))
-                end += 1
-            block = " ".join(" ".join(lines[at:end]).split())
-            data = block.encode()
-            if data not in plain:
-                plain[data] = len(self.plain.compress(data))
-            given = len(t.compressor.compress(data))
-            ranked.append((1 - given / plain[data], t, end - at, block, plain[data], given))
-        ranked.sort(key=lambda r: (-r[0], r[1].name))
-        best = None
-        for saved, t, n, block, size, given in ranked:
-            if saved < MIN_SAVED or (best and saved < best[5]):
-                break
-            differ = differences(words(block), t.words)
-            if len(differ) <= MAX_DIFFERENT * len(t.words) and (best is None or len(differ) < len(best[6])):
-                best = n, t.name, block, size, given, saved, differ
+            if sum(n for w, n in t.counts.items() if w not in seen) > t.limit:
+                continue
+            shift = max(0, at - low - t.reach)
+            span = aligned(t.words, near[shift:at - low + t.reach], at - low - shift, t.limit)
+            if not span:
+                continue
+            block = near[shift + span[0]:shift + span[1]]
+            differ = differences(block, t.words)
+            if len(differ) > t.limit:
+                continue
+            data = " ".join(block).encode()
+            plain, given = len(self.plain.compress(data)), len(t.compressor.compress(data))
+            saved = 1 - given / plain
+            same = len(t.words) - sum(d[0] == "-" for d in differ)
+            rank = (-same, -saved, len(differ), t.name)
+            if saved >= MIN_SAVED and (key is None or rank < key):
+                key = rank
+                best = low + shift + span[0], low + shift + span[1], t.name, plain, given, saved, differ
         return best
 
 

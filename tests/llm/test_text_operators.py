@@ -335,6 +335,19 @@ def test_licenses_are_told_apart_by_wording(spark):
     assert all(d == [] for d in exact.values())
 
 
+@pytest.mark.parametrize("text,expected", [
+    ("Copyright 2020 Acme Inc. All rights reserved.", [(0, 1, "all-rights-reserved", "All rights reserved.")]),
+    ("One.\nThis article is licensed under CC BY 4.0.", [(1, 1, "CC-BY-4.0", "licensed under CC BY 4.0.")]),
+    ("The project Foo Bar is released under the MIT License.", [(0, 1, "MIT", "released under the MIT License.")]),
+    ("Code is released under the MIT License. Texts are licensed under CC BY 4.0, and that is all there is to say. All rights reserved.",
+     [(0, 1, "MIT", "released under the MIT License."), (0, 1, "CC-BY-4.0", "licensed under CC BY 4.0,"), (0, 1, "all-rights-reserved", "All rights reserved.")]),
+    ("a b c d. Released\nunder the MIT\nLicense. e f g", [(0, 3, "MIT", "Released under the MIT License.")]),
+    ("copyright", []), ("A license, rights reserved by no one.", []),
+])
+def test_licenses_are_found_within_a_line(text, expected):
+    assert [r[:4] for r in licenses.Scanner().scan(text)] == expected
+
+
 # ---- HTML ----
 
 PAGE = """<html><head><title>x</title><style>p{}</style></head><body><header class="site-header"><h1>Site</h1></header>
