@@ -4,7 +4,8 @@ A block of text that repeats a license template compresses to almost nothing onc
 knows the template. So each candidate block is compressed twice, plainly and with a template as
 zstandard raw dictionary; templates are ranked by the share of bytes saved. The winner must then
 hold up word by word: the exact differences between its wording and the block's are worked out, and
-the block counts as that license only if few words differ. The differences are part of the result.
+the block counts as that license only if few words differ, and none that names a license or its
+version (``NAMES``, and any word with a digit). The differences are part of the result.
 
 Candidates are cues, words that licenses speak of. The block for a template is the span of words
 around a cue that aligns with the template at the fewest differences, wherever it begins and ends
@@ -39,11 +40,16 @@ CUE = r"(?i)licen[sc]e|copyright|rights reserved|spdx|creative commons|\bcc by|p
 MIN_SAVED = 0.25
 MAX_DIFFERENT = 0.25
 
+# Words that tell licenses apart; one that differs is another license.
+NAMES = frozenset("""mit x11 expat apache gnu gpl lgpl agpl lesser library affero free bsd isc mozilla mpl eclipse epl cc by by-sa by-nc
+    by-nd by-nc-sa by-nc-nd attribution attribution-sharealike attribution-noncommercial attribution-noderivatives attribution-noderivs
+    attribution-noncommercial-sharealike attribution-noncommercial-noderivatives attribution-noncommercial-noderivs sharealike
+    noncommercial noderivatives noderivs zero unlicense boost clause simplified revised new original clear artistic zlib not no non""".split())
+
 # Public wordings of common licenses and notices.
 TEMPLATES = {
     "MIT": [
         "Released under the MIT License.",
-        "SPDX-License-Identifier: MIT",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and "
         "associated documentation files (the \"Software\"), to deal in the Software without restriction, including "
         "without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell "
@@ -53,34 +59,95 @@ TEMPLATES = {
     ],
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
-        "SPDX-License-Identifier: Apache-2.0",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in "
         "compliance with the License. You may obtain a copy of the License at "
         "http://www.apache.org/licenses/LICENSE-2.0",
     ],
-    "GPL-3.0": [
-        "This work is licensed under the GNU General Public License, version 3.",
-        "SPDX-License-Identifier: GPL-3.0-or-later",
-        "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General "
-        "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
-        "option) any later version.",
-    ],
-    "GPL-2.0": ["This work is licensed under the GNU General Public License, version 2.",
-                "SPDX-License-Identifier: GPL-2.0-only"],
-    "LGPL-3.0": ["Licensed under the GNU Lesser General Public License, version 3."],
-    "BSD-3-Clause": [
-        "Released under the BSD 3-Clause License.",
-        "SPDX-License-Identifier: BSD-3-Clause",
+    "BSD-2-Clause OR BSD-3-Clause": [  # their first sentence is the same
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided "
         "that the following conditions are met:",
     ],
+    "ISC": ["Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby "
+            "granted, provided that the above copyright notice and this permission notice appear in all copies."],
     "MPL-2.0": ["This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."],
-    "CC-BY-4.0": ["Licensed under CC BY 4.0.", "This work is licensed under a Creative Commons Attribution 4.0 International License."],
-    "CC-BY-SA-4.0": ["Licensed under CC BY-SA 4.0.", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."],
-    "CC-BY-NC-4.0": ["Licensed under CC BY-NC 4.0.", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."],
-    "CC0-1.0": ["This work has been dedicated to the public domain under CC0 1.0."],
+    "EPL-1.0": ["All rights reserved. This program and the accompanying materials are made available under the terms of the "
+                "Eclipse Public License v1.0 which accompanies this distribution"],
+    "EPL-2.0": ["This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"],
+    "Unlicense": ["This is free and unencumbered software released into the public domain."],
+    "BSL-1.0": ["Distributed under the Boost Software License, Version 1.0."],
+    "CC0-1.0": ["This work has been dedicated to the public domain under CC0 1.0.", "under CC0 1.0 Universal Public Domain Dedication license"],
     "all-rights-reserved": ["All rights reserved."],
 }
+# The two clauses that both BSD licenses have, and the third.
+_BSD = ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+        "following conditions are met: {} Redistributions of source code must retain the above copyright notice, this list of "
+        "conditions and the following disclaimer. {} Redistributions in binary form must reproduce the above copyright notice, "
+        "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+        "distribution.")
+_BSD_3 = (" {} Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+          "products derived from this software without specific prior written permission.")
+_BSD_END = " This software is provided by the copyright holders and contributors \"as is\""
+# Names by which a license is given, after "under the".
+_TITLES = {
+    "MIT": ["MIT License", "MIT/X11 License", "Expat License"],
+    "Apache-2.0": ["Apache License 2.0", "Apache 2.0 License", "Apache-2.0 License", "Apache License v2.0"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "2-Clause BSD License", "Simplified BSD License", "BSD-2-Clause License"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "3-Clause BSD License", "New BSD License", "Revised BSD License", "BSD-3-Clause License"],
+    "ISC": ["ISC License"], "Unlicense": ["Unlicense license"], "BSL-1.0": ["Boost Software License 1.0"],
+    "MPL-1.1": ["Mozilla Public License 1.1", "Mozilla Public License, version 1.1"],
+    "MPL-2.0": ["Mozilla Public License 2.0", "Mozilla Public License, version 2.0", "MPL 2.0 license", "MPL-2.0 license"],
+    "EPL-1.0": ["Eclipse Public License 1.0", "Eclipse Public License, version 1.0", "Eclipse Public License v1.0"],
+    "EPL-2.0": ["Eclipse Public License 2.0", "Eclipse Public License, version 2.0", "Eclipse Public License v2.0"],
+}
+_GNU = {"GPL": ("GNU General Public License", "2.0 3.0"), "AGPL": ("GNU Affero General Public License", "3.0"),
+        "LGPL": ("GNU Lesser General Public License", "2.1 3.0")}
+_CC = {"BY": "Attribution", "BY-SA": "Attribution-ShareAlike", "BY-NC": "Attribution-NonCommercial",
+       "BY-ND": "Attribution-NoDerivatives", "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+       "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives"}
+
+
+def _complete() -> None:
+    """Wordings that differ by name and version only."""
+    def add(name: str, *texts: str) -> None:
+        own = TEMPLATES.setdefault(name, [])
+        own += [t for t in texts if t not in own]
+
+    for name, titles in _TITLES.items():
+        add(name, *(f"under the {t}" for t in titles), f"SPDX-License-Identifier: {name}")
+    add("CC0-1.0", "SPDX-License-Identifier: CC0-1.0")
+    for numbers in (("", ""), ("1.", "2.")):
+        add("BSD-2-Clause", _BSD.format(*numbers) + _BSD_END)
+        add("BSD-3-Clause", _BSD.format(*numbers) + _BSD_3.format("3." if numbers[0] else ""))
+    for short, (title, versions) in _GNU.items():
+        for version in versions.split():
+            name, numbers = f"{short}-{version}", {version, version.removesuffix(".0")}
+            add(name, *(f"SPDX-License-Identifier: {name}{end}" for end in ("", "-only", "-or-later")))
+            for n in sorted(numbers):
+                add(name, f"This work is licensed under the {title}, version {n}.", f"Licensed under the {title}, version {n}.",
+                    f"under the {title} v{n}", f"under the {title} {n}", f"under the {short}v{n} license", f"under the {short} v{n} license",
+                    f"under the {short} {n} license", f"under the {short}-{n} license", f"under the GNU {short} version {n} license")
+                for either in ("", " either"):
+                    add(name, "you can redistribute it and/or modify it under the terms of the "
+                              f"{title} as published by the Free Software Foundation,{either} version {n} of the License")
+                add(name, "This program is free software: you can redistribute it and/or modify it under the terms of the "
+                          f"{title} as published by the Free Software Foundation, either version {n} of the License, or "
+                          "(at your option) any later version.")
+    add("LGPL-2.0", "under the GNU Library General Public License, version 2",
+        "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Library General Public "
+        "License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.")
+    for kind, title in _CC.items():
+        for version in ("1.0", "2.0", "2.5", "3.0", "4.0"):
+            name = f"CC-{kind}-{version}"
+            end = {"4.0": " International", "3.0": " Unported"}.get(version, " Generic")
+            titles = {title, title.replace("NoDerivatives", "NoDerivs")}
+            add(name, f"Licensed under CC {kind} {version}.", f"under the CC {kind} {version} license", f"under a CC-{kind}-{version} license",
+                f"SPDX-License-Identifier: {name}",
+                *(text for t in sorted(titles) for text in (
+                    f"This work is licensed under a Creative Commons {t} {version}{end} License.",
+                    f"under a Creative Commons {t} {version} License", f"Creative Commons {t} {version}{end}")))
+
+
+_complete()
 _WORD = re.compile(r"[^\W_]+(?:[.\-][^\W_]+)*")
 
 
@@ -91,6 +158,7 @@ def words(text: str) -> list[str]:
 class Template:
     def __init__(self, name: str, text: str):
         self.name, self.text, self.words = name, text, words(text)
+        self.names = frozenset(w for w in self.words if names_a_license(w))
         self.counts, self.limit = Counter(self.words), int(MAX_DIFFERENT * len(self.words))
         self.reach = len(self.words) + self.limit
 
@@ -109,6 +177,10 @@ def templates(source: dict[str, list[str]] = TEMPLATES) -> list[Template]:
     return [Template(name, text) for name, texts in source.items() for text in texts]
 
 
+def names_a_license(word: str) -> bool:
+    return word in NAMES or any(c.isdigit() for c in word)
+
+
 def differences(block: list[str], template: list[str]) -> list[str]:
     """Exact differences in wording: ``-word`` only in the template, ``+word`` only in the block."""
     out = []
@@ -173,7 +245,7 @@ class Scanner:
         seen = set(near)
         best = key = None
         for t in self.templates:
-            if sum(n for w, n in t.counts.items() if w not in seen) > t.limit:
+            if not t.names <= seen or sum(n for w, n in t.counts.items() if w not in seen) > t.limit:
                 continue
             shift = max(0, at - low - t.reach)
             span = aligned(t.words, near[shift:at - low + t.reach], at - low - shift, t.limit)
@@ -181,7 +253,7 @@ class Scanner:
                 continue
             block = near[shift + span[0]:shift + span[1]]
             differ = differences(block, t.words)
-            if len(differ) > t.limit:
+            if len(differ) > t.limit or any(names_a_license(d[1:]) for d in differ):
                 continue
             data = " ".join(block).encode()
             plain, given = len(self.plain.compress(data)), len(t.compressor.compress(data))

@@ -348,6 +348,26 @@ def test_licenses_are_found_within_a_line(text, expected):
     assert [r[:4] for r in licenses.Scanner().scan(text)] == expected
 
 
+_GNU = ("This {} is free software; you can redistribute it and/or modify it under the terms of the GNU {} License as published by "
+        "the Free Software Foundation; either version {} of the License, or (at your option) any later version.")
+
+
+@pytest.mark.parametrize("text,expected", [
+    (_GNU.format("program", "General Public", "2"), ["GPL-2.0"]), (_GNU.format("program", "General Public", "3"), ["GPL-3.0"]),
+    (_GNU.format("program", "Affero General Public", "3"), ["AGPL-3.0"]), (_GNU.format("library", "Lesser General Public", "2.1"), ["LGPL-2.1"]),
+    (_GNU.format("library", "Library General Public", "2"), ["LGPL-2.0"]), (_GNU.format("program", "General Public", "9"), []),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 3.0 Unported License.", ["CC-BY-SA-3.0"]),
+    ("This work is licensed under a Creative Commons Attribution-ShareAlike 7.0 International License.", []),
+    ("SPDX-License-Identifier: GPL-2.0-or-later", ["GPL-2.0"]), ("SPDX-License-Identifier: ISC", ["ISC"]), ("SPDX-License-Identifier: Foo-1.0", []),
+    ("Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
+     "conditions are met:", ["BSD-2-Clause OR BSD-3-Clause"]),
+    ("under the Eclipse Public License 2.0, a license", ["EPL-2.0"]), ("Licensed under CC BY-NC-SA 4.0.", ["CC-BY-NC-SA-4.0"]),
+    ("This is free and unencumbered software released into the public domain.", ["Unlicense"]),
+])
+def test_licenses_that_differ_in_name_or_version_are_told_apart(text, expected):
+    assert [r[2] for r in licenses.Scanner().scan(text)] == expected
+
+
 # ---- HTML ----
 
 PAGE = """<html><head><title>x</title><style>p{}</style></head><body><header class="site-header"><h1>Site</h1></header>
