@@ -1,7 +1,10 @@
 """Main text of web pages by tree scoring.
 
 The page becomes a tree. What is never part of an article goes first: scripts, forms, navigation
-and elements whose role, class or id says menu, advert, notice, comments and the like. Every text
+and elements whose role, class or id says menu, advert, notice, comments and the like. Inside an
+article or main element such a name is not enough: headings stay, and so do elements that are
+neither short nor full of links, or that hold most of its text. A form around the page's paragraphs
+is no form but a wrapper; its fields go and the rest stays. Every text
 block that is left then gives points to its ancestors, for being there, for its length and for its
 commas: all to its parent, half to the next, a third to the one after. A container's points are
 discounted by the share of its text that lies in links. The best container is kept, widened to
@@ -52,6 +55,7 @@ STEMS = ("comment", "sidebar", "advert", "cookie", "newsletter", "breadcrumb", "
 NO_ARTICLE = frozenset("comment comments reply replies ad ads advert promo sponsored related recommended teaser".split())
 UNLIKELY_ROLES = frozenset("""navigation banner contentinfo complementary search dialog alertdialog alert menu
     menubar toolbar tablist form""".split())
+LONG = 200  # characters, without spaces, of an element that no name makes an advert
 LAYOUT = frozenset("with has no".split())
 # Opening one of these ends an open element of the given names, within the given border.
 CLOSES = {
@@ -138,8 +142,8 @@ def _closed(node: Node, name: str) -> Node:
     while above.parent:
         if above.tag == name or (name in HEADINGS and above.tag in HEADINGS):
             return above.parent
-        # An inline end tag does not reach over a block.
-        if name not in BLOCKS and above.tag in BLOCKS:
+        # An inline end tag does not reach over a block; that of a list of choices ends its options.
+        if name not in BLOCKS and above.tag in BLOCKS and not (name == "select" and above.tag in ("option", "optgroup")):
             return node
         above = above.parent
     return node
@@ -178,29 +182,77 @@ def unlikely(node: Node, inside: bool) -> bool:
     return False
 
 
-def _is_menu(node: Node) -> bool:
-    """Three links or more that make up nearly all of its text."""
-    length = linked = links = depth = 0
+def _sizes(node: Node) -> tuple[int, int, int]:
+    """Characters that may be text, those of them in links, and links."""
+    length = linked = links = depth = never = 0
     for part, _, entering in _walk(node):
         if isinstance(part, str):
-            size = len("".join(part.split()))
+            size = 0 if never else len("".join(part.split()))
             length += size
             linked += size if depth else 0
         elif part.tag == "a":
             depth += 1 if entering else -1
             links += entering
+        elif part.tag in NEVER_TEXT and part.tag != "form":
+            never += 1 if entering else -1
+    return length, linked, links
+
+
+def _is_menu(node: Node) -> bool:
+    """Three links or more that make up nearly all of its text."""
+    length, linked, links = _sizes(node)
     return links >= 3 and linked >= 0.8 * length
 
 
+def _wraps(form: Node, whole: int) -> bool:
+    """A form that holds paragraphs or an article, and most of the page's text."""
+    if not any(isinstance(part, Node) and part.tag in ("p", "article", "main") for part, _, _ in _walk(form)):
+        return False
+    return 2 * _sizes(form)[0] > whole
+
+
+def _named_only(node: Node) -> bool:
+    """Unlikely by the words of its class or id alone."""
+    names = _names(node.attributes)
+    return (node.tag not in NEVER_TEXT and node.tag not in ("article", "header") and "hidden" not in names
+            and names.get("aria-hidden", "").lower() != "true" and not _HIDDEN.search(names.get("style", ""))
+            and not UNLIKELY_ROLES & set(names.get("role", "").lower().split()))
+
+
+def _is_text(node: Node, whole: int) -> bool:
+    """Part of the article around it, whatever its name says."""
+    if node.tag in HEADINGS:
+        return True
+    length, linked, _ = _sizes(node)
+    if 2 * length > whole:
+        return True
+    return length >= LONG and linked < 0.3 * length
+
+
 def prune(root: Node) -> None:
     """Take away what is never part of an article."""
-    todo = [(root, False)]
+    page = None
+    todo = [(root, False, 0)]
     while todo:
-        node, inside = todo.pop()
-        inside = inside or node.tag in ("article", "main")
-        node.children = [c for c in node.children if isinstance(c, str) or not (
-            unlikely(c, inside) or (not inside and c.tag in MENUS and _is_menu(c)))]
-        todo += [(c, inside) for c in node.children if isinstance(c, Node)]
+        node, inside, whole = todo.pop()
+        if node.tag in ("article", "main"):
+            inside, whole = True, _sizes(node)[0] if not inside or node.tag == "article" else whole
+        kept = []
+        for c in node.children:
+            if isinstance(c, Node):
+                if c.tag == "form":
+                    if page is None:
+                        page = _sizes(root)[0]
+                    if _wraps(c, page):
+                        c.tag, c.attributes = "div", ""
+                if unlikely(c, inside):
+                    if not (inside and _named_only(c) and _is_text(c, whole)):
+                        continue
+                elif not inside and c.tag in MENUS and _is_menu(c):
+                    continue
+                todo.append((c, inside, whole))
+            kept.append(c)
+        node.children = kept
 
 
 def _walk(root: Node) -> Iterator[tuple[Node | str, Node | None, bool]]:

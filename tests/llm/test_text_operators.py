@@ -396,6 +396,25 @@ def test_main_text(spark, page, expected):
     assert [(r.page_id, r.url, r.text, r.n_chars) for r in got] == [(1, "u", expected, len(expected))]
 
 
+_LONG = "This paragraph is long enough to be one of an article, with commas, and goes on for some time. " * 4
+
+
+@pytest.mark.parametrize("page,kept,gone", [
+    (f"<article><h1>T</h1><p>{_LONG}</p><h2 id='related-work'>Related</h2><p>Two.</p><h2 id='search'>Searching</h2>"
+     f"<section id='discussion'><h2>Discuss</h2><p>{_LONG}</p></section><div id='legal'><p>{_LONG}</p></div>"
+     f"<div class='commentary'><p>{_LONG}</p></div><div class='ad'>Buy it</div></article>",
+     ["T", _LONG.strip(), "Related", "Two.", "Searching", "Discuss", _LONG.strip(), _LONG.strip(), _LONG.strip()], "Buy"),
+    (f"<main><div class='social'><p>{_LONG}</p></div><ul class='related'>" + "<li><a href=/>Another article, with a name</a>" * 12 + "</ul></main>",
+     [_LONG.strip()], "Another"),
+    (f"<body><form id='aspnetForm'><input name=x><select><option>o</select><div id='content'><h1>T</h1><p>{_LONG}</p><p>Two.</p>"
+     f"<form><p>Mail</p></form></div></form></body>", ["T", _LONG.strip(), "Two."], "Mail"),
+    (f"<body><div><p>{_LONG}</p></div><form><p>Your mail, please.</p></form></body>", [_LONG.strip()], "mail"),
+])
+def test_names_and_forms_do_not_take_away_the_article(page, kept, gone):
+    got = html.main_text(page)
+    assert got.split("\n\n") == kept and gone not in got
+
+
 # ---- resharding ----
 
 def test_transfers_move_the_fewest_bytes():
