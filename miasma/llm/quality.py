@@ -10,8 +10,9 @@ Training needs a sample of labelled rows on the driver. It is bounded by rows an
 broadcast model has a fixed size.
 
 Defined cases: a null or empty text has no features and gets the score of the bias; labels that
-are null are skipped, repeated rows count each; without any labelled row the score is 0.5; columns
-named like a result are replaced; all other columns and all rows are kept.
+are null are skipped, repeated rows count each; without any labelled row the score is 0.5, and when
+none of them fits into the bound that is an error; columns named like a result are replaced; all
+other columns and all rows are kept.
 """
 
 from __future__ import annotations
@@ -26,9 +27,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
-from miasma.llm.common import held_out, replaced, slices, texts_of
+from miasma.llm.common import held_out, replaced, slices, stored, texts_of
 
 BITS = 18
 KINDS = 5
@@ -142,18 +142,25 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
                     label_col: str = "quality", max_rows: int = MAX_TRAIN_ROWS,
                     max_bytes: int = MAX_TRAIN_BYTES) -> tuple[list[bytes], list[int]]:
     """Labelled texts outside the held-out third, in the order of a hash of the id, up to
-    ``max_rows`` rows and ``max_bytes`` bytes. The labels are cut first, so at most ``max_rows``
-    of them are broadcast to the scan of the texts."""
+    ``max_rows`` rows; of these every whole text that still fits into ``max_bytes``. The labels are
+    cut first, so at most ``max_rows`` of them are broadcast to the scan of the texts."""
     by_hash = F.xxhash64(F.col("_id"))
     chosen = (labels.select(F.col(id_col).alias("_id"), F.col(label_col).cast("int").alias("_label"))
               .filter(F.col("_label").isNotNull() & F.col("_id").isNotNull() & ~held_out(F.col("_id"), FOLD))
               .orderBy(by_hash, "_id", "_label").limit(max_rows))
-    rows = (docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-            .join(F.broadcast(chosen), "_id").orderBy(by_hash, "_id", "_label", "_text").limit(max_rows)
-            .withColumn("_bytes", F.sum(F.octet_length("_text")).over(
-                Window.orderBy(by_hash, "_id", "_label", "_text").rowsBetween(Window.unboundedPreceding, 0)))
-            .filter(F.col("_bytes") <= max_bytes).select("_text", "_label").collect())
-    return [r[0].encode() for r in rows], [r[1] for r in rows]
+    rows = stored(docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+                  .join(F.broadcast(chosen), "_id").withColumn("_row", F.monotonically_increasing_id()), "quality-labelled")
+    sizes = (rows.select("_id", "_label", "_row", F.octet_length("_text").alias("_bytes"), F.xxhash64("_text").alias("_hash"))
+             .orderBy(by_hash, "_id", "_label", "_hash", "_row").limit(max_rows).select("_row", "_bytes").collect())
+    taken, size = {}, 0
+    for row, n in sizes:
+        if size + n <= max_bytes:
+            taken[row] = len(taken)
+            size += n
+    if sizes and not taken:
+        raise ValueError(f"no labelled text has {max_bytes} bytes or fewer")
+    found = sorted(rows.filter(F.col("_row").isin(list(taken))).select("_row", "_text", "_label").collect(), key=lambda r: taken[r[0]])
+    return [r[1].encode() for r in found], [r[2] for r in found]
 
 
 def train(docs: DataFrame, labels: DataFrame, **columns) -> np.ndarray:

@@ -247,6 +247,19 @@ def test_classifier_learns_without_held_out_rows(spark):
     assert quality.select_good(docs, weights).count() == 180
 
 
+def test_classifier_learns_from_what_fits_behind_a_long_text(spark):
+    docs, labels = labelled(spark)
+    whole, marks = quality.training_sample(docs, labels)
+    longest = max(map(len, whole)) + 1
+    long = quality.training_sample(docs, labels, max_rows=1)[0][0].decode()
+    docs = docs.withColumn("text", F.when(F.col("text") == long, F.repeat("text", longest)).otherwise(F.col("text")))
+    expected = [(t, m) for t, m in zip(whole, marks) if t.decode() != long]
+    got = quality.training_sample(docs, labels, max_bytes=sum(len(t) for t, _ in expected))
+    assert list(zip(*got)) == expected and len(expected) > 100
+    with pytest.raises(ValueError):
+        quality.training_sample(docs, labels, max_bytes=1)
+
+
 def test_classifier_scores_odd_texts_and_equals_a_slow_dot_product(spark):
     docs = odd_docs(spark)
     weights = np.random.default_rng(1).normal(size=(1 << quality.BITS) + 1)
