@@ -12,11 +12,12 @@ within 2 L words form arithmetic progressions; their common difference is propos
   occurrences in a run of 4 q words are a progression of at least three, q apart.
 - Progressions whose difference is at most L were met at a lower level already and are left out.
 
-Proposals of one period that share a period's length of words are one; each is extended word by
-word to its full stretch. Of stretches with the same ends the smallest period counts, since a
-longer one there is a multiple of it. Factors that occur once belong to no run and are dropped
-before the next level, so natural text leaves little after three levels; a text of n words costs
-n log n at worst.
+Two occurrences q words apart prove L pairs of equal words; from there a proposal is extended word by
+word to both sides, which also tells false ones (a gap between factors that differs) from runs.
+Proposals inside a stretch of their period that was found before are duplicates and skipped. Of
+stretches with the same ends the smallest period counts, since a longer one there is a multiple of
+it. Factors that occur once belong to no run and are dropped before the next level, so natural text
+leaves little after three levels; a text of n words costs n log n at worst.
 
 All texts of a batch are worked on at once: words are numbered per document, so no factor of two
 documents is the same. Rows stand by themselves: one pass, no shuffle; memory is bounded by the batch
@@ -53,7 +54,7 @@ def _extended(x: np.ndarray, start: int, end: int, q: int) -> tuple[int, int]:
     """The whole stretch of period ``q`` around ``x[start:end]``, which has it."""
     step = 16
     while end < len(x):
-        same = x[end:end + step] == x[end - q:end - q + step][:len(x) - end]
+        same = x[end:end + step] == x[end - q:min(end + step, len(x)) - q]
         if not same.all():
             end += int(same.argmin())
             break
@@ -71,74 +72,67 @@ def _extended(x: np.ndarray, start: int, end: int, q: int) -> tuple[int, int]:
 
 
 def _progressions(at: np.ndarray, name: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(first, end, difference) of the progressions among occurrences of factors of ``size`` words;
-    ``at`` is sorted within equal names. Three occurrences or more, differences in (size, 2 size]."""
+    """(place, end, difference) of each two neighbours in progressions of three or more occurrences of
+    a factor of ``size`` words; ``at`` is sorted within equal names. Differences lie in (size, 2 size],
+    for single words in [1, 2]."""
     gap = np.diff(at)
     linked = (np.diff(name) == 0) & (gap > (size if size > 1 else 0)) & (gap <= 2 * size)
     goes_on = linked[1:] & linked[:-1] & (gap[1:] == gap[:-1])
-    first = np.flatnonzero(linked & ~np.concatenate([[False], goes_on])) if len(linked) else np.zeros(0, int)
-    last = np.flatnonzero(linked & ~np.concatenate([goes_on, [False]])) if len(linked) else first
-    long = last > first
-    first, last = first[long], last[long]
-    return at[first], at[last + 1] + size, gap[first]
+    member = np.flatnonzero(np.concatenate([goes_on, [False]]) | np.concatenate([[False], goes_on])) if len(gap) else gap
+    return at[member], at[member + 1] + size, gap[member]
 
 
-def _proposals(x: np.ndarray, longest: int) -> list[tuple[int, int, int]]:
-    """(start, end, period) stretches of all levels, those of one period joined where they overlap."""
-    at, name, size, found = np.arange(len(x)), x, 1, []
+def _proposals(x: np.ndarray, longest: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """What each level proposes."""
+    at, name, size = np.arange(len(x)), x, 1
     where = np.empty(len(x), np.int64)
-    while size == 1 or MIN_POWER * size < longest:
-        order = np.lexsort((at, name)) if size == 1 else np.argsort(name, kind="stable")
-        p, key = at[order], name[order]
-        same = np.diff(key) == 0
+    while len(at) and (size == 1 or MIN_POWER * size < longest):
+        order = np.argsort(name, kind="stable")
+        at, name = at[order], name[order]
+        same = np.diff(name) == 0
         repeated = np.concatenate([same, [False]]) | np.concatenate([[False], same])
         number = np.concatenate([[0], np.cumsum(~same)])
-        p, number = p[repeated], number[repeated]
-        if not len(p):
-            break
-        found.append(_progressions(p, number, size))
-        # Level k + 1: pairs of factors that follow each other, both of them repeated.
-        back = np.argsort(p, kind="stable")
-        p, number = p[back], number[back]
+        at, number = at[repeated], number[repeated]
+        yield _progressions(at, number, size)
+        # The next level: pairs of factors that follow each other, both of them repeated.
         where.fill(-1)
-        where[p] = number
-        follows = p + size < len(x)
-        p, number = p[follows], number[follows]
-        after = where[p + size]
-        at, name = p[after >= 0], number[after >= 0] * (len(x) + 1) + after[after >= 0]
+        where[at] = number
+        back = np.sort(at)
+        back = back[back + size < len(x)]
+        back = back[where[back + size] >= 0]
+        at, name = back, where[back] * (len(x) + 1) + where[back + size]
         size *= 2
-        if not len(at):
-            break
-    if not found:
-        return []
-    start, end, q = (np.concatenate(c) for c in zip(*found))
-    order = np.lexsort((end, start, q))
-    out: list[list[int]] = []
-    for s, e, d in zip(start[order].tolist(), end[order].tolist(), q[order].tolist()):
-        if out and out[-1][2] == d and s <= out[-1][1] - d:
-            out[-1][1] = max(out[-1][1], e)
-        else:
-            out.append([s, e, d])
-    return [tuple(p) for p in out]
+
+
+def _stretches(x: np.ndarray, longest: int) -> Iterator[tuple[int, int, int]]:
+    """(start, end, period) of the stretches behind all proposals, each one once."""
+    for place, end, q in _proposals(x, longest):
+        order = np.lexsort((place, q))
+        place, end, q = place[order], end[order], q[order]
+        borders = [*np.flatnonzero(np.diff(q, prepend=-1)), len(q)]
+        for low, high in zip(borders, borders[1:]):
+            while low < high:
+                s, e = _extended(x, int(place[low]), int(end[low]), int(q[low]))
+                yield s, e, int(q[low])
+                low += int(np.searchsorted(end[low:high], e, "right"))  # the rest up to there lies inside
 
 
 def find_runs(x: np.ndarray, longest: int | None = None) -> list[Run]:
     """Runs of a sequence of numbers by start, then period. ``longest`` bounds the length of a run
     where the sequence is made of parts that share no number."""
     best: dict[tuple[int, int], int] = {}
-    for start, end, q in _proposals(x, len(x) if longest is None else longest):
-        ends = _extended(x, start, end, q)
-        best[ends] = min(q, best.get(ends, q))
-    runs = [Run(s, e - s, q) for (s, e), q in best.items() if e - s >= max(MIN_WORDS, MIN_POWER * q)]
-    return sorted(runs, key=lambda r: (r.start, r.period))
+    for start, end, q in _stretches(x, len(x) if longest is None else longest):
+        if end - start >= max(MIN_WORDS, MIN_POWER * q):
+            best[start, end] = min(q, best.get((start, end), q))
+    return sorted((Run(s, e - s, q) for (s, e), q in best.items()), key=lambda r: (r.start, r.period))
 
 
 def _numbered(texts: list[list[bytes]]) -> np.ndarray:
     """Words of all texts in a row as numbers; no two texts share one."""
     out, used = [], 0
     for words in texts:
-        known: dict[bytes, int] = {}
-        out.append(np.fromiter((known.setdefault(w, len(known)) for w in words), np.int64, len(words)) + used)
+        known = {w: i for i, w in enumerate(dict.fromkeys(words), start=used)}
+        out.append(np.fromiter(map(known.__getitem__, words), np.int64, len(words)))
         used += len(known)
     return np.concatenate(out) if out else np.zeros(0, np.int64)
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from miasma.llm import (bpe, decontaminate, html, licenses, lm, quality, reshard, rules, simhash,
+from miasma.llm import (bpe, decontaminate, fim, html, licenses, lm, periodic, quality, reshard, rules, simhash, topk,
                         warc)
 from miasma.llm.common import held_out
 
@@ -131,3 +131,50 @@ def op6_resharding(spark, sf_dir):
                          F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
                          F.lit("bytes").alias("law"), F.col("_shard").alias("shard"), F.col("_slot").alias("slot"),
                          F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("""WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS x FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id, score FROM scored)
+SELECT * FROM ranked WHERE rank <= 5""")
+def op11_topk_search(spark, sf_dir):
+    vectors = topk.whole_vectors(table(spark, sf_dir, "embeddings"))
+    index = topk.build_index(vectors)
+    return topk.search(index, vectors.filter(F.col("id") % 50 == 0), k=5)
+
+
+@query()
+def op12_periodic_runs(spark, sf_dir):
+    key = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    found = periodic.find(table(spark, sf_dir, "documents"), repeat_by=key)
+    best = periodic.longest(F.col("runs"))
+    lines = F.transform("runs", lambda r: F.format_string("%d,%d,%d\n", r["start"], r["length"], r["period"]))
+    return found.select(F.col("id").alias("doc_id"), F.size("runs").cast("bigint").alias("n_runs"), best["start"].alias("start"),
+                        best["length"].alias("length"), best["period"].alias("period"),
+                        F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+                        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+_TEXT13 = "coalesce(text, '')"
+
+
+@query(f"""WITH u AS (SELECT doc_id, {_TEXT13} AS text, regexp_extract_all({_TEXT13}, '[A-Za-z]+|[^A-Za-z]') AS u,
+    sha256('1:' || doc_id) AS h FROM documents),
+d AS (SELECT *, len(u) AS n, CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+    CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM u),
+c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+    CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+      WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM d),
+p AS (SELECT *, array_to_string(u[1:a], '') AS prefix, array_to_string(u[a + 1:b], '') AS middle,
+    array_to_string(u[b + 1:n], '') AS suffix FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CAST(CASE WHEN form <> 'plain' THEN length(prefix) END AS BIGINT) AS prefix_chars,
+  CAST(CASE WHEN form <> 'plain' THEN length(middle) END AS BIGINT) AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256, sha256(text) AS restored_sha256 FROM p""")
+def op13_fill_in_middle(spark, sf_dir):
+    rows = fim.restore(fim.transform(table(spark, sf_dir, "documents")))
+    return rows.select(F.col("id").alias("doc_id"), "n", "form", "prefix_chars", "middle_chars",
+                       F.sha2("output", 256).alias("output_sha256"), F.sha2("restored", 256).alias("restored_sha256"))
