@@ -1,8 +1,8 @@
 """Exact top-k search by inner product with an impact-ordered index, score at a time.
 
 Vectors are dealt by a hash of their id into blocks of about ``BLOCK_ROWS``. A block's index has, for
-each component, its members ordered by value and cut into segments of equal quantised value (steps of
-``STEP``). A query weighs a component by its own value w, so a segment's impact is the most that w
+each component, its members ordered by value and cut into segments of equal quantised value (about
+``LEVELS``). A query weighs a component by its own value w, so a segment's impact is the most that w
 times a value of the segment can be, above the least that the component can give in this block.
 
 A query takes all segments of all components in bands of falling impact. With every band, a member
@@ -21,8 +21,8 @@ Defined cases: vectors that are null or hold a null or non-finite component take
 rows without an id; an id that several rows share stands for one vector, the least of them as
 arrays are ordered; a query meets only vectors of its own number of components, never its own id;
 equal scores go to the smaller id; a query with fewer than k candidates gets them all; components
-are scaled and floored as doubles, and scores are exact integers (of a size beyond 64 bits the
-nearest bound is given). Other columns are not read, so their names cannot clash.
+are scaled and floored as doubles, and scores are exact integers (those beyond 64 bits are ranked
+as doubles and given as the nearest bound). Other columns are not read, so their names cannot clash.
 """
 
 from __future__ import annotations
@@ -38,10 +38,11 @@ from pyspark.sql.window import Window
 from miasma.llm.common import stored
 
 BLOCK_ROWS, QUERY_ROWS = 16_384, 2_048
-STEP = 16
-BANDS = 12
+LEVELS = 64
+BANDS = 16
+RESCORE = 16
 EXACT = 2.0 ** 53  # sums of whole doubles are exact below
-INDEX = "dims int, block int, members int, ids binary, vectors binary, order binary, cuts binary, levels binary"
+INDEX = "dims int, block int, members int, ids binary, vectors binary, order binary, cuts binary, edges binary"
 
 
 def scaled(vector: Column, factor: int = 256) -> Column:
@@ -88,22 +89,20 @@ def _pack(x: np.ndarray) -> bytes:
 
 
 def _segments(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Members by value per component, and the ends and levels of its segments, all components in a
-    row. ``cuts`` holds (component, begin, end) per segment."""
+    """Members by value per component; (component, begin, end) of its segments, all components in a
+    row; the least and greatest value of each segment."""
     n, dims = x.shape
     order = np.empty((dims, n), np.int32)
-    cuts, levels = [], []
+    cuts, edges = [np.zeros((0, 3), np.int64)], [np.zeros((0, 2))]
     for j in range(dims):
-        level = np.floor(x[:, j] / STEP)
-        order[j] = np.argsort(level, kind="stable")
-        sorted_level = level[order[j]]
-        ends = np.concatenate([np.flatnonzero(np.diff(sorted_level)) + 1, [n]])
+        order[j] = np.argsort(x[:, j], kind="stable")
+        v = x[order[j], j]
+        level = np.floor(v / max(1.0, np.floor(v[-1] / LEVELS - v[0] / LEVELS)))
+        ends = np.concatenate([np.flatnonzero(np.diff(level)) + 1, [n]])
         begins = np.concatenate([[0], ends[:-1]])
         cuts.append(np.stack([np.full(len(ends), j), begins + j * n, ends + j * n], 1))
-        levels.append(sorted_level[begins])
-    joined = (np.concatenate(c) if c else np.zeros((0, 3) if k == 0 else 0) for k, c in enumerate((cuts, levels)))
-    cuts, levels = joined
-    return order, cuts.astype(np.int64), levels.astype(float)
+        edges.append(np.stack([v[begins], v[ends - 1]], 1))
+    return order, np.concatenate(cuts), np.concatenate(edges)
 
 
 def build_index(vectors: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -118,9 +117,9 @@ def build_index(vectors: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
     def build(key: tuple, rows: pa.Table) -> pa.Table:
         dims, block = (k.as_py() for k in key)
         x, ids = _matrix(rows, dims), rows.column("id").to_numpy()
-        order, cuts, levels = _segments(x)
+        order, cuts, edges = _segments(x)
         columns = [[dims], [block], [len(ids)], [ids.astype("q").tobytes()], [_pack(x)], [order.tobytes()],
-                   [cuts.tobytes()], [levels.tobytes()]]
+                   [cuts.tobytes()], [edges.tobytes()]]
         return pa.table(dict(zip((c.split()[0] for c in INDEX.split(", ")), columns)), schema=_INDEX_SCHEMA)
 
     return stored(placed.groupBy("dims", "block").applyInArrow(build, INDEX), "topk-index")
@@ -139,7 +138,7 @@ class Block:
         self.order = np.frombuffer(row["order"], np.int32)
         cuts = np.frombuffer(row["cuts"], np.int64).reshape(-1, 3)
         self.component, self.begin, self.end = cuts.T
-        self.levels = np.frombuffer(row["levels"], float)
+        self.least, self.greatest = np.frombuffer(row["edges"], float).reshape(-1, 2).T
         self.dims, self.largest = dims, np.abs(self.x).max(initial=0)
 
     def _exact(self, members: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -152,20 +151,21 @@ class Block:
     def _impacts(self, w: np.ndarray) -> tuple[np.ndarray, float]:
         """Impact of every segment, and the least score that the sum of impacts stands above."""
         of = w[self.component]
-        low, high = of * self.levels * STEP, of * (self.levels * STEP + STEP - 1)
+        low, high = of * self.least, of * self.greatest
         most, least = np.maximum(low, high), np.minimum(low, high)
         floor = np.full(self.dims, np.inf)
         np.minimum.at(floor, self.component, least)
         return most - floor[self.component], float(floor.sum())
 
-    def top(self, query: int, w: np.ndarray, k: int) -> list[tuple[int, int]]:
-        """The (score, id) of the k best members but the query itself."""
+    def top(self, query: int, w: np.ndarray, k: int) -> list[tuple[int, float, int]]:
+        """The (score, score as a double, id) of the k best members but the query itself."""
         impact, base = self._impacts(w)
         bound = self._bounds(impact, base, query, w, k)
         possible = np.flatnonzero(bound)
         possible = possible[self.ids[possible] != query]
-        found = zip(self._exact(possible, w).tolist(), self.ids[possible].tolist())
-        return sorted(found, key=lambda f: (-f[0], f[1]))[:k]
+        found = [(max(-2**63, min(2**63 - 1, s)), float(s), i)
+                 for s, i in zip(self._exact(possible, w).tolist(), self.ids[possible].tolist())]
+        return sorted(found, key=lambda f: (-f[0], -f[1], f[2]))[:k]
 
     def _bounds(self, impact: np.ndarray, base: float, query: int, w: np.ndarray, k: int) -> np.ndarray:
         """Members that can be among the k best, as far as segments had to be taken to prove it of the others."""
@@ -173,8 +173,10 @@ class Block:
         if n <= 4 * k or not len(impact):
             return np.ones(n, bool)
         ranked = np.argsort(-impact, kind="stable")
-        gathered, met, floor = np.zeros(n), np.zeros(n, np.int64), -np.inf
-        done, slack = 0, 1e-9 * (abs(base) + float(impact.max()) * self.dims + 1)
+        # One sum holds what a member has gathered and, in units of ``unit``, how often it was met.
+        unit = 2.0 ** np.ceil(np.log2(impact.max() * self.dims + 2))
+        tally, floor, done = np.zeros(n), -np.inf, 0
+        slack = 1e-9 * (abs(base) + unit)
         size = (self.end - self.begin)[ranked]
         shares = np.searchsorted(np.cumsum(size), np.linspace(0, size.sum(), BANDS + 1)[1:], "left") + 1
         for stop in np.minimum(shares, len(ranked)):
@@ -182,17 +184,17 @@ class Block:
                 continue
             band = ranked[done:stop]
             members = self.order[_spans(self.begin[band], self.end[band])]
-            gathered += np.bincount(members, np.repeat(impact[band], self.end[band] - self.begin[band]), n)
-            met += np.bincount(members, minlength=n)
+            tally += np.bincount(members, np.repeat(impact[band] + unit, self.end[band] - self.begin[band]), n)
             done = stop
             edge = float(impact[ranked[stop]]) if stop < len(ranked) else 0.0
-            most = base + gathered + (self.dims - met) * edge
+            met = np.floor(tally / unit)
+            most = base + (tally - met * unit) + (self.dims - met) * edge
             if floor == -np.inf:
                 lead = np.argpartition(-most, 4 * k)[:4 * k + 1]
                 lead = lead[self.ids[lead] != query]
                 floor = float(sorted(self._exact(lead, w).tolist())[-k])
             possible = most >= floor - slack
-            if np.count_nonzero(possible) <= max(8 * k, n // 16):
+            if np.count_nonzero(possible) <= max(8 * k, n // RESCORE):
                 break
         return possible
 
@@ -223,15 +225,16 @@ def search(index: DataFrame, queries: DataFrame, k: int = 5, query_rows: int = Q
     keys = ["dims", "block", "grp"]
 
     def meet(key: tuple, members: pa.Table, asked: pa.Table) -> pa.Table:
-        out: list[tuple[int, int, int]] = []
+        out: list[tuple[int, int, float, int]] = []
         if members.num_rows and asked.num_rows:
             block = Block(members.to_pylist()[0])
             for query, w in zip(asked.column("id").to_pylist(), _matrix(asked, block.dims)):
-                out += [(query, i, max(-2**63, min(2**63 - 1, s))) for s, i in block.top(query, w, k)]
-        return pa.table({n: pa.array([r[c] for r in out], pa.int64()) for c, n in enumerate(("query_id", "vec_id", "score"))})
+                out += [(query, *f) for f in block.top(query, w, k)]
+        kinds = {"query_id": pa.int64(), "score": pa.int64(), "size": pa.float64(), "vec_id": pa.int64()}
+        return pa.table({n: pa.array([r[c] for r in out], t) for c, (n, t) in enumerate(kinds.items())})
 
     found = (left.groupBy(*keys).cogroup(right.groupBy(*keys))
-             .applyInArrow(meet, "query_id bigint, vec_id bigint, score bigint"))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+             .applyInArrow(meet, "query_id bigint, score bigint, size double, vec_id bigint"))
+    best = Window.partitionBy("query_id").orderBy(F.desc("score"), F.desc("size"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))

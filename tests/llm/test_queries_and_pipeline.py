@@ -18,7 +18,7 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="no test table
 def duck():
     duckdb = pytest.importorskip("duckdb")
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{SF_DIR}/{t}.parquet'")
     return con
 
@@ -32,8 +32,8 @@ def test_equals_sql(spark, duck, name):
     assert sorted(map(repr, map(tuple, got.select(*columns).collect()))) == sorted(map(repr, cursor.fetchall()))
 
 
-def test_ten_operators_are_registered():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 11))
+def test_thirteen_operators_are_registered():
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in queries.QUERIES) == list(range(1, 14))
 
 
 def test_every_row_gets_a_result(spark):
@@ -59,7 +59,7 @@ def test_pipeline_equals_its_stages_done_plainly(spark):
     rows = [r for r in docs.collect()]
     weights = quality.train(docs, labels)
     rows = [r for r, s in zip(rows, quality.dot(weights, [r.text.encode() for r in rows], quality.Words())) if s >= 0]
-    found = rules.train(spark.createDataFrame(rows, docs.schema), labels)
+    found = rules.train(docs, labels)
     kept = {r.doc_id for r in rules.judge(spark.createDataFrame(rows, docs.schema), found).filter("kept").collect()}
     rows = [r for r in rows if r.doc_id in kept]
     for r in rows:

@@ -1,0 +1,231 @@
+"""Top-k search, periodic runs and fill-in-middle against brute force."""
+
+import hashlib
+import math
+import os
+import random
+import re
+import zlib
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from miasma.llm import fim, periodic, queries, rules, topk, warc
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+TEXTS = ["", None, " \t\n\x0b\x0c\r", "one", "a b " * 12, "x " * 7 + "y", "naïve ÉCOLE 日本 😀 z9", "<P> held", "tail <M>", "x" * 70_000,
+         "Same line.\n" * 30, "a b c a b c a b c a b", "a a b a a b a a b a a b a a b\x85q q q q q q q"]
+
+
+def odd(spark, clash=()):
+    rows = [(i, t) for i, t in enumerate(TEXTS)] + [(3, "one"), (None, "one two"), (None, None), (10, "a b " * 12)]
+    rows += [(i, " ".join(f"w{(i * j) % 7}" for j in range(i % 60))) for i in range(100, 160)]
+    rows.append((777, " ".join(f"w{i % 97}" for i in range(30_000))))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for c in clash:
+        df = df.withColumn(c, F.lit("old"))
+    return df
+
+
+def rows_as_text(rows):
+    return sorted(map(repr, rows))
+
+
+# ---- top-k search ----
+
+def brute_top(rows, k, every):
+    """(query, rank, id, score) rows of (id, vector)."""
+    fine = {}
+    for i, v in sorted((r for r in rows if r[0] is not None and r[1] is not None), key=lambda r: r[0]):
+        if all(x is not None and math.isfinite(x) for x in v):
+            w = [math.floor(256 * x) for x in v]
+            fine[i] = min(w, fine.get(i, w))
+    out = []
+    for q, v in fine.items():
+        if q % every == 0:
+            scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in fine.items() if i != q and len(w) == len(v))
+            out += [(q, n, i, -s) for n, (s, i) in enumerate(scored[:k], start=1)]
+    return out
+
+
+def searched(spark, rows, k=3, every=5, **sizes):
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").select(
+        "*", *[F.lit("old").alias(c) for c in ("id", "VECTOR", "dims", "block", "rank", "score")])
+    vectors = topk.whole_vectors(df)
+    index = topk.build_index(vectors, sizes.get("block_rows", 64))
+    found = topk.search(index, vectors.filter(F.col("id") % every == 0), k, sizes.get("query_rows", 16))
+    return rows_as_text(tuple(r) for r in found.collect())
+
+
+def vectors(n, dims, seed, scale=1.0):
+    draw = np.random.default_rng(seed)
+    return [(i, [float(np.float32(x)) for x in draw.normal(size=dims) * scale]) for i in range(n)]
+
+
+@pytest.mark.parametrize("n, dims, scale", [(400, 12, 0.2), (150, 1, 3.0), (90, 5, 1e7), (300, 3, 0.004)])
+def test_search_equals_brute_force(spark, n, dims, scale):
+    rows = vectors(n, dims, n, scale)
+    expected = brute_top(rows, 3, 5)
+    assert searched(spark, rows) == rows_as_text((q, r, i, max(-2**63, min(2**63 - 1, s))) for q, r, i, s in expected)
+
+
+def test_search_of_odd_vectors(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = vectors(80, 4, 1) + [(1000 + i, [0.5, 0.5, 0.5, 0.5]) for i in range(150)]  # many equal scores
+    rows += [(200, None), (205, [0.1, None, 0.1, 0.1]), (210, [nan, 1.0, 1.0, 1.0]), (215, [inf, 0.0, 0.0, 0.0]), (None, [1.0] * 4),
+             (220, []), (225, []), (230, [1.0]), (-5, [0.0] * 4), (20, [9.0, 9.0, 9.0, 9.0]), (20, [9.0, 9.0, 9.0, 9.0])]
+    rows += [(300 + i, [3.0e37, -1.0e38]) for i in range(3)]
+    got, expected = searched(spark, rows), brute_top(rows, 3, 5)
+    limit = 2 ** 63
+    assert got == rows_as_text((q, r, i, max(-limit, min(limit - 1, s))) for q, r, i, s in expected)
+
+
+def test_search_of_few_or_no_vectors(spark):
+    assert searched(spark, []) == []
+    assert searched(spark, [(5, [1.0, 2.0])]) == []
+    rows = [(5, [1.0, 2.0]), (6, [1.0, 1.0])]
+    assert searched(spark, rows) == rows_as_text(brute_top(rows, 3, 5))
+
+
+def test_search_stops_before_all_segments_are_taken():
+    """On vectors of which few are near the query, the proof comes early."""
+    draw = np.random.default_rng(0)
+    x = np.floor(draw.normal(size=(5000, 16)) * 20)
+    x[:20] = np.floor(np.abs(draw.normal(size=(20, 16))) * 200)
+    order, cuts, edges = topk._segments(x)
+    block = topk.Block({"members": 5000, "dims": 16, "ids": np.arange(5000).tobytes(), "vectors": topk._pack(x),
+                        "order": order.tobytes(), "cuts": cuts.tobytes(), "edges": edges.tobytes()})
+    impact, base = block._impacts(x[0])
+    assert block._bounds(impact, base, 0, x[0], 5).sum() <= 5000 // topk.RESCORE
+    s = x @ x[0]
+    s[0] = -np.inf
+    assert [i for *_, i in block.top(0, x[0], 5)] == np.lexsort((np.arange(5000), -s))[:5].tolist()
+
+
+# ---- periodic runs ----
+
+def brute_runs(words):
+    found = {}
+    for q in range(1, len(words) // 4 + 1):
+        i = 0
+        while i + q < len(words):
+            start = i
+            while i + q < len(words) and words[i] == words[i + q]:
+                i += 1
+            if i + q - start >= max(6, 4 * q):
+                found.setdefault((start, i + q), q)
+            i += 1
+    return sorted(((s, e - s, q) for (s, e), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def drawn_words(draw):
+    n, kind = draw.randint(0, 90), draw.random()
+    if kind < 0.4:
+        return [draw.choice("ab") for _ in range(n)]
+    words = []
+    while len(words) < n:
+        words += [draw.choice("abc") for _ in range(draw.randint(1, 11))] * draw.randint(1, 8)
+        words = words[:len(words) - draw.randint(0, 3)]
+    return words
+
+
+def test_runs_equal_brute_force():
+    draw = random.Random(3)
+    for _ in range(300):
+        texts = [[w.encode() for w in drawn_words(draw)] for _ in range(draw.randint(1, 5))]
+        assert [[tuple(r) for r in found] for found in periodic.runs_of_texts(texts)] == [brute_runs(t) for t in texts]
+
+
+def test_long_runs_are_quick():
+    block = [b"%d" % i for i in range(20_000)]
+    assert periodic.find_runs(np.array([hash(w) for w in block * 9])) == [(0, 180_000, 20_000)]
+    assert periodic.find_runs(np.zeros(300_000, int)) == [(0, 300_000, 1)]
+
+
+def expected_row(key, text):
+    words = (text or "").encode().split()
+    if key is not None:
+        h = zlib.crc32(str(key).encode())
+        g, n = h // 10, len(words)
+        if h % 10 == 0 and n:
+            a, p = g % n, 1 + (n - g % n) // (3 + g % 8)
+            words = [w if i < a else words[a + (i - a) % p] for i, w in enumerate(words)]
+    runs = brute_runs(words) if len(words) < 2000 else [(0, len(words), 97)]
+    gone = {i for s, n, q in runs for i in range(s + q, s + n)}
+    kept = b" ".join(w for i, w in enumerate(words) if i not in gone)
+    best = min(runs, key=lambda r: (-r[1], r[0], r[2])) if runs else (None, None, None)
+    lines = "".join(f"{s},{n},{q}\n" for s, n, q in runs)
+    return (key, len(runs), *best, 1000 * best[1] // best[2] if runs else None,
+            hashlib.sha256(lines.encode()).hexdigest(), hashlib.sha256(kept).hexdigest())
+
+
+def registered(spark, monkeypatch, name, df):
+    monkeypatch.setattr(queries, "table", lambda *_: df)
+    return rows_as_text(tuple(r) for r in queries.QUERIES[name](spark, "").collect())
+
+
+def test_runs_of_odd_texts(spark, monkeypatch):
+    df = odd(spark, ("id", "KEY", "runs", "n_words", "collapsed"))
+    expected = [expected_row(r.doc_id, r.text) for r in df.collect()]
+    assert registered(spark, monkeypatch, "op12_periodic_runs", df) == rows_as_text(expected)
+    assert registered(spark, monkeypatch, "op12_periodic_runs", df.limit(0)) == []
+
+
+def test_runs_of_documents(spark):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()
+    got = rows_as_text(tuple(r) for r in queries.QUERIES["op12_periodic_runs"](spark, SF_DIR).collect())
+    expected = [expected_row(r.doc_id, r.text) for r in docs if len((r.text or "").split()) < 1500]
+    assert set(rows_as_text(expected)) <= set(got) and len(got) == len(docs)
+
+
+# ---- fill-in-middle ----
+
+def middle_row(key, text):
+    text = text or ""
+    units = re.findall(r"[A-Za-z]+|[^A-Za-z]", text, re.S)
+    digest = hashlib.sha256(f"1:{'' if key is None else key}".encode()).hexdigest()
+    h = [int(digest[8 * i:8 * i + 8], 16) for i in range(4)]
+    a, b = sorted((h[0] % (len(units) + 1), h[1] % (len(units) + 1)))
+    p, m, s = ("".join(units[x:y]) for x, y in ((0, a), (a, b), (b, len(units))))
+    if not text or re.search("<[PSM]>", text) or h[2] % 100 >= 90:
+        form, out, sizes = "plain", text, (None, None)
+    elif h[3] % 100 < 20:
+        form, out, sizes = "spm", f"<S>{s}<P>{p}<M>{m}", (len(p), len(m))
+    else:
+        form, out, sizes = "psm", f"<P>{p}<S>{s}<M>{m}", (len(p), len(m))
+    return key, len(units), form, *sizes, out
+
+
+def test_middles_of_odd_texts(spark):
+    df = odd(spark, ("id", "H1", "form", "n", "output", "restored"))
+    more = spark.createDataFrame([(i, "<" * (i % 4) + "S>P<" * (i % 3) + " é>" * i) for i in range(300, 420)], "doc_id bigint, text string")
+    df = df.unionByName(more, allowMissingColumns=True)
+    rows = [(r.doc_id, r.text) for r in df.collect()]
+    got = fim.transform(df)
+    assert rows_as_text(tuple(r) for r in got.collect()) == rows_as_text(middle_row(*r) for r in rows)
+    assert {r.form for r in got.collect()} == {"plain", "psm", "spm"}
+    back = fim.restore(got.withColumn("RESTORED", F.lit("old"))).select("id", "restored").collect()
+    assert rows_as_text(tuple(r) for r in back) == rows_as_text((k, t or "") for k, t in rows)
+    assert fim.restore(fim.transform(df.limit(0))).collect() == []
+
+
+# ---- rules and archives ----
+
+def test_judged_rows_can_be_filtered(spark):
+    long = " ".join(f"w{i}" for i in range(20_000))
+    df = spark.createDataFrame([(1, long), (2, "a b c " * 30), (3, None)], "doc_id bigint, text string").withColumn("KEPT", F.lit("old"))
+    judged = rules.judge(df, [[rules.Condition(0, True, 1e6)]])
+    assert [r.doc_id for r in judged.filter("kept").collect()] == [1]
+    assert sorted(r.doc_id for r in judged.filter("base_failed AND n_words < 1000").collect()) == [2, 3]
+
+
+def test_archives_are_read_by_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(warc, "READ_BYTES", 1000)
+    rows = spark.range(60).select(F.col("id").alias("page_id"), F.lit("u").alias("url"),
+                                  F.sha2(F.col("id").cast("string"), 512).alias("html")).repartition(5)
+    folder = warc.qualified(spark, warc.shared_dir(spark, "warc"))
+    index = warc.write(rows, folder)
+    read = warc.read(index)
+    assert read.rdd.getNumPartitions() >= index.agg(F.sum("length")).first()[0] // 1000 >= 10
+    assert read.count() == 60
