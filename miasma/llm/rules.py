@@ -92,9 +92,18 @@ def with_repeats(df: DataFrame, words: str, out: str, width: int = 3) -> DataFra
     return df.withColumn(out, _covered(F.col(f"{_T}at"), width)).drop(f"{_T}at")
 
 
+def _without(docs: DataFrame, names) -> DataFrame:
+    """``docs`` without columns of these names; Spark compares names without case."""
+    return docs.select([c for c in docs.columns if c.lower() not in names])
+
+
 def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """All columns, the base counts and the shares that rules test."""
-    docs = docs.select([c for c in docs.columns if c not in (*BASE, *SHARES)])
+    """All columns, the base counts and the shares that rules test.
+
+    The statistics are spread by ``inline``: Spark would push a filter on a plain column below the
+    projections that build it, and work out the arrays anew for each of their elements.
+    """
+    docs = _without(docs, (*BASE, *SHARES))
     text, words, lines = F.col(f"{_T}text"), f"{_T}words", f"{_T}lines"
     df = (docs.withColumn(f"{_T}text", F.coalesce(F.col(text_col), F.lit("")))
           .withColumn(words, F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
@@ -112,9 +121,10 @@ def with_statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
           .withColumn("mark_share", _share(_count(text, "!?;:"), F.col("n_words")))
           .drop(lines, f"{_T}text"))
     df = with_repeats(df, words, "n_repeat_words").drop(words)
-    return (df.withColumn("chars_per_word", _share(F.col("word_chars"), F.col("n_words")))
-            .withColumn("symbols_per_word", _share(F.col("n_symbols"), F.col("n_words")))
-            .withColumn("repeat_share", _share(F.col("n_repeat_words"), F.col("n_words"))))
+    df = (df.withColumn("chars_per_word", _share(F.col("word_chars"), F.col("n_words")))
+          .withColumn("symbols_per_word", _share(F.col("n_symbols"), F.col("n_words")))
+          .withColumn("repeat_share", _share(F.col("n_repeat_words"), F.col("n_words"))))
+    return df.select(*docs.columns, F.inline(F.array(F.struct(*BASE, *SHARES))))
 
 
 @dataclass(frozen=True)
@@ -214,7 +224,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id",
               .orderBy(by_hash, "_id", "_label").limit(max_rows))
     rows = (with_statistics(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
                             .join(F.broadcast(chosen), "_id"), "_text")
-            .select("_label", *STATISTICS).orderBy(*STATISTICS, "_label").limit(max_rows).collect())
+            .orderBy(by_hash, "_id", *STATISTICS, "_label").select("_label", *STATISTICS).limit(max_rows).collect())
     if not rows:
         return np.zeros((0, len(STATISTICS))), np.zeros(0, bool)
     table = np.array([tuple(r) for r in rows], float)
@@ -243,16 +253,11 @@ def verdict(rules: list[Rule]) -> Column:
 
 def judge(docs: DataFrame, rules: list[Rule], text_col: str = "text") -> DataFrame:
     """All rows and columns, their statistics, ``base_failed`` and ``kept``."""
-    keep = [c for c in docs.columns if c not in ("base_failed", "kept")]
-    return (with_statistics(docs.select(keep), text_col).withColumn("base_failed", base_failed())
+    return (with_statistics(_without(docs, ("base_failed", "kept")), text_col).withColumn("base_failed", base_failed())
             .withColumn("kept", ~F.col("base_failed") & verdict(rules)))
 
 
 def select_good(docs: DataFrame, rules: list[Rule], text_col: str = "text") -> DataFrame:
     """Rows of ``docs`` that are kept, columns unchanged whatever their names."""
     rows = docs.select(F.struct(*docs.columns).alias(f"{_T}row"), F.col(text_col).alias(f"{_T}input"))
-    # Spark would push the filter below the projections that build the statistics and work out the
-    # arrays anew for each of their elements; it moves no filter past a column that depends on
-    # where a row lies.
-    judged = judge(rows, rules, f"{_T}input").withColumn(f"{_T}where", F.spark_partition_id())
-    return judged.filter(F.col("kept") & (F.col(f"{_T}where") >= 0)).select(f"{_T}row.*")
+    return judge(rows, rules, f"{_T}input").filter("kept").select(f"{_T}row.*")

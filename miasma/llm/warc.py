@@ -42,6 +42,7 @@ from miasma.session import shared_dir
 MIN_SHARED_BYTES = 100
 ARCHIVE_BYTES = 256 << 20
 CHUNK = 8 << 20
+READ_BYTES = 64 << 20
 MAX_GAP = 64 << 10
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _INDEX = ["file", "offset", "length", "page_id", "url", "payload_digest", "record_type"]
@@ -160,9 +161,15 @@ def runs(ranges: list[tuple[int, int]], max_gap: int = MAX_GAP) -> list[tuple[in
 def read(index: DataFrame, payloads: bool = True) -> DataFrame:
     """The records of the index rows given: (page_id, url, record_type, refers_to, payload_bytes,
     payload_digest, payload). A revisit has no payload; ``payloads=False`` leaves the column out
-    after the digests were checked."""
-    chunks = (index.groupBy("file", F.floor(F.col("offset") / CHUNK).alias("chunk"))
-              .agg(F.collect_list(F.struct("offset", "length")).alias("ranges")))
+    after the digests were checked.
+
+    The number of reading tasks follows the archive bytes behind the index rows, not the rows' own
+    size, by which adaptive execution would put all of them into one task.
+    """
+    behind = index.agg(F.sum("length")).first()[0] or 0
+    tasks = max(-(-behind // READ_BYTES), index.sparkSession.sparkContext.defaultParallelism)
+    chunks = (index.withColumn("chunk", F.floor(F.col("offset") / CHUNK)).repartition(tasks, "file", "chunk")
+              .groupBy("file", "chunk").agg(F.collect_list(F.struct("offset", "length")).alias("ranges")))
     names = ["page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"]
     kinds = [pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary()]
     ddl = "page_id bigint, url string, record_type string, refers_to bigint, payload_bytes bigint, payload_digest string, payload binary"
