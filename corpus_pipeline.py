@@ -1,5 +1,10 @@
 """A corpus from raw documents to token ids: five stages, each reading what the last one wrote.
 
+Null and empty texts, repeated rows, ties, empty tables and further columns are treated as the
+operators' docstrings say: the quality stages drop texts of fewer than 50 words, empty ones
+included; of equal rows the near-dedup stage keeps one; empty tables give empty results; all
+columns of ``documents`` stay up to the last stage.
+
 ``STAGES`` holds (name, function); a function takes (spark, docs, sf_dir) and returns a DataFrame.
 All but the last return the columns of ``docs``. ``run`` writes each stage's rows as Parquet to the
 shared folder and hands what it reads back to the next.
@@ -26,8 +31,10 @@ def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that neither the base rule nor the learned list rejects."""
-    return rules.select_good(docs, rules.train(docs, _table(spark, sf_dir, "labels")))
+    """Documents that neither the base rule nor the learned list rejects. The list is learned from the
+    labelled rows of all documents: the classifier has taken most bad ones away from ``docs``."""
+    found = rules.train(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return rules.select_good(docs, found)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
