@@ -102,6 +102,28 @@ def as_of_lags(weeks: DataFrame, cases: DataFrame, keys=(REGION,)) -> DataFrame:
             .select(*on, *[F.col(f"counts.{c}").alias(n) for c, n in zip(("last", "last_2", "last_3"), names)]))
 
 
+def forecast_steps(weeks: DataFrame, cases: DataFrame, keys=(REGION,)) -> DataFrame:
+    """The (keys, year, weekofyear) of ``weeks`` in the order in which a recursive forecast takes them.
+
+    ``step`` numbers a region's weeks from 1. ``known`` holds the up to three newest counts that lie
+    between a week and the forecast week before it, newest first, as structs (value, scored): a step
+    sees these, then what the steps before it left. Each region and week occurs once at most.
+    """
+    on = [*keys, "year", "weekofyear"]
+    wanted = weeks.select(*[F.col(c).cast(cases.schema[c].dataType).alias(c) for c in on],
+                          F.lit(None).cast("double").alias("value"), F.lit(True).alias("wanted"))
+    known = cases.select(*on, F.col("total_cases").cast("double").alias("value"), F.lit(False).alias("wanted"))
+    in_order = Window.partitionBy(*keys).orderBy("year", "weekofyear")
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    both = known.unionByName(wanted).withColumn("step", F.coalesce(F.count_if("wanted").over(before), F.lit(0)) + 1)
+    newest = Window.partitionBy(*keys, "step").orderBy(F.desc("year"), F.desc("weekofyear"))
+    recent = (both.filter("NOT wanted").withColumn("back", F.row_number().over(newest)).filter("back <= 3")
+              .groupBy(*keys, "step").agg(F.sort_array(F.collect_list(F.struct("back", "value"))).alias("counts")))
+    as_known = F.transform("counts", lambda c: F.struct(c["value"].alias("value"), F.lit(False).alias("scored")))
+    return (both.filter("wanted").select(*on, "step").join(recent, [*keys, "step"], "left")
+            .select(*on, "step", F.coalesce(as_known, F.array().cast("array<struct<value:double,scored:boolean>>")).alias("known")))
+
+
 def last_known_lags(cases: DataFrame, key: str = REGION) -> DataFrame:
     """Per region its three latest counts, as the lags of the first week to come."""
     latest = Window.partitionBy(key).orderBy(F.desc("year"), F.desc("weekofyear"))

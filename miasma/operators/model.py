@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import RandomForestRegressionModel, RandomForestRegressor
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from miasma.functions.numeric import from_log, to_log
+from miasma.operators.features import REGION
 from miasma.schema import CASE_KEY, FEATURES, LABEL
 from miasma.sinks.tables import VersionLog, new_attempt
 
@@ -18,6 +20,7 @@ FOREST = {"numTrees": 100, "maxDepth": 10, "maxBins": 32}
 SPLIT_SEED = 1947
 TEST_PERCENT = 20
 FOREST_SEED = 42
+REGION_INDEX = "region_index"
 # Partitions of the training rows; part of what makes a seed repeatable, so it does not follow the data.
 TRAIN_PARTITIONS = 16
 
@@ -84,11 +87,39 @@ def train_forest(train: DataFrame, keys=tuple(CASE_KEY), seed: int = FOREST_SEED
     return forest.fit(rows.select("features", LABEL))
 
 
-def score(model: RandomForestRegressionModel, rows: DataFrame, features=FEATURES) -> DataFrame:
-    """Add ``prediction`` on the scale of cases."""
-    scored = model.transform(assemble(rows, features))
+def train_region_forest(train: DataFrame, keys=tuple(CASE_KEY), seed: int = FOREST_SEED,
+                        features=FEATURES, region: str = REGION, **size) -> PipelineModel:
+    """Forest on log cases whose inputs include the region as a category, not as a number.
+
+    Indexer, assembler and forest are one pipeline. The indexer's labels go into the vector's
+    metadata, so trees split on sets of regions. Regions are numbered in the order of their names,
+    which makes the forest independent of the table's layout. A region that training has not seen,
+    or a null, is a category of its own without training rows: a split on regions sends it to the
+    right, and the other inputs decide the rest.
+
+    The labels are kept on the driver and a split has a bin per region, so this is for tens or
+    hundreds of regions.
+    """
+    indexer = StringIndexer(inputCol=region, outputCol=REGION_INDEX, handleInvalid="keep",
+                            stringOrderType="alphabetAsc").fit(train.select(region))
+    size = {**FOREST, **size}
+    size["maxBins"] = max(size["maxBins"], len(indexer.labels) + 1)
+    assembler = VectorAssembler(inputCols=[*features, REGION_INDEX], outputCol="features", handleInvalid="error")
+    rows = assembler.transform(indexer.transform(with_label(_training_order(train, keys))))
+    forest = RandomForestRegressor(featuresCol="features", labelCol=LABEL, predictionCol="log_prediction", seed=seed, **size)
+    return PipelineModel(stages=[indexer, assembler, forest.fit(rows.select("features", LABEL))])
+
+
+def known_regions(model: PipelineModel) -> list[str]:
+    """The regions that a region forest was trained on."""
+    return list(model.stages[0].labels)
+
+
+def score(model: RandomForestRegressionModel | PipelineModel, rows: DataFrame, features=FEATURES) -> DataFrame:
+    """Add ``prediction`` on the scale of cases. A pipeline makes its own input vector."""
+    scored = model.transform(rows if isinstance(model, PipelineModel) else assemble(rows, features))
     return (scored.withColumn("prediction", from_log(F.col("log_prediction")))
-            .drop("features", "log_prediction"))
+            .drop("features", "log_prediction", REGION_INDEX))
 
 
 def prediction_table(scored: DataFrame, keys=()) -> DataFrame:

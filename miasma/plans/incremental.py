@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from miasma.operators.aggregate import empty_weekly, weekly_upsert
-from miasma.operators.features import as_of_lags, forecast_features
+from miasma.operators.features import as_of_lags, forecast_features, forecast_steps
+from miasma.operators.geo import add_neighbour_lags
 from miasma.operators.keys import restrict_to_weeks, unmatched_weeks
-from miasma.operators.model import load_model, prediction_table, save_model, score, train_forest
+from miasma.operators.model import prediction_table, score
 from miasma.plans.bootstrap import Store
 from miasma.schema import MEASURES
+from miasma.session import shared_dir, written
 from miasma.sinks.tables import new_attempt
 from miasma.sources.files import (list_files, new_files, read_table, rows_of_files,
                                   years_of_files)
@@ -61,9 +65,7 @@ def retrain(store: Store, cases: DataFrame, **forest_size):
     stored rows. The split by key keeps test weeks out of the training rows for ever.
     """
     store.put_features(store.feature_rows(cases))
-    model = train_forest(store.features(is_test=False), **forest_size)
-    save_model(model, store.spark, store.model_root)
-    return model
+    return store.train(**forest_size)
 
 
 def forecast_rows(store: Store, cases: DataFrame) -> DataFrame:
@@ -75,12 +77,57 @@ def forecast_rows(store: Store, cases: DataFrame) -> DataFrame:
     weekly, keys = store.weekly.read(), store.keys
     weeks = unmatched_weeks(weekly, cases, keys)
     wanted = restrict_to_weeks(weekly, weeks, keys)
-    return forecast_features(wanted, as_of_lags(weeks, cases, keys) if keys else None, keys)
+    rows = forecast_features(wanted, as_of_lags(weeks, cases, keys) if keys else None, keys)
+    return rows if store.near is None else add_neighbour_lags(rows, cases, store.near)
 
 
 def forecast(store: Store, cases: DataFrame) -> DataFrame:
     """Predict the weeks of ``forecast_rows``; stored and returned."""
     rows, keys = forecast_rows(store, cases), store.keys
-    model = load_model(store.spark, store.model_root)
-    store.predictions.replace(prediction_table(score(model, rows), keys))
+    store.predictions.replace(prediction_table(score(store.model(), rows, store.inputs), keys))
     return store.predictions.read()
+
+
+def recursive_forecast(store: Store, cases: DataFrame, score_rows: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """Predict the weeks of ``forecast_rows`` one after the other: a region's forecast is a lag of its
+    weeks to come. Returns the feature rows with ``prediction`` and ``scored_lags``, which tells of
+    each lag whether it is a forecast.
+
+    Step s works on the s-th such week of every region at once and is stored with each region's last
+    three values, the state of the next step; counts that lie between two forecast weeks come first.
+    There are as many steps as weeks to forecast in the region with most of them.
+    ``score_rows`` adds ``prediction``; the stored model does it by default. Neighbours' counts stay
+    those that are known.
+    """
+    if not store.keys:
+        raise ValueError("a recursive forecast needs a regional store")
+    spark, keys = store.spark, list(store.keys)
+    scoring = score_rows or (lambda rows, model=store.model(): score(model, rows, store.inputs))
+    names = ["lag_cases", "lag_cases_2", "lag_cases_3"]
+    weeks = unmatched_weeks(store.weekly.read(), cases, keys)
+    plan = forecast_steps(weeks, cases, keys)
+    rows = forecast_features(restrict_to_weeks(store.weekly.read(), weeks, keys), None, keys).drop(*names)
+    if store.near is not None:
+        rows = add_neighbour_lags(rows, cases, store.near)
+    # The keys of feature rows are doubles.
+    plan = plan.withColumns({c: F.col(c).cast("double") for c in ("year", "weekofyear")})
+    rows = written(spark, rows.join(plan, [*keys, "year", "weekofyear"]), "recursive-rows")
+    steps = rows.agg(F.max("step")).first()[0] or 0
+    state = spark.createDataFrame([], rows.select(*keys, F.col("known").alias("last")).schema)
+    done: list[str] = []
+    for step in range(1, steps + 1):
+        now = rows.filter(F.col("step") == step).join(state, keys, "left")
+        last = F.slice(F.concat("known", F.coalesce("last", F.array().cast(rows.schema["known"].dataType))), 1, 3)
+        now = now.withColumn("last", last).withColumns({
+            **{n: F.coalesce(F.get("last", i)["value"], F.lit(0.0)) for i, n in enumerate(names)},
+            "scored_lags": F.transform("last", lambda v: v["scored"])})
+        path = shared_dir(spark, f"recursive-step-{step}")
+        scoring(now.drop("known", "step")).write.parquet(path)
+        done.append(path)
+        # A region that has a step has all before it, so the step just written is all that the next one needs.
+        value = F.struct(F.col("prediction").alias("value"), F.lit(True).alias("scored"))
+        state = spark.read.parquet(path).select(*keys, F.slice(F.concat(F.array(value), "last"), 1, 3).alias("last"))
+    if not done:
+        return scoring(rows.withColumns({**{n: F.lit(0.0) for n in names}, "scored_lags": F.array().cast("array<boolean>")})
+                       .drop("known", "step"))
+    return spark.read.parquet(*done).drop("last")

@@ -49,7 +49,7 @@ def _regional_store(spark, sf_dir, cases):
     store.weekly.replace(regional.regional_weekly(
         st.observations(spark, sf_dir), st.station_regions(spark, sf_dir), USED))
     store.put_features(store.feature_rows(cases))
-    model.save_model(model.train_forest(store.features(is_test=False)), spark, store.model_root)
+    store.train()
     return store
 
 

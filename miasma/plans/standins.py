@@ -141,8 +141,9 @@ def raw_events(events: DataFrame, dirty: bool = False) -> DataFrame:
     return events.select(*[made.get(c, F.lit("")).alias(c) for c in RAW_COLUMNS])
 
 
-def weekly_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders per region and week as (city, year, weekofyear, total_cases).
+def weekly_cases(spark: SparkSession, sf_dir: str, place: str = "city") -> DataFrame:
+    """Orders per region and week as (city, year, weekofyear, total_cases); with ``place="n_name"``
+    a nation takes the part of a region.
 
     Orders shrink to customer-weeks before they meet the customer table, so a customer with
     very many orders moves as few rows as any other.
@@ -152,10 +153,10 @@ def weekly_cases(spark: SparkSession, sf_dir: str) -> DataFrame:
                     .groupBy("o_custkey", F.year(date).cast("int").alias("year"),
                              F.weekofyear(date).cast("int").alias("weekofyear"))
                     .agg(F.count("*").alias("n")))
-    place = (table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-             .join(_nations(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
-             .select("c_custkey", "city"))
-    return (per_customer.join(place, F.col("o_custkey") == F.col("c_custkey"))
+    places = (table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+              .join(_nations(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"))
+              .select("c_custkey", F.col(place).alias("city")))
+    return (per_customer.join(places, F.col("o_custkey") == F.col("c_custkey"))
             .groupBy("city", "year", "weekofyear")
             .agg(F.sum("n").cast("int").alias("total_cases")))
 
@@ -167,11 +168,11 @@ def _nations(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("n_nationkey", "n_name", F.col("r_name").alias("city")))
 
 
-def station_regions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Station → region, from suppliers."""
+def station_regions(spark: SparkSession, sf_dir: str, place: str = "city") -> DataFrame:
+    """Station → region (or nation), from suppliers."""
     return (table(spark, sf_dir, "supplier")
             .join(_nations(spark, sf_dir), F.col("s_nationkey") == F.col("n_nationkey"))
-            .select(F.lpad(F.col("s_suppkey").cast("string"), 11, "0").alias("STATION"), "city"))
+            .select(F.lpad(F.col("s_suppkey").cast("string"), 11, "0").alias("STATION"), F.col(place).alias("city")))
 
 
 # ---- the same tables as SQL, to be put after WITH ----

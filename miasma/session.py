@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings a job should start with; all are public Spark options.
 RECOMMENDED_CONF = {
@@ -26,3 +26,10 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A new folder under ``spark.checkpoint.dir``, which every executor can reach."""
     base = spark.conf.get("spark.checkpoint.dir", None) or DEFAULT_SHARED_DIR
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """A table written to a new shared folder and read back: worked out once, lineage cut."""
+    path = shared_dir(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
