@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from miasma.operators.aggregate import empty_weekly, weekly_upsert
@@ -16,9 +16,11 @@ from miasma.plans.bootstrap import Store
 from miasma.schema import MEASURES
 from miasma.session import shared_dir, written
 from miasma.sinks.tables import new_attempt
-from miasma.sources.files import (list_files, new_files, read_table, rows_of_files,
+from miasma.sources.files import (list_files, new_files, read_files, read_table, rows_of_files,
                                   years_of_files)
 
+MAX_NAMED_FILES = 10_000
+
 
 def merge_daily(store: Store, daily: DataFrame, delivery: str, measures=MEASURES) -> int | None:
     """Merge daily means that carry a delivery's name; returns the version.
@@ -32,6 +34,18 @@ def merge_daily(store: Store, daily: DataFrame, delivery: str, measures=MEASURES
     return table.replace(weekly_upsert(table.read(), daily, table.keys, measures), stream, 0)
 
 
+def rows_of_new_files(spark: SparkSession, daily_root: str, fresh: DataFrame) -> DataFrame:
+    """Rows of the listed files of a daily table. Usually the files of a delivery are named and only
+    they are read. A first load may have too many to name: then the years they lie in are read and
+    joined with the list; the rows are the same."""
+    paths = [r.path for r in fresh.select("path").limit(MAX_NAMED_FILES + 1).collect()]
+    if len(paths) <= MAX_NAMED_FILES:
+        return read_files(spark, daily_root, paths)
+    # A handful of years at most; as literals they prune the scan to the folders that changed.
+    years = [r.year for r in years_of_files(fresh).collect()]
+    return rows_of_files(read_table(spark, daily_root).filter(F.col("Weather_Year").isin(years)), fresh)
+
+
 def merge_new_files(store: Store, daily_root: str, measures=MEASURES) -> int | None:
     """Merge the files of a daily table that no earlier run has merged; returns the version.
 
@@ -46,11 +60,7 @@ def merge_new_files(store: Store, daily_root: str, measures=MEASURES) -> int | N
     last, attempt = table.log.latest(), new_attempt()
     ledger = f"{store.ledger_path}/attempt={attempt}"
     fresh.select("path").write.parquet(ledger)
-    fresh = spark.read.parquet(ledger)
-    # A handful of years at most; as literals they prune the scan to the folders that changed.
-    years = [r.year for r in years_of_files(fresh).collect()]
-    touched = read_table(spark, daily_root).filter(F.col("Weather_Year").isin(years))
-    incoming = rows_of_files(touched, fresh)
+    incoming = rows_of_new_files(spark, daily_root, spark.read.parquet(ledger))
     existing = empty_weekly(spark, measures, table.keys) if last is None else table.read(last)
     version = 0 if last is None else last + 1
     table.write(weekly_upsert(existing, incoming, table.keys, measures), version, attempt)

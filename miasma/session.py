@@ -18,13 +18,22 @@ RECOMMENDED_CONF = {
 }
 
 # Used where spark.checkpoint.dir is unset. Without a scheme, so it lies in the cluster's
-# default file system, which all executors share; in a local session that is the local disk.
+# default file system; in a local session that is the local disk.
 DEFAULT_SHARED_DIR = "/tmp/checkpoints"
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder under ``spark.checkpoint.dir``, which every executor can reach."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or DEFAULT_SHARED_DIR
+    """A new folder under ``spark.checkpoint.dir``, which every executor can reach.
+
+    Where that is unset, a cluster whose default file system is each machine's own disk is refused:
+    readers would miss what other machines wrote.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base, context = DEFAULT_SHARED_DIR, spark.sparkContext
+        default = context._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
+        if not context.master.startswith("local") and default.startswith("file:"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 

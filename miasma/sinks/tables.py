@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import time
 import uuid
 
@@ -11,6 +12,7 @@ from pyspark.sql.utils import AnalysisException
 
 from miasma.operators.keys import new_rows
 from miasma.schema import WEEK_KEY
+from miasma.sinks.exclusive import publish_once
 from miasma.sources.files import list_files, new_files, read_ledger
 
 
@@ -65,13 +67,11 @@ def land_new_files(spark: SparkSession, source: str, path: str, read, suffix: st
 def landed(spark: SparkSession, path: str) -> DataFrame:
     """Everything that ``land_new_files`` has committed, year column included."""
     log = VersionLog(spark, path)
-    found = None
-    for row in log.committed().orderBy("version").collect():
-        part = spark.read.parquet(log.path(row.version, row.attempt))
-        found = part if found is None else found.unionByName(part)
-    if found is None:
+    paths = [log.path(r.version, r.attempt) for r in log.committed().orderBy("version").collect()]
+    if not paths:
         raise ValueError(f"nothing landed yet: {path}")
-    return found
+    # One scan of all deliveries. Below the base path a delivery's folder reads as a column.
+    return spark.read.option("basePath", log.root).parquet(*paths).drop("version")
 
 
 class ConcurrentWrite(RuntimeError):
@@ -81,10 +81,11 @@ class ConcurrentWrite(RuntimeError):
 class VersionLog:
     """Numbered versions below a root, each attempt in a folder of its own.
 
-    A version counts once a row in ``_versions`` names its attempt; readers take the highest, so
-    a job that dies leaves the last version in force. Of two attempts at one number the first to
-    commit wins and the other fails; neither overwrites the other's folder. A commit may carry the
-    stream and batch it holds, so that a replay is told from news.
+    A version counts once its file in ``_versions`` exists; the file names the attempt. It is made
+    exclusively (see ``publish_once``), so of two attempts at one number one wins, whatever their
+    clocks say, and the other fails; neither overwrites the other's folder. Readers take the highest
+    version, so a job that dies leaves the last one in force. A commit may carry the stream and
+    batch it holds, so that a replay is told from news.
     """
 
     SCHEMA = "version BIGINT, attempt STRING, at BIGINT, stream STRING, batch BIGINT"
@@ -102,13 +103,11 @@ class VersionLog:
     def committed(self) -> DataFrame:
         """One row per version: the attempt that counts."""
         try:
-            rows = self.spark.read.schema(self.SCHEMA).parquet(f"{self.root}/_versions")
+            return self.spark.read.schema(self.SCHEMA).json(f"{self.root}/_versions")
         except AnalysisException as e:
             if e.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], self.SCHEMA)
-        first = rows.groupBy("version").agg(F.min(F.struct("at", "attempt", "stream", "batch")).alias("first"))
-        return first.select("version", "first.attempt", "first.at", "first.stream", "first.batch")
 
     def latest(self) -> int | None:
         return self.committed().agg(F.max("version")).first()[0]
@@ -122,15 +121,14 @@ class VersionLog:
         return 0 if last is None else last + 1
 
     def latest_path(self) -> str:
-        last = self.latest()
+        last = self.committed().agg(F.max(F.struct("version", "attempt")).alias("last")).first().last
         if last is None:
             raise ValueError(f"nothing written yet: {self.root}")
-        return self.path(last)
+        return self.path(last.version, last.attempt)
 
     def commit(self, version: int, attempt: str, stream: str | None = None, batch: int | None = None) -> None:
-        row = [(version, attempt, time.time_ns(), stream, batch)]
-        self.spark.createDataFrame(row, self.SCHEMA).coalesce(1).write.mode("append").parquet(f"{self.root}/_versions")
-        if self.path(version) != self.path(version, attempt):
+        row = {"version": version, "attempt": attempt, "at": time.time_ns(), "stream": stream, "batch": batch}
+        if not publish_once(self.spark, f"{self.root}/_versions/{version:012d}.json", json.dumps(row)):
             raise ConcurrentWrite(f"version {version} of {self.root} was committed by another writer")
 
 
@@ -166,18 +164,28 @@ class VersionedTable:
         return version
 
     def upsert(self, rows: DataFrame) -> int:
-        """Next version: ``rows``, and the stored rows whose key is not among them."""
+        """Next version: ``rows``, and the stored rows whose key is not among them. Of rows that
+        share a key the greatest counts, compared column by column."""
+        rows = one_per_key(rows, self.keys)
         if self.log.latest() is None:
-            return self.replace(rows.dropDuplicates(self.keys))
+            return self.replace(rows)
         kept = new_rows(self.read(), rows, self.keys)
-        return self.replace(rows.dropDuplicates(self.keys).unionByName(kept.select(rows.columns)))
+        return self.replace(rows.unionByName(kept.select(rows.columns)))
+
+
+def one_per_key(df: DataFrame, keys) -> DataFrame:
+    """One row per key: the greatest of those that share it, compared column by column."""
+    rest = [c for c in df.columns if c not in keys]
+    if not rest:
+        return df.distinct()
+    return df.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("rest_")).select(*keys, "rest_.*").select(df.columns)
 
 
 def append_new(incoming: DataFrame, path: str, keys) -> None:
     """Append the rows whose key the table does not hold yet, so a repeated run adds nothing.
-    A key that a delivery repeats is stored once."""
+    A key that a delivery repeats is stored once (see ``one_per_key``)."""
     spark = incoming.sparkSession
-    new_rows(incoming.dropDuplicates(list(keys)), spark.read.parquet(path), keys).write.mode("append").parquet(path)
+    new_rows(one_per_key(incoming, list(keys)), spark.read.parquet(path), keys).write.mode("append").parquet(path)
 
 
 def append_ledger(files: DataFrame, path: str) -> None:

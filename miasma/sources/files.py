@@ -86,6 +86,11 @@ def rows_of_files(table: DataFrame, files: DataFrame) -> DataFrame:
     return tagged.join(files.select("path"), "path", "left_semi").drop("path")
 
 
+def read_files(spark: SparkSession, root: str, paths: list[str]) -> DataFrame:
+    """Exactly these files of a table, partition columns included. Nothing else is listed or read."""
+    return spark.read.option("basePath", root).parquet(*paths)
+
+
 def years_of_files(files: DataFrame) -> DataFrame:
     """Sorted distinct years of partitioned files: the years a load has changed."""
     return (files.select(partition_value(F.col("path"), "Weather_Year").cast("int").alias("year"))

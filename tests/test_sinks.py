@@ -169,9 +169,100 @@ def test_files_are_merged_once_even_if_a_run_dies(spark, tmp_path, monkeypatch):
 def test_shared_folder_is_the_checkpoint_folder_or_a_path_of_the_default_file_system(spark):
     from miasma import session
 
+    class Hadoop:
+        def __init__(self, default):
+            self.default = default
+
+        def hadoopConfiguration(self):
+            return {"fs.defaultFS": self.default}
+
     class Unset:
         conf = {}
 
+        def __init__(self, master, default):
+            self.sparkContext = type("Context", (), {"master": master, "_jsc": Hadoop(default)})
+
     given = spark.conf.get("spark.checkpoint.dir").rstrip("/")
     assert session.shared_dir(spark, "x").startswith(given + "/x-")
-    assert session.shared_dir(Unset, "x").startswith("/tmp/checkpoints/x-")
+    for master, default in (("local[8]", "file:///"), ("spark://h:7077", "hdfs://h/")):
+        assert session.shared_dir(Unset(master, default), "x").startswith("/tmp/checkpoints/x-")
+    with pytest.raises(ValueError):
+        session.shared_dir(Unset("spark://h:7077", "file:///"), "x")
+
+
+def test_one_of_two_writers_wins_whatever_the_clocks_say(spark, path, monkeypatch):
+    """Both see that version 0 is next; the one whose clock is behind commits second."""
+    one, other = tables.VersionedTable(spark, path, (), ["k"]), tables.VersionedTable(spark, path, (), ["k"])
+    rows = lambda v: spark.createDataFrame([(1, v)], "k int, v int")
+    first, second = one.log.following(), other.log.following()
+    one.write(rows(111), first)
+    assert one.read().first().v == 111
+    monkeypatch.setattr(tables.time, "time_ns", lambda: 0)
+    with pytest.raises(tables.ConcurrentWrite):
+        other.write(rows(222), second)
+    assert one.read().first().v == other.read().first().v == 111
+    assert other.replace(rows(333)) == 1 and one.read().first().v == 333
+
+
+def test_many_writers_of_one_file(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from miasma.sinks.exclusive import publish_once
+
+    target = str(tmp_path / "folder" / "commit.json")
+    with ThreadPoolExecutor(8) as pool:
+        made = list(pool.map(lambda i: publish_once(spark, target, f"writer {i}"), range(24)))
+    assert sum(made) == 1
+    assert open(target).read() == f"writer {made.index(True)}"
+    assert [f.name for f in (tmp_path / "folder").iterdir()] == ["commit.json"]
+
+
+def test_a_second_run_reads_only_new_files(spark, tmp_path, monkeypatch):
+    from miasma.operators.aggregate import daily_avg
+    from miasma.plans import bootstrap, incremental
+
+    store, days, read = bootstrap.Store(spark, str(tmp_path / "store")), str(tmp_path / "daily"), []
+    plain = incremental.rows_of_new_files
+
+    def watched(*args):
+        rows = plain(*args)
+        read.append(set(rows.inputFiles()))
+        return rows
+
+    monkeypatch.setattr(incremental, "rows_of_new_files", watched)
+    on_disk = []
+    for d in range(1, 4):
+        obs = spark.createDataFrame([(dt.date(2024, 1, d), 1.0)], "DATE DATE, TEMP DOUBLE")
+        tables.write_partitioned(daily_avg(obs, ["TEMP"]), days, mode="append")
+        on_disk.append(set(spark.read.parquet(days).inputFiles()))
+        incremental.merge_new_files(store, days, ["TEMP"])
+    assert read == [on_disk[0], on_disk[1] - on_disk[0], on_disk[2] - on_disk[1]]
+    monkeypatch.setattr(incremental, "MAX_NAMED_FILES", 0)
+    obs = spark.createDataFrame([(dt.date(2024, 1, 9), 1.0)], "DATE DATE, TEMP DOUBLE")
+    tables.write_partitioned(daily_avg(obs, ["TEMP"]), days, mode="append")
+    incremental.merge_new_files(store, days, ["TEMP"])
+    assert store.weekly.read().agg(F.sum("record_count")).first()[0] == 4
+
+
+def test_deliveries_are_one_scan(spark, tmp_path):
+    from tests.records import HEADER, line, record
+
+    feed = tmp_path / "feed"
+    feed.mkdir()
+    for d in range(1, 5):
+        (feed / f"{d}.csv").write_text("\n".join([line(HEADER), line(record(DATE=f"2024-01-0{d}"))]) + "\n")
+        tables.land_new_files(spark, str(feed), str(tmp_path / "landing"), lambda paths: files.read_observation_csv(spark, paths))
+    landed = tables.landed(spark, str(tmp_path / "landing"))
+    plan = landed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 1 and "Union" not in plan
+    assert sorted(r.DATE for r in landed.collect()) == [f"2024-01-0{d}" for d in range(1, 5)]
+    assert "version" not in landed.columns and landed.first().year == 2024
+
+
+def test_of_repeated_keys_the_greatest_row_counts(spark, path):
+    table = tables.VersionedTable(spark, path, (), ["k"])
+    rows = spark.createDataFrame([(1, 5, "a"), (1, 7, "b"), (1, 7, "a"), (2, None, "z")], "k int, v int, w string")
+    table.upsert(rows)
+    assert sorted(map(tuple, table.read().collect())) == [(1, 7, "b"), (2, None, "z")]
+    table.upsert(rows.limit(2).repartition(2))
+    assert sorted(map(tuple, table.read().collect())) == [(1, 7, "b"), (2, None, "z")]
