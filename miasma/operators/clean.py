@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from miasma.functions.numeric import number
-from miasma.schema import COUNTED_MEASURES, FLAGS, NUMERIC_MEASURES, RAW_COLUMNS, SENTINELS
+from miasma.schema import COUNTED_MEASURES, DAMAGED, FLAGS, NUMERIC_MEASURES, RAW_COLUMNS, SENTINELS
 
 DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
 
@@ -56,7 +56,7 @@ def require_keys(df: DataFrame) -> DataFrame:
 
 def clean_records(raw: DataFrame) -> DataFrame:
     """Raw text records to typed observations; what ``reject_reason`` names is left out."""
-    return require_keys(trim_cast(raw.filter(rejection(raw).isNull())))
+    return require_keys(trim_cast(raw.filter(rejection(raw).isNull()).drop(DAMAGED)))
 
 
 def drop_null_rows(df: DataFrame, subset=None) -> DataFrame:
@@ -108,7 +108,9 @@ def dedupe_observations(df: DataFrame, keys=("STATION", "DATE")) -> DataFrame:
 def rejection(df: DataFrame) -> Column:
     """Why a raw record cannot be used, null for a good one.
 
-    A line that ends at its date is short: it has no field behind, not even an empty one.
+    Readers tell by ``damaged_line`` which lines have another number of fields than a record: those
+    are short, or long. A record with empty fields is whole. Where the column is missing, records
+    come from a table and were whole.
     """
     types = dict(df.dtypes)
 
@@ -117,13 +119,25 @@ def rejection(df: DataFrame) -> Column:
 
     station, date = text("STATION"), F.col("DATE")
     bad_date = parse_date(date).isNull() if types["DATE"] == "string" else F.lit(False)
-    behind = [F.col(c) for c in df.columns[df.columns.index("DATE") + 1:] if c in RAW_COLUMNS]
-    cut = F.coalesce(*[c.cast("string") for c in behind]).isNull() if behind else F.lit(False)
+    damaged = F.col(DAMAGED).isNotNull() if DAMAGED in types else F.lit(False)
+    cut = damaged & (field_count(F.col(DAMAGED)) < len(RAW_COLUMNS)) if DAMAGED in types else damaged
     return (F.when(station == "STATION", "header")
             .when(F.col("STATION").isNull() | (station == ""), "no station")
-            .when(date.isNull() | (text("DATE") == ""), "short line")
-            .when(bad_date, "bad date")
-            .when(cut, "short line"))
+            .when(cut, "short line")
+            .when(damaged, "long line")
+            .when(date.isNull() | (text("DATE") == ""), "no date")
+            .when(bad_date, "bad date"))
+
+
+def field_count(line: Column) -> Column:
+    """Fields of a CSV line; a comma between quotes is part of a field."""
+    return F.regexp_count(F.regexp_replace(line, r'"(?:[^"\\]|\\.)*"', F.lit("")), F.lit(",")) + 1
+
+
+def quarantine(lines: DataFrame, text: str = "line") -> DataFrame:
+    """The unusable records of ``decode_payload(…, keep_text=True)``: reason, number of fields, text."""
+    told = reject_reason(lines).filter(F.col("reason").isNotNull())
+    return told.select("reason", field_count(F.col(text)).alias("fields"), F.col(text).alias("text"))
 
 
 def reject_reason(df: DataFrame) -> DataFrame:

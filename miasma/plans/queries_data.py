@@ -189,8 +189,8 @@ def merge_new_files(spark, sf_dir):
     return _merged(store.weekly.read())
 
 
-def _line_sql() -> str:
-    """The record line in SQL: every field quoted, padding as in the files."""
+def _fields_sql() -> list[str]:
+    """The quoted fields of a record line in SQL, padding as in the files."""
     def text(m: str) -> str:
         shown = f"CAST(CAST({st.VALUES[m]} AS BIGINT) AS VARCHAR) || '.0'"
         if m in st.MISSING:
@@ -216,10 +216,10 @@ def _line_sql() -> str:
         readings = "' ' || l_linenumber"
         return f"CASE WHEN {st.MISSING[m]} THEN ' 0' ELSE {readings} END" if m in st.MISSING else readings
 
-    return " || ',' || ".join(f"'\"' || ({field(c)}) || '\"'" for c in RAW_COLUMNS)
+    return [f"'\"' || ({field(c)}) || '\"'" for c in RAW_COLUMNS]
 
 
-@query(f"SELECT {_line_sql()} AS line FROM lineitem")
+@query(f"""SELECT {" || ',' || ".join(_fields_sql())} AS line FROM lineitem""")
 def csv_payload_encode(spark, sf_dir):
     """Observations as the quoted lines that go to a broker."""
     lines = payload.encode_payload(st.raw_observations(spark, sf_dir))
@@ -272,6 +272,22 @@ def reject_report(spark, sf_dir):
     return clean.reject_report(payload.decode_payload(payload.encode_payload(raw)))
 
 
+@query(f"""WITH l AS (SELECT l_orderkey % 31 AS k, [{", ".join(_fields_sql())}] AS f FROM lineitem)
+  SELECT CASE k WHEN 30 THEN 'long line' ELSE 'short line' END AS reason, CAST(CASE k WHEN 30 THEN 29 ELSE k END AS INTEGER) AS fields,
+    CASE k WHEN 30 THEN array_to_string(f, ',') || ',1' ELSE array_to_string(f[1:k], ',') END AS text
+  FROM l WHERE k BETWEEN 1 AND 27 OR k = 30""")
+def rejected_lines(spark, sf_dir):
+    """Record lines cut after each of their fields, too long ones, whole ones, and whole ones that are empty
+    behind the date: reason, fields and text of those that are no records."""
+    keyed = st.raw_observations(spark, sf_dir, keep=("l_orderkey",))
+    line = F.decode(payload.encoded(RAW_COLUMNS), "UTF-8")
+    k, fields = F.col("l_orderkey") % 31, F.split(line, '(?<="),(?=")')
+    text = (F.when(k.between(1, 27), F.array_join(F.slice(fields, 1, F.greatest(k, F.lit(1)).cast("int")), ","))
+            .when(k == 29, F.concat_ws(",", F.get(fields, 0), F.get(fields, 1), F.lit('""' + ',""' * 25)))
+            .when(k == 30, F.concat(line, F.lit(",1"))).otherwise(line))
+    return clean.quarantine(payload.decode_payload(keyed.select(text.cast("binary").alias("value")), keep_text=True))
+
+
 @query(f"""WITH {OBS} SELECT "STATION", count(*) AS n, sum("TEMP") AS sum_temp, sum("GUST") AS sum_gust
   FROM obs WHERE "DEWP" IS NOT NULL AND "SLP" IS NOT NULL AND "PRCP" IS NOT NULL
     AND "GUST" IS NOT NULL GROUP BY "STATION" """)

@@ -85,8 +85,9 @@ def observations(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[value(m) for m in VALUES], _flag_code().alias("FRSHTT"))
 
 
-def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same observations as 28 padded text columns, markers and reading counts included."""
+def raw_observations(spark: SparkSession, sf_dir: str, keep=()) -> DataFrame:
+    """The same observations as 28 padded text columns, markers and reading counts included. ``keep``
+    names columns of the table to stay beside them."""
     def text(m: str) -> Column:
         shown = F.concat(F.expr(VALUES[m]).cast("bigint").cast("string"), F.lit(".0"))
         if m in MISSING:
@@ -118,7 +119,7 @@ def raw_observations(spark: SparkSession, sf_dir: str) -> DataFrame:
             return attribute(c.removesuffix("_ATTRIBUTES")).alias(c)
         return text(c).alias(c)
 
-    return _lineitem(spark, sf_dir).select(*[column(c) for c in RAW_COLUMNS])
+    return _lineitem(spark, sf_dir).select(*[column(c) for c in RAW_COLUMNS], *keep)
 
 
 def raw_events(events: DataFrame, dirty: bool = False) -> DataFrame:

@@ -40,6 +40,9 @@ LABEL = "log_total_cases"
 
 # A record as it arrives: text only, so that station codes keep their leading zeros.
 RAW_DDL = ", ".join(f"{c} STRING" for c in RAW_COLUMNS)
+# Beside the record: the text of a line whose number of fields is not that of a record, else null.
+DAMAGED = "damaged_line"
+READ_DDL = f"{RAW_DDL}, {DAMAGED} STRING"
 CASES_DDL = "city STRING, year INT, weekofyear INT, total_cases INT"
 CASE_KEY = ["city", "year", "weekofyear"]
 WEEK_KEY = ["Weather_Year", "Weather_Week"]

@@ -8,12 +8,18 @@ from pyspark.sql.types import StructType
 from pyspark.sql.utils import AnalysisException
 
 from miasma.functions.paths import folder_year, partition_value, plain_path, station_of_file
-from miasma.schema import CASES_DDL, LEDGER_DDL, RAW_DDL
+from miasma.schema import CASES_DDL, DAMAGED, LEDGER_DDL, READ_DDL
 
 
 def read_observation_csv(spark: SparkSession, path, glob: str | None = None) -> DataFrame:
-    """Station-day CSV files as text columns. ``path`` may be a folder, a glob or a list."""
-    reader = (spark.read.schema(RAW_DDL).option("header", True)
+    """Station-day CSV files as text columns. ``path`` may be a folder, a glob or a list. A line with
+    too few or too many fields leaves its text in ``damaged_line``.
+
+    The parser looks at all fields of a line whichever columns are asked for: else it would not see
+    how many there are.
+    """
+    reader = (spark.read.schema(READ_DDL).option("header", True).option("columnNameOfCorruptRecord", DAMAGED)
+              .option("columnPruning", False)
               .option("enforceSchema", True).option("recursiveFileLookup", True))
     if glob:
         reader = reader.option("pathGlobFilter", glob)

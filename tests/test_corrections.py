@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from miasma.operators import clean, features, model, points, regional
 from miasma.schema import RAW_COLUMNS, RAW_DDL
 from miasma.sinks import tables
-from miasma.sources import payload
+from miasma.sources import files, payload
 
 CASES = "city string, year int, weekofyear int, total_cases int"
 
@@ -40,6 +40,26 @@ def test_blank_stations_and_cut_lines_are_rejected_and_reported_alike(spark):
     assert len(RAW_DDL.split(",")) == len(RAW_COLUMNS)
 
 
+def test_a_line_cut_anywhere_is_kept_aside_with_its_text(spark, tmp_path):
+    fields = [f'"{c}, {i}"' if c == "NAME" else f'"{i}"' for i, c in enumerate(RAW_COLUMNS)]
+    fields[1] = '"2024-12-03"'
+    name = RAW_COLUMNS.index("NAME")
+    cut = [",".join(fields[:k]) for k in range(1, len(RAW_COLUMNS))]
+    whole = [",".join(fields), ",".join([*fields[:2], *['""'] * 26]), ",".join([*fields[:2], *[""] * 26]),
+             ",".join([*fields[:name], '"A \\"B\\", C"', *fields[name + 1:]])]
+    long, no_date = ",".join([*fields, '"1"']), ",".join([fields[0], '""', *fields[2:]])
+    lines = [*cut, *whole, long, no_date]
+    raw = payload.decode_payload(spark.createDataFrame([(bytearray(x.encode()),) for x in lines], "value binary"), keep_text=True)
+    got = sorted(tuple(r) for r in clean.quarantine(raw).collect())
+    assert got == sorted([("short line", k, t) for k, t in enumerate(cut, start=1)] + [("long line", 29, long), ("no date", 28, no_date)])
+    kept = clean.clean_records(raw.drop("line"))
+    assert kept.count() == len(whole) and "damaged_line" not in kept.columns
+    (tmp_path / "a.csv").write_text("\n".join([",".join(f'"{c}"' for c in RAW_COLUMNS), *lines]) + "\n")
+    of_file = files.read_observation_csv(spark, str(tmp_path / "a.csv"))
+    assert {r.reason: r.records for r in clean.reject_report(of_file).collect()} == {"short line": 27, "long line": 1, "no date": 1}
+    assert clean.clean_records(of_file).count() == len(whole)
+
+
 def test_points_without_a_value_are_left_out_and_counted(spark):
     quality = spark.createDataFrame([("a b", 90.0, 10.0), ("c", None, None)], "city string, accuracy double, mape double")
     got = [r.line for r in points.accuracy_points(quality, 7, region="city").collect()]
