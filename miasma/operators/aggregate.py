@@ -17,15 +17,16 @@ def _measure(name: str, dtype: str) -> Column:
     return F.col(name).try_cast("double") if dtype == "string" else F.col(name).cast("double")
 
 
-def _mean_by(df: DataFrame, keys, measures) -> DataFrame:
-    """Sum and count per measure, combined before the shuffle; means are a projection on top."""
+def mean_by(df: DataFrame, keys, measures, names=None) -> DataFrame:
+    """Sum and count per measure, combined before the shuffle; means are a projection on top. ``names``
+    are those of the keys where a key is an expression."""
     types = dict(df.dtypes)
     sums = [F.sum(_measure(m, types[m])).alias(f"s_{m}") for m in measures]
     counts = [F.count(_measure(m, types[m])).alias(f"n_{m}") for m in measures]
-    return _with_means(df.groupBy(*keys).agg(F.count("*").alias("record_count"), *sums, *counts), keys, measures)
+    return with_means(df.groupBy(*keys).agg(F.count("*").alias("record_count"), *sums, *counts), names or keys, measures)
 
 
-def _with_means(grouped: DataFrame, keys, measures) -> DataFrame:
+def with_means(grouped: DataFrame, keys, measures) -> DataFrame:
     """Means beside the sums and counts they come from; merging goes on from the sums."""
     return grouped.select(
         *keys, "record_count",
@@ -38,12 +39,12 @@ def weekly_avg(obs: DataFrame, measures=MEASURES, keys=(), iso: bool = False) ->
 
     ``keys`` adds grouping columns such as the station or region.
     """
-    return _mean_by(with_week_key(obs, iso=iso), [*keys, *WEEK_KEY], measures)
+    return mean_by(with_week_key(obs, iso=iso), [*keys, *WEEK_KEY], measures)
 
 
 def daily_avg(obs: DataFrame, measures=MEASURES, keys=(), iso: bool = False) -> DataFrame:
     """Mean of each measure per day, keyed by week and ``DATE``. Batch or stream."""
-    return _mean_by(with_week_key(obs, iso=iso), [*keys, *WEEK_KEY, "DATE"], measures)
+    return mean_by(with_week_key(obs, iso=iso), [*keys, *WEEK_KEY, "DATE"], measures)
 
 
 def weighted_merge(parts: DataFrame, keys=tuple(WEEK_KEY), measures=MEASURES) -> DataFrame:
@@ -69,7 +70,7 @@ def weighted_merge(parts: DataFrame, keys=tuple(WEEK_KEY), measures=MEASURES) ->
         F.sum("record_count").alias("record_count"),
         *[F.sum(f"s_{m}").alias(f"s_{m}") for m in measures],
         *[F.sum(f"n_{m}").alias(f"n_{m}") for m in measures])
-    return _with_means(grouped, keys, measures)
+    return with_means(grouped, keys, measures)
 
 
 def empty_weekly(spark: SparkSession, measures=MEASURES, keys=tuple(WEEK_KEY)) -> DataFrame:

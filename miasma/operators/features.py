@@ -26,6 +26,36 @@ def add_case_lags(cases: DataFrame, steps: int = 3, key: str = REGION) -> DataFr
                               for k, n in enumerate(names, start=1)})
 
 
+def week_positions(weeks: DataFrame) -> DataFrame:
+    """(year, weekofyear, position): all weeks of the years that occur, numbered without gaps.
+
+    A year has the weeks 1 to 52, and 53 where it occurs. The calendar bounds this table, so
+    numbering it in one task is no bottleneck.
+    """
+    own = weeks.select(F.col("year").cast("int").alias("year"), F.col("weekofyear").cast("int").alias("weekofyear")).dropna().distinct()
+    span = own.agg(F.min("year").alias("a"), F.max("year").alias("b")).filter("a IS NOT NULL")
+    spine = (span.select(F.explode(F.sequence("a", "b")).alias("year"))
+             .select("year", F.explode(F.sequence(F.lit(1), F.lit(52))).alias("weekofyear")))
+    return (spine.unionByName(own).distinct()
+            .withColumn("position", F.row_number().over(Window.orderBy("year", "weekofyear"))))
+
+
+def add_case_lags_by_week(cases: DataFrame, steps: int = 3, key: str = REGION) -> DataFrame:
+    """Cases 1 … ``steps`` weeks before in the same region, null where that week has no count.
+
+    ``add_case_lags`` counts a region's rows instead, as models of older rows expect; here a missing
+    week does not move the ones before it nearer. A week is found by its number in the calendar of
+    the whole table.
+    """
+    types = dict(cases.dtypes)
+    positions = week_positions(cases).withColumns({c: F.col(c).cast(types[c]) for c in ("year", "weekofyear")})
+    placed = cases.join(positions, ["year", "weekofyear"])
+    region = Window.partitionBy(key).orderBy("position")
+    names = ["lag_cases" if k == 1 else f"lag_cases_{k}" for k in range(1, steps + 1)]
+    return placed.withColumns({n: F.max("total_cases").over(region.rangeBetween(-k, -k))
+                               for k, n in enumerate(names, start=1)}).select(*cases.columns, *names)
+
+
 def add_seasonal(df: DataFrame, week: str = "weekofyear") -> DataFrame:
     return df.withColumns({"sin_week": sin_week(F.col(week)), "cos_week": cos_week(F.col(week))})
 

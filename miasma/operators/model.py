@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
 from pyspark.ml.feature import StringIndexer, VectorAssembler
@@ -122,6 +124,42 @@ def score(model: RandomForestRegressionModel | PipelineModel, rows: DataFrame, f
             .drop("features", "log_prediction", REGION_INDEX))
 
 
+def rolling_folds(rows: DataFrame, cuts: Sequence[tuple[int, int]]) -> DataFrame:
+    """Rows with ``fold``: that of the last cut (year, week) at or before the row's week, counted from 1;
+    0 for rows before all cuts, which are only trained on."""
+    week = F.struct(F.col("year").cast("int").alias("year"), F.col("weekofyear").cast("int").alias("weekofyear"))
+    at = [F.struct(F.lit(y).alias("year"), F.lit(w).alias("weekofyear")) for y, w in sorted(set(cuts))]
+    fold = F.lit(0)
+    for cut in at:
+        fold = fold + (week >= cut).cast("int")
+    return rows.withColumn("fold", fold)
+
+
+def rolling_evaluation(rows: DataFrame, cuts: Sequence[tuple[int, int]], features=FEATURES,
+                       fit: Callable[..., RandomForestRegressionModel | PipelineModel] = train_forest, **size) -> DataFrame:
+    """Scores in order of time: each fold's rows scored by a model of all rows before the fold.
+
+    Returns the rows from the first cut on, with ``fold``, ``prediction`` and, of the rows that the
+    model has seen, their number ``n_train`` and the last week ``train_until``. No week is scored
+    by a model that has seen it or a later one. ``rows`` should be a stored table: each of the few
+    folds reads it. Folds without rows, or without rows before them, give none.
+    """
+    folded = rolling_folds(rows, cuts)
+    week = F.struct(F.col("year").cast("int").alias("year"), F.col("weekofyear").cast("int").alias("weekofyear"))
+    known = {r.fold: r.n for r in folded.groupBy("fold").agg(F.count("*").alias("n")).collect()}
+    scored = None
+    for fold in sorted(f for f in known if f > 0 and any(k < f for k in known)):
+        train = folded.filter(F.col("fold") < fold).drop("fold")
+        one = score(fit(train, features=features, **size), folded.filter(F.col("fold") == fold), features)
+        one = one.withColumns({"n_train": F.lit(sum(n for f, n in known.items() if f < fold)).cast("bigint"),
+                               "train_until": train.agg(F.max(week)).scalar()})
+        scored = one if scored is None else scored.unionByName(one)
+    if scored is not None:
+        return scored
+    nothing = F.lit(None).cast("struct<year:int,weekofyear:int>")
+    return folded.filter(F.lit(False)).withColumns({"prediction": F.lit(0.0), "n_train": F.lit(0).cast("bigint"), "train_until": nothing})
+
+
 def prediction_table(scored: DataFrame, keys=()) -> DataFrame:
     """Scored rows in the shape in which forecasts are stored."""
     return scored.select(*keys, F.col("year").cast("int").alias("year"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
-from miasma.operators import features, geo, model, regional, series
+from miasma.operators import features, geo, metrics, model, regional, series
 from miasma.plans import bootstrap, incremental
 from miasma.plans import standins as st
 from miasma.plans.queries_model import _AHEAD, _IS_TEST, _REGIONAL, _cases, _in_bounds, _regional_store, _week
@@ -167,3 +167,47 @@ def neighbour_lags(spark, sf_dir):
     places = geo.station_places(st.observations(spark, sf_dir), st.station_regions(spark, sf_dir, "n_name"))
     rows = geo.add_neighbour_lags(cases, cases, geo.near_places(places, 1200.0))
     return rows.select("city", "year", "weekofyear", F.round("neighbour_cases", 8).alias("neighbour_cases"), "neighbours")
+
+
+# ---- lags by week, evaluation in order of time ----
+
+_HOLED = "holed AS (SELECT * FROM cases WHERE (weekofyear + year + length(city)) % 9 <> 0)"
+
+
+@query(f"""WITH {CASES}, {_HOLED},
+  spine AS (SELECT y AS year, w AS weekofyear FROM range((SELECT min(year) FROM holed), (SELECT max(year) + 1 FROM holed)) a(y), range(1, 53) b(w)
+    UNION SELECT year, weekofyear FROM holed),
+  pos AS (SELECT year, weekofyear, row_number() OVER (ORDER BY year, weekofyear) AS k FROM spine),
+  placed AS (SELECT * FROM holed JOIN pos USING (year, weekofyear))
+  SELECT p.city, p.year, p.weekofyear, p.total_cases, a.total_cases AS lag_cases, b.total_cases AS lag_cases_2, c.total_cases AS lag_cases_3
+  FROM placed p LEFT JOIN placed a ON a.city = p.city AND a.k = p.k - 1 LEFT JOIN placed b ON b.city = p.city AND b.k = p.k - 2
+    LEFT JOIN placed c ON c.city = p.city AND c.k = p.k - 3""")
+def case_lags_by_week(spark, sf_dir):
+    """Counts one, two and three weeks before where weeks are missing."""
+    holed = st.weekly_cases(spark, sf_dir).filter((F.col("weekofyear") + F.col("year") + F.length("city")) % 9 != 0)
+    return features.add_case_lags_by_week(holed)
+
+
+_CUTS = [(1990, 1), (1996, 1), (1997, 1), (1998, 1)]
+_FOLD = " + ".join(f"CAST(year * 100 + weekofyear >= {y * 100 + w} AS INTEGER)" for y, w in _CUTS)
+
+
+@query(f"""WITH {OBS}, {CASES}, {_REGIONAL}, rows AS (SELECT *, {_FOLD} AS fold FROM cases JOIN regional USING (city, year, weekofyear))
+  SELECT fold, count(*) AS n, (SELECT count(*) FROM rows t WHERE t.fold < r.fold) AS n_train,
+    CAST((SELECT max(year * 100 + weekofyear) FROM rows t WHERE t.fold < r.fold) AS INTEGER) AS train_until,
+    CAST(min(year * 100 + weekofyear) AS INTEGER) AS first_week, TRUE AS fits
+  FROM rows r WHERE fold > (SELECT min(fold) FROM rows) GROUP BY fold""")
+def rolling_evaluation(spark, sf_dir):
+    """Forests, each scored on weeks after all it has seen: rows, last week seen and first week scored
+    per fold; ``fits``: errors are in order and no score is of a week before the last one seen."""
+    store = bootstrap.Store(spark, shared_dir(spark, "regional-store"), regional=True)
+    store.weekly.replace(regional.regional_weekly(st.observations(spark, sf_dir), st.station_regions(spark, sf_dir), ["TEMP", "PRCP", "DEWP"]))
+    rows = st.stored(spark, store.feature_rows(st.weekly_cases(spark, sf_dir)), "rows")
+    scored = st.stored(spark, model.rolling_evaluation(rows, _CUTS, fit=model.train_region_forest, numTrees=30), "scored")
+    number = lambda y, w: (F.col(y).cast("int") * 100 + F.col(w).cast("int"))
+    week = number("year", "weekofyear")
+    found = scored.groupBy("fold").agg(F.max("n_train").alias("n_train"), F.max(number("train_until.year", "train_until.weekofyear")).alias("train_until"),
+                                       F.min(week).alias("first_week"))
+    errors = metrics.regression_metrics(scored, keys=("fold",)).select("fold", "n", (F.col("mae") <= F.col("rmse") + 1e-9).alias("ordered"))
+    return found.join(errors, "fold").select("fold", "n", "n_train", "train_until", "first_week",
+                                             (F.col("ordered") & (F.col("train_until") < F.col("first_week"))).alias("fits"))

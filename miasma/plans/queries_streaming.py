@@ -125,3 +125,40 @@ def stream_archive_source(spark, sf_dir):
     return (files.read_table(spark, out)
             .groupBy(F.col("DATE").cast("date").cast("string").alias("DATE"))
             .agg(F.count("*").alias("n"), F.sum("TEMP").alias("sum_temp")))
+
+
+@query(f"""WITH {_EVENTS} {_DAYS} WHERE e."DATE" > {_DONE} GROUP BY e."DATE" """)
+def stream_open_days(spark, sf_dir):
+    """The days that the watermark has not passed yet, with what the stream has seen of them."""
+    path = shared_dir(spark, "daily")
+    means = daily.daily_stream(_records(spark, _feed(sf_dir)), ["TEMP"])
+    daily.run_available(means, path, f"{path}-checkpoint", files_per_batch=1)
+    return _days(daily.open_days(spark, f"{path}-checkpoint", ["TEMP"]))
+
+
+@query(f"""WITH {_EVENTS}, first_done AS (SELECT max("DATE") - 7 AS d FROM e WHERE event_type <> 'error')
+  SELECT "STATION", CAST("DATE" AS VARCHAR) AS "DATE", "TEMP", count(*) AS n FROM e, first_done
+  WHERE event_type = 'error' AND "DATE" <= d GROUP BY "STATION", e."DATE", "TEMP" """)
+def stream_late_rows(spark, sf_dir):
+    """The rows of the errors, which arrive last, that the means do not count."""
+    feed, out = shared_dir(spark, "feed"), shared_dir(spark, "late")
+    events = st.table(spark, sf_dir, "events")
+    for wave in (events.filter("event_type <> 'error'"), events.filter("event_type = 'error'")):
+        wave.write.mode("append").parquet(feed)
+        obs = clean.clean_records(payload.decode_payload(_records(spark, feed))).select("STATION", "DATE", "TEMP")
+        daily.keep_late_rows(obs, out, f"{out}-checkpoint", available_now=True).awaitTermination()
+    late = daily.read_late_rows(spark, out).withColumn("DATE", F.col("DATE").cast("date").cast("string"))
+    return late.groupBy("STATION", "DATE", "TEMP").agg(F.count("*").alias("n"))
+
+
+@query(f"""WITH {_EVENTS}, once AS (SELECT DISTINCT "STATION", "DATE", event_type, "TEMP" FROM e),
+  weeks AS (SELECT CAST(date_trunc('week', "DATE") AS DATE) AS monday, count(*) AS record_count, avg("TEMP") AS "avg_TEMP" FROM once GROUP BY 1)
+  SELECT CAST(monday AS VARCHAR) AS week_start, CAST(isoyear(monday) AS INTEGER) AS "Weather_Year", CAST(week(monday) AS INTEGER) AS "Weather_Week",
+    record_count, "avg_TEMP" FROM weeks WHERE monday + 7 <= {_DONE}""")
+def stream_weekly_window(spark, sf_dir):
+    """Weekly means straight from a feed that sends every record twice: the weeks that are over."""
+    feed = shared_dir(spark, "feed")
+    for _ in range(2):
+        st.table(spark, sf_dir, "events").write.mode("append").parquet(feed)
+    weeks = _run(spark, daily.weekly_stream(_records(spark, feed), ["TEMP"]), "weeks")
+    return weeks.select(F.col("week_start").cast("string").alias("week_start"), *WEEK_KEY, "record_count", "avg_TEMP")

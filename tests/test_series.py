@@ -181,3 +181,29 @@ def test_neighbours_as_inputs(spark, regional, path):
     assert incremental.recursive_forecast(store, cases).count() == wanted
     with pytest.raises(ValueError):
         bootstrap.Store(spark, path, near=near)
+
+
+def test_lags_by_week_do_not_move_over_missing_weeks(spark):
+    rows = [("a", 2020, w, w) for w in (1, 2, 5, 52, 53)] + [("a", 2021, 1, 100), ("a", 2021, 2, 101), ("b", 2021, 2, 7)]
+    cases = spark.createDataFrame(rows, "city string, year int, weekofyear int, total_cases int")
+    got = {tuple(r)[:3]: tuple(r)[4:] for r in features.add_case_lags_by_week(cases).collect()}
+    assert got["a", 2020, 2] == (1, None, None) and got["a", 2020, 5] == (None, None, 2)
+    assert got["a", 2021, 1] == (53, 52, None) and got["a", 2021, 2] == (100, 53, 52) and got["b", 2021, 2] == (None, None, None)
+    assert features.add_case_lags_by_week(cases.limit(0)).count() == 0
+    doubles = cases.withColumns({c: F.col(c).cast("double") for c in ("year", "weekofyear")})
+    assert features.add_case_lags_by_week(doubles).filter("lag_cases = 100").count() == 1
+
+
+def test_folds_never_see_later_weeks(spark, regional):
+    obs, places, cases = regional
+    rows = features.feature_rows(cases, regional_weekly(obs, places, MEASURES), regional=True)
+    cuts = [(2021, 1), (2021, 27), (2000, 1), (2030, 1)]
+    scored = model.rolling_evaluation(rows, cuts, fit=model.train_region_forest, **SMALL)
+    by_fold = {r.fold: r for r in scored.groupBy("fold").agg(
+        F.count("*").alias("n"), F.max("n_train").alias("n_train"), F.max("train_until").alias("until"),
+        F.min(F.struct(F.col("year").cast("int"), F.col("weekofyear").cast("int"))).alias("first")).collect()}
+    assert sorted(by_fold) == [2, 3]
+    assert all(tuple(r.until) < tuple(r["first"]) for r in by_fold.values())
+    assert by_fold[3].n_train == by_fold[2].n_train + by_fold[2].n
+    nothing = model.rolling_evaluation(rows, [(2000, 1)], **SMALL)
+    assert nothing.count() == 0 and "prediction" in nothing.columns

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from miasma.operators import aggregate
+from miasma.operators.clean import clean_records
 from miasma.sinks.tables import VersionedTable
 from miasma.sources import broker, payload
 from miasma.sources.files import read_table
@@ -129,3 +130,55 @@ def test_topic_options(spark, monkeypatch):
         broker.read_topic(spark, "localhost:9092", "records")
     with pytest.raises(Exception, match="(?i)kafka"):
         broker.write_topic(spark.range(1).select(F.lit(b"x").alias("value")), "localhost:9092", "records")
+
+
+def test_open_days_and_late_rows_are_tables(spark, tmp_path):
+    """Three runs: what the stream still holds, and the one row that came too late, with its text fields."""
+    def late(folder):
+        obs = clean_records(payload.decode_payload(payload.text_payload(stream_lines(spark, folder)))).select("STATION", "DATE", "TEMP")
+        daily.keep_late_rows(obs, str(tmp_path / "late"), str(tmp_path / "late-checkpoint"), available_now=True).awaitTermination()
+
+    def held():
+        state = daily.open_days(spark, str(tmp_path / "daily-checkpoint"), ["TEMP"])
+        return {str(r.DATE.date()): (r.avg_TEMP, r.record_count, r.n_TEMP, r.Weather_Week) for r in state.collect()}
+
+    folder = feed(tmp_path, "1.csv", line(HEADER), on("2024-01-01", "1.0"), on("2024-01-01", "3.0"), on("2024-01-04", "", "9"))
+    run(spark, tmp_path, folder), late(folder)
+    assert held() == {"2024-01-01": (2.0, 2, 2, 1), "2024-01-04": (None, 1, 0, 1)}
+    feed(tmp_path, "2.csv", on("2024-01-05", "5.0"), on("2024-01-20", "7.0"))
+    run(spark, tmp_path, folder), late(folder)
+    assert held() == {"2024-01-20": (7.0, 1, 1, 3)}
+    feed(tmp_path, "3.csv", on("2024-01-02", "9.0", "77"), on("2024-01-13", "9.0"), on("2024-02-20", "1.0"))
+    _, progress = run(spark, tmp_path, folder)
+    late(folder)
+    kept = [(r.STATION, str(r.DATE.date()), r.TEMP) for r in daily.read_late_rows(spark, str(tmp_path / "late")).collect()]
+    assert sorted(kept) == [("01", "2024-01-13", 9.0), ("77", "2024-01-02", 9.0)]
+    assert sum(op["numRowsDroppedByWatermark"] for p in progress[-2:] for op in p["stateOperators"]) == 2
+    with pytest.raises(ValueError):
+        daily.open_days(spark, str(tmp_path / "daily-checkpoint"), ["TEMP", "PRCP"])
+    # A replayed batch leaves each row there once.
+    obs = spark.createDataFrame([("77", dt.datetime(2024, 1, 2), 9.0)], "STATION string, DATE timestamp, TEMP double")
+    for _ in range(2):
+        daily.late_rows(obs, str(tmp_path / "late"))(obs, 99)
+    assert daily.read_late_rows(spark, str(tmp_path / "late")).filter("batch = 99").count() == 1
+
+
+def test_weeks_come_straight_from_the_stream(spark, tmp_path):
+    """Weeks begin on Mondays, also over New Year; a record that is sent again does not count."""
+    out = str(tmp_path / "weeks")
+
+    def weeks(folder):
+        stream = daily.weekly_stream(payload.text_payload(stream_lines(spark, folder)), ["TEMP"])
+        daily.run_available(stream, out, out + "-checkpoint")
+        return {(str(r.week_start), int(r.Weather_Year), r.Weather_Week): (r.avg_TEMP, r.record_count)
+                for r in read_table(spark, out, stream.schema).collect()}
+
+    again = on("2025-01-02", "4.0")
+    folder = feed(tmp_path, "1.csv", on("2024-12-29", "9.0"), on("2024-12-30", "2.0"), again, again, on("2025-01-05", "6.0", "02"), on("2025-01-06"))
+    first = {("2024-12-23", 2024, 52): (9.0, 1)}
+    assert weeks(folder) == first
+    feed(tmp_path, "2.csv", again, on("2025-01-13", "1.0"))
+    assert weeks(folder) == first | {("2024-12-30", 2025, 1): (4.0, 3)}
+    feed(tmp_path, "3.csv", on("2025-01-03", "50.0", "03"), on("2025-02-20"))
+    got = weeks(folder)
+    assert got["2024-12-30", 2025, 1] == (4.0, 3) and got["2025-01-13", 2025, 3] == (1.0, 1) and len(got) == 4
