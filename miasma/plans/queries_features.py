@@ -12,6 +12,8 @@ from miasma.plans.registry import query
 from miasma.schema import CASE_KEY, FEATURES, MEASURES, WEEK_KEY, sum_columns
 from miasma.session import shared_dir
 from miasma.sinks import tables
+from miasma.sinks.published import PublishedLines
+from miasma.streaming.sources import stream_parquet
 
 OBS, CASES, WEEKLY = st.SQL_OBS, st.SQL_CASES, st.SQL_WEEKLY
 LAGGED, FEATURE_ROWS = st.SQL_LAGGED, st.SQL_FEATURES
@@ -283,14 +285,32 @@ def regression_metrics(spark, sf_dir):
     return _rounded(quality.fillna("all", ["city"]), _METRICS)
 
 
-@query(f"""WITH {CASES}, {_NAIVE} SELECT 'predicted_cases,region=' || replace(city, ' ', '\\ ') || ',year=' || year
+_POINTS = f"""WITH {CASES}, {_NAIVE} SELECT 'predicted_cases,region=' || replace(city, ' ', '\\ ') || ',year=' || year
     || ' weekofyear=' || weekofyear || 'i,predicted_cases=' || prediction || ' '
-    || (epoch_us((make_date(year, 1, 1) + (weekofyear - 1) * 7)::TIMESTAMP) * 1000)::BIGINT AS line FROM naive""")
+    || (epoch_us((make_date(year, 1, 1) + (weekofyear - 1) * 7)::TIMESTAMP) * 1000)::BIGINT AS line FROM naive"""
+
+
+@query(_POINTS)
 def prediction_points(spark, sf_dir):
     """Naive forecasts as time-series points."""
     return points.prediction_points(_naive(spark, sf_dir), region="city")
 
 
+@query(_POINTS)
+def points_written(spark, sf_dir):
+    """The same points written with a commit, a stream of them published twice over, and read back."""
+    spark.dataSource.register(PublishedLines)
+    path, feed = shared_dir(spark, "points"), shared_dir(spark, "points-feed")
+    lines = st.stored(spark, points.prediction_points(_naive(spark, sf_dir), region="city"), "lines")
+    early = F.col("line").rlike("weekofyear=[1-9]i")
+    lines.filter(early).write.format("published_lines").mode("append").save(path)
+    lines.filter(~early).write.parquet(feed)
+    for run in range(2):  # the second checkpoint repeats the batches of the first
+        (stream_parquet(spark, feed).writeStream.format("published_lines").trigger(availableNow=True)
+         .option("checkpointLocation", f"{path}-checkpoint-{run}").start(path).awaitTermination())
+    return spark.read.format("published_lines").load(path)
+
+
 @query(f"""WITH {CASES}, {_NAIVE}, m AS ({_METRICS_SQL} FROM naive GROUP BY city)
   SELECT city, 'model_accuracy,region=' || replace(city, ' ', '\\ ') || ' accuracy=' || printf('%.4f', accuracy) || ',mape=' || printf('%.4f', mape)
     || ' 1700000000000000000' AS line, printf('%.2f', mape) || '%' AS mape_text FROM m""")
