@@ -1,7 +1,7 @@
 """Byte-level BPE: encoding and decoding by a trie of distinct words.
 
-Text is cut into words by the tokenizer's own rule. Distinct words go into a byte trie whose states
-are passed on depth first. The state at a node is the last token of the encoding of the bytes from
+Text is cut into words by the tokenizer's own rule. The distinct new words of a batch, sorted, form a
+byte trie whose states are passed on depth first. The state at a node is the last token of the encoding of the bytes from
 the root to it. For a BPE vocabulary that token is unique: it is the one token that
 ends there, whose predecessor (the last token where it starts) would stand beside it unmerged. So a
 node's state follows from its ancestors' alone, words with a common prefix share the work for it,
@@ -25,7 +25,8 @@ from __future__ import annotations
 import hashlib
 import json
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
@@ -39,7 +40,6 @@ from miasma.llm.common import replaced, slices, texts_of
 # The word rule of byte-level BPE, as the format defines it.
 WORD_RULE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 MAX_KNOWN_WORDS = 300_000
-MAX_NODES = 600_000
 MAX_PAIRS = 500_000
 _END = 256  # a trie key that is no byte
 
@@ -122,53 +122,64 @@ class Beside(dict):
 
 
 class Trie:
-    """Byte trie of words with the last-token state of every node.
+    """Byte trie of the words of a batch, walked depth first.
 
-    Words are inserted one after the other; the nodes that are new form the lower end of one path
-    and get their states on the way down, from those above them. Nodes are numbers: the child of
-    node ``n`` by byte ``b`` is found under ``n << 8 | b``.
+    In sorted order a word's path is that of the word before it down to the prefix both share, so
+    the walk needs the states of one path only: it is cut back to the shared prefix and grown by the
+    rest of the word. Each shared prefix is worked out once.
     """
 
     def __init__(self, vocabulary: Vocabulary):
         self.vocabulary = vocabulary
-        self.child: dict[int, int] = {}
-        self.token, self.size = array("i", [-1]), array("i", [0])
-
-    def encode(self, word: bytes) -> list[int]:
-        """Ids of the word, read back from its last node."""
-        child, token, size = self.child, self.token, self.size
-        node, path = 0, [0]
-        for depth, byte in enumerate(word):
-            below = child.get(node << 8 | byte)
-            if below is None:
-                below = child[node << 8 | byte] = self._state(word, depth + 1, path)
-            node = below
-            path.append(node)
-        ids, at = [], len(word)
-        while at:
-            ids.append(token[path[at]])
-            at -= size[path[at]]
-        return ids[::-1]
-
-    def _state(self, word: bytes, end: int, path: list[int]) -> int:
-        """A new node for ``word[:end]``: of the tokens that end there, found by walking
-        backwards, the one that BPE leaves beside the last token of what comes before it."""
-        inner, start, token, beside = self.vocabulary.ending, end, self.token, self.vocabulary.beside
-        while start and (inner := inner.get(word[start - 1])) is not None:
-            start -= 1
-            found = inner.get(_END)
-            if found is not None and (not start or beside[token[path[start]] << 32 | found]):
-                token.append(found)
-                self.size.append(end - start)
-                return len(token) - 1
-        raise ValueError("the vocabulary does not cover a byte")
+
+    def encode(self, words: Iterable[bytes]) -> Iterator[tuple[bytes, list[int]]]:
+        """Each distinct word with its ids, in byte order."""
+        token, size, before = [-1], [0], b""  # by depth: the last token there, and its length
+        grow = self._grow
+        for word in sorted(words):
+            shared = 0
+            for a, b in zip(before, word):
+                if a != b:
+                    break
+                shared += 1
+            del token[shared + 1:], size[shared + 1:]
+            grow(word, token, size)
+            before, ids, at = word, [], len(word)
+            while at:
+                ids.append(token[at])
+                at -= size[at]
+            yield word, ids[::-1]
+
+    def _grow(self, word: bytes, token: list[int], size: list[int]) -> None:
+        """States of the path from its end down to the whole word. Of the tokens that end at a node,
+        found by walking backwards, it is the one that BPE leaves beside the last token of what comes
+        before it."""
+        ending, beside = self.vocabulary.ending, self.vocabulary.beside
+        for end in range(len(token), len(word) + 1):
+            inner, start = ending, end
+            while start and (inner := inner.get(word[start - 1])) is not None:
+                start -= 1
+                found = inner.get(_END)
+                if found is not None and (not start or beside[token[start] << 32 | found]):
+                    token.append(found)
+                    size.append(end - start)
+                    break
+            else:
+                raise ValueError("the vocabulary does not cover a byte")
+
+
+@lru_cache(maxsize=1)
+def vocabulary_of(file: str) -> Vocabulary:
+    """The vocabulary of a tokenizer file, built once per worker process. Its size is fixed, but for
+    the pairs it remembers, which ``MAX_PAIRS`` bounds."""
+    return Vocabulary(file)
 
 
 class Encoder:
     """Encodes batches of texts; words once encoded are remembered up to a limit."""
 
     def __init__(self, file: str):
-        self.vocabulary = Vocabulary(file)
+        self.vocabulary = vocabulary_of(file)
         self.rule = regex.compile(WORD_RULE)
         self.known: dict[str, tuple[int, str, bytes, bytes]] = {}
         self.trie = Trie(self.vocabulary)
@@ -186,13 +197,18 @@ class Encoder:
     def learn(self, words: set[str]) -> None:
         """Encode words not known yet: number of ids, their spelling, the bytes they decode to, and
         the ids as 32-bit numbers."""
-        special, text, spelt = self.vocabulary.special, self.vocabulary.text, self.vocabulary.spelt
-        known, encode = self.known, self.trie.encode
-        for w in words:
-            if w not in known:
-                ids = [special[w]] if w in special else encode(w.encode())
-                known[w] = (len(ids), ",".join([spelt[i] for i in ids]), b"".join([text[i] for i in ids]),
-                            array("i", ids).tobytes())
+        special, text, spelt, known = self.vocabulary.special, self.vocabulary.text, self.vocabulary.spelt, self.known
+        new = words.difference(known)
+        whole = new.intersection(special)
+
+        def keep(word: str, ids: list[int]) -> None:
+            known[word] = (len(ids), ",".join([spelt[i] for i in ids]), b"".join([text[i] for i in ids]),
+                           array("i", ids).tobytes())
+
+        for w in whole:
+            keep(w, [special[w]])
+        for w, ids in self.trie.encode(map(str.encode, new - whole)):
+            keep(w.decode(), ids)
 
     def batch(self, texts: list[str]) -> Iterator[list[tuple[int, str, bytes, bytes]]]:
         """The known entries of each text's words."""
@@ -200,8 +216,6 @@ class Encoder:
         words = set().union(*cut) if cut else set()
         if len(self.known) > MAX_KNOWN_WORDS:  # those at hand stay
             self.known = {w: self.known[w] for w in words if w in self.known}
-        if len(self.trie.token) > MAX_NODES:
-            self.trie = Trie(self.vocabulary)
         self.learn(words)
         for words in cut:
             yield [self.known[w] for w in words]
@@ -255,7 +269,7 @@ def decode(rows: DataFrame, tokenizer: str, ids_col: str = "ids") -> DataFrame:
                           + [T.StructField("decoded", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        text = Vocabulary(file.value).text
+        text = vocabulary_of(file.value).text
         for batch in batches:
             out = [b"".join(text.get(i, b"") for i in ids or []).decode("utf-8", "replace")
                    for ids in batch.column(ids_col).to_pylist()]
