@@ -26,7 +26,6 @@ import hashlib
 import json
 from array import array
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
 from pathlib import Path
 
 import numpy as np
@@ -39,7 +38,7 @@ from miasma.llm.common import replaced, slices, texts_of
 
 # The word rule of byte-level BPE, as the format defines it.
 WORD_RULE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-MAX_KNOWN_WORDS = 300_000
+MAX_KNOWN_WORDS = 150_000
 MAX_PAIRS = 500_000
 _END = 256  # a trie key that is no byte
 
@@ -168,18 +167,11 @@ class Trie:
                 raise ValueError("the vocabulary does not cover a byte")
 
 
-@lru_cache(maxsize=1)
-def vocabulary_of(file: str) -> Vocabulary:
-    """The vocabulary of a tokenizer file, built once per worker process. Its size is fixed, but for
-    the pairs it remembers, which ``MAX_PAIRS`` bounds."""
-    return Vocabulary(file)
-
-
 class Encoder:
     """Encodes batches of texts; words once encoded are remembered up to a limit."""
 
     def __init__(self, file: str):
-        self.vocabulary = vocabulary_of(file)
+        self.vocabulary = Vocabulary(file)
         self.rule = regex.compile(WORD_RULE)
         self.known: dict[str, tuple[int, str, bytes, bytes]] = {}
         self.trie = Trie(self.vocabulary)
@@ -269,7 +261,7 @@ def decode(rows: DataFrame, tokenizer: str, ids_col: str = "ids") -> DataFrame:
                           + [T.StructField("decoded", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        text = vocabulary_of(file.value).text
+        text = Vocabulary(file.value).text
         for batch in batches:
             out = [b"".join(text.get(i, b"") for i in ids or []).decode("utf-8", "replace")
                    for ids in batch.column(ids_col).to_pylist()]
