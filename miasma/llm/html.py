@@ -3,15 +3,18 @@
 The page becomes a tree. What is never part of an article goes first: scripts, forms, navigation
 and elements whose role, class or id says menu, advert, notice, comments and the like. Inside an
 article or main element such a name is not enough: headings stay, and so do elements that are
-neither short nor full of links, or that hold most of its text. A form around the page's paragraphs
-is no form but a wrapper; its fields go and the rest stays. Every text
-block that is left then gives points to its ancestors, for being there, for its length and for its
+neither short nor full of links, or that hold most of its text. On a page without such an element a
+name that may as well be an article's subject (``SUBJECTS``) is set aside first, and counts for nothing
+if what was set aside by far outweighs the rest of the page. A form around the page's paragraphs
+is no form but a wrapper; its fields go and the rest stays. Buttons and labels go with their forms
+and stay within a sentence. Every text block that is left then gives points to its ancestors, for being there, for its length and for its
 commas: all to its parent, half to the next, a third to the one after. A container's points are
 discounted by the share of its text that lies in links. The best container is kept, widened to
 the article or main element around it, and so are those of its siblings that look like part of the
 same text. Of what is kept nothing is dropped or cut.
 
-Pages are independent: one pass, no shuffle, a lost task is run again.
+Pages are independent: one pass, no shuffle, a lost task is run again. Sizes come from one walk over
+the tree, so the work for a page grows with its length, however deep its elements lie.
 
 Defined cases: null or empty pages and pages without text give an empty text; plain text without
 markup is one block; unclosed and wrongly nested elements are closed as browsers do; ``<`` that
@@ -40,8 +43,9 @@ BLOCKS = frozenset("""address article aside blockquote body caption center dd de
 MENUS = frozenset("ul ol dl table p".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 NEVER_TEXT = frozenset("""script style noscript template head title meta link nav footer aside form button
-    select option textarea input label iframe object embed applet svg math canvas audio video map menu dialog
-    noembed noframes""".split())
+    select option textarea input label iframe object embed applet svg annotation annotation-xml canvas audio
+    video map menu dialog noembed noframes""".split())
+FIELDS = frozenset("input select textarea".split())
 UNLIKELY = frozenset("""ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion
     banner nav navbar navigation menu menubar breadcrumb breadcrumbs sidebar sidebars aside rail footer foot
     masthead cookie cookies consent gdpr notice notices notification alert popup modal overlay newsletter
@@ -49,6 +53,9 @@ UNLIKELY = frozenset("""ad ads adv advert adverts advertisement advertising spon
     recommendations trending popular comment comments commentlist disqus reply replies respond responses
     widget widgets toolbar pagination pager skip skiplink search searchbox copyright legal tags tagcloud
     topbar bottombar outbrain taboola discussion feedback disclaimer paywall toast teaser teasers""".split())
+# Those of them that an article may be about, or that its container may be called.
+SUBJECTS = frozenset("""banner rail alert notice notices register social share sharing related recommended recommendations
+    trending popular search copyright legal tags discussion feedback promotion sponsor subscription""".split())
 # Stems that say the same inside a longer word.
 STEMS = ("comment", "sidebar", "advert", "cookie", "newsletter", "breadcrumb", "masthead", "navbar", "subscri")
 # What an article element may still be: someone's comment, or a pointer to another article.
@@ -56,6 +63,7 @@ NO_ARTICLE = frozenset("comment comments reply replies ad ads advert promo spons
 UNLIKELY_ROLES = frozenset("""navigation banner contentinfo complementary search dialog alertdialog alert menu
     menubar toolbar tablist form""".split())
 LONG = 200  # characters, without spaces, of an element that no name makes an advert
+OUTWEIGHS = 4  # times the rest of the page, of text set aside for its names
 LAYOUT = frozenset("with has no".split())
 # Opening one of these ends an open element of the given names, within the given border.
 CLOSES = {
@@ -77,17 +85,21 @@ _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
 class Node:
-    __slots__ = ("tag", "attributes", "parent", "children", "score", "length", "linked")
+    __slots__ = ("tag", "attributes", "parent", "children", "score", "length", "linked", "size", "size_linked", "links",
+                 "prose", "fields")
 
     def __init__(self, tag: str, attributes: str = "", parent: Node | None = None):
         self.tag, self.attributes, self.parent = tag, attributes, parent
         self.children: list[Node | str] = []
         self.score, self.length, self.linked = 0.0, 0, 0
+        self.size = self.size_linked = self.links = 0
+        self.prose = self.fields = False
 
 
 def parse(page: str) -> Node:
     """The page as a tree of elements and decoded texts."""
     root = node = Node("#root")
+    known: set[str] = set()  # names opened so far: other end tags close nothing
     at, size = 0, len(page)
     token = _TOKEN.search(page)
     while at < size:
@@ -101,8 +113,10 @@ def parse(page: str) -> Node:
         if name:
             name = name.lower()
             if closing:
-                node = _closed(node, name)
+                if name in known or name in HEADINGS:
+                    node = _closed(node, name)
             else:
+                known.add(name)
                 node = _opened(node, name)
                 child = Node(name, attributes, node)
                 node.children.append(child)
@@ -169,46 +183,60 @@ def unlikely(node: Node, inside: bool) -> bool:
         return True
     if UNLIKELY_ROLES & set(names.get("role", "").lower().split()):
         return True
-    for name in f"{names.get('class', '')} {names.get('id', '')}".split():
-        words = {w.lower() for w in _NAME.findall(name)}
-        if tag == "article":
-            if words & NO_ARTICLE:
-                return True
-            continue
-        # "with-sidebar" is a page's layout, not its side bar.
-        if not words & LAYOUT and (words & UNLIKELY or any(s in name.lower() for s in STEMS)
-                                   or ("header" in words and not inside)):
-            return True
-    return False
-
-
-def _sizes(node: Node) -> tuple[int, int, int]:
-    """Characters that may be text, those of them in links, and links."""
-    length = linked = links = depth = never = 0
-    for part, _, entering in _walk(node):
+    return any(_telling(name, tag, inside) for name in _class_and_id(names))
+
+
+def _class_and_id(names: dict[str, str]) -> list[str]:
+    return f"{names.get('class', '')} {names.get('id', '')}".split()
+
+
+def _telling(name: str, tag: str, inside: bool) -> set[str]:
+    """The words of a class or id that say menu, advert and the like."""
+    words = {w.lower() for w in _NAME.findall(name)}
+    if tag == "article":
+        return words & NO_ARTICLE
+    if words & LAYOUT:  # "with-sidebar" is a page's layout, not its side bar
+        return set()
+    found = words & UNLIKELY | {s for s in STEMS if s in name.lower()}
+    return found | {"header"} if "header" in words and not inside else found
+
+
+def measure(root: Node) -> None:
+    """For every element the characters that may be text, those of them in links, its links, and whether
+    it holds paragraphs or fields of a form: one walk, from the leaves up."""
+    for part, parent, entering in _walk(root):
         if isinstance(part, str):
-            size = 0 if never else len("".join(part.split()))
-            length += size
-            linked += size if depth else 0
-        elif part.tag == "a":
-            depth += 1 if entering else -1
-            links += entering
-        elif part.tag in NEVER_TEXT and part.tag != "form":
-            never += 1 if entering else -1
-    return length, linked, links
+            parent.size += len("".join(part.split()))
+        elif not entering:
+            if part.tag == "a":
+                part.size_linked = part.size
+                part.links += 1
+            elif part.tag in NEVER_TEXT and part.tag != "form":
+                part.size = part.size_linked = 0
+            if parent:
+                parent.size += part.size
+                parent.size_linked += part.size_linked
+                parent.links += part.links
+                parent.prose |= part.prose or part.tag in ("p", "article", "main")
+                parent.fields |= part.fields or part.tag in FIELDS
 
 
 def _is_menu(node: Node) -> bool:
     """Three links or more that make up nearly all of its text."""
-    length, linked, links = _sizes(node)
-    return links >= 3 and linked >= 0.8 * length
+    return node.links >= 3 and node.size_linked >= 0.8 * node.size
 
 
 def _wraps(form: Node, whole: int) -> bool:
     """A form that holds paragraphs or an article, and most of the page's text."""
-    if not any(isinstance(part, Node) and part.tag in ("p", "article", "main") for part, _, _ in _walk(form)):
-        return False
-    return 2 * _sizes(form)[0] > whole
+    return form.prose and 2 * form.size > whole
+
+
+def _in_sentence(node: Node) -> bool:
+    """A label or button within a paragraph that has words of its own and is no row of a form."""
+    above = node.parent
+    while above.parent and above.tag not in BLOCKS:
+        above = above.parent
+    return above.tag == "p" and above.size > 0 and not above.fields
 
 
 def _named_only(node: Node) -> bool:
@@ -219,40 +247,62 @@ def _named_only(node: Node) -> bool:
             and not UNLIKELY_ROLES & set(names.get("role", "").lower().split()))
 
 
+def _may_be_subject(node: Node) -> bool:
+    """Long, poor in links, and unlikely only by words that an article may be about."""
+    if node.size < LONG or node.size_linked >= 0.3 * node.size or not _named_only(node):
+        return False
+    return all(_telling(name, node.tag, False) <= SUBJECTS for name in _class_and_id(_names(node.attributes)))
+
+
 def _is_text(node: Node, whole: int) -> bool:
     """Part of the article around it, whatever its name says."""
     if node.tag in HEADINGS:
         return True
-    length, linked, _ = _sizes(node)
-    if 2 * length > whole:
+    if 2 * node.size > whole:
         return True
-    return length >= LONG and linked < 0.3 * length
+    return node.size >= LONG and node.size_linked < 0.3 * node.size
 
 
 def prune(root: Node) -> None:
     """Take away what is never part of an article."""
-    page = None
-    todo = [(root, False, 0)]
+    measure(root)
+    aside: list[Node] = []  # outermost elements set aside for their names
+    rest, articles = 0, False  # characters of the page outside of these
+    todo = [(root, False, 0, False)]
     while todo:
-        node, inside, whole = todo.pop()
+        node, inside, whole, doubtful = todo.pop()
         if node.tag in ("article", "main"):
-            inside, whole = True, _sizes(node)[0] if not inside or node.tag == "article" else whole
+            inside, whole = True, node.size if not inside or node.tag == "article" else whole
+            articles |= node.size > 0 and not doubtful
         kept = []
         for c in node.children:
+            unsure = doubtful
             if isinstance(c, Node):
-                if c.tag == "form":
-                    if page is None:
-                        page = _sizes(root)[0]
-                    if _wraps(c, page):
-                        c.tag, c.attributes = "div", ""
+                if c.tag == "form" and _wraps(c, root.size):
+                    c.tag, c.attributes = "div", ""
+                elif c.tag in ("label", "button") and _in_sentence(c):
+                    c.tag, c.attributes = "span", ""
                 if unlikely(c, inside):
-                    if not (inside and _named_only(c) and _is_text(c, whole)):
+                    if inside:
+                        if not (_named_only(c) and _is_text(c, whole)):
+                            continue
+                    elif _may_be_subject(c):
+                        if not doubtful:
+                            aside.append(c)
+                        unsure = True
+                    else:
                         continue
                 elif not inside and c.tag in MENUS and _is_menu(c):
                     continue
-                todo.append((c, inside, whole))
+                todo.append((c, inside, whole, unsure))
+            elif not doubtful and node.tag != "a":
+                rest += len("".join(c.split()))
             kept.append(c)
         node.children = kept
+    if articles or sum(n.size for n in aside) <= OUTWEIGHS * rest:
+        gone = set(map(id, aside))
+        for above in {id(n.parent): n.parent for n in aside}.values():
+            above.children = [c for c in above.children if id(c) not in gone]
 
 
 def _walk(root: Node) -> Iterator[tuple[Node | str, Node | None, bool]]:
@@ -309,16 +359,18 @@ def score(root: Node) -> Node:
             points = 0.5
         # A paragraph's container is its parent; text straight in a division is in its container.
         above = holder.parent if holder.tag in ("p", "pre", "li", "td", "th", "dd", "dt", "blockquote", *HEADINGS) and holder.parent else holder
-        share, level = 1.0, 1
-        while above is not None:
-            if level <= 3:
-                above.score += points * share
-                touched[id(above)] = above
-            above.length += len(text)
-            above.linked += linked
-            level += 1
-            share = 1 / level
+        above.length += len(text)
+        above.linked += linked
+        for level in (1, 2, 3):
+            above.score += points / level
+            touched[id(above)] = above
             above = above.parent
+            if above is None:
+                break
+    for node, parent, entering in _walk(root):
+        if not entering and parent and isinstance(node, Node):
+            parent.length += node.length
+            parent.linked += node.linked
     for node in touched.values():
         value = node.score * (1 - node.linked / max(node.length, 1))
         if value > top:

@@ -2,6 +2,7 @@
 
 import hashlib
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -428,6 +429,74 @@ def test_names_and_forms_do_not_take_away_the_article(page, kept, gone):
     assert got.split("\n\n") == kept and gone not in got
 
 
+@pytest.mark.parametrize("name", "legal-guide popular-science discussion social-history page-banner search-engines tags".split())
+def test_container_named_like_its_subject_is_the_article(name):
+    page = f"<body><h1>T</h1><div class='{name}'><p>{_LONG}</p><p>{_LONG}</p></div><div class='footer'><p>{_LONG}</p></div></body>"
+    assert html.main_text(page) == f"T\n\n{_LONG.strip()}\n\n{_LONG.strip()}"
+    # Beside an article the same name tells.
+    for article in (f"<div class='content'><p>{_LONG}</p></div>", f"<article><p>{_LONG}</p></article>"):
+        assert html.main_text(f"<body>{article}<div class='{name}'><p>{_LONG}</p></div></body>") == _LONG.strip()
+
+
+def test_inline_elements_stay_within_a_sentence():
+    page = ("<article><p>Let <math><mi>x</mi><annotation>x^2</annotation></math> be, <label>one</label> or <button>two</button>.</p>"
+            "<p><button>Share</button></p><p><label>Name</label> here <input></p></article>")
+    assert html.main_text(page) == "Let x be, one or two.\n\nhere"
+
+
+@pytest.mark.parametrize("start", ["<ul><li>", "<div class='x'>", "<div class='tags'>t", "<b>", "<ul><li>word, </p></div>", "<table><td>w"])
+def test_deep_pages_take_linear_time(start):
+    began = time.process_time()
+    html.main_text(start * 20_000 + _LONG)
+    assert time.process_time() - began < 10  # a walk of the subtree at every level would take minutes
+
+
+def naive_best(root):
+    """The container with most points, each worked out from all blocks anew."""
+    found = html.blocks(root)
+    first = {"p", "pre", "li", "td", "th", "dd", "dt", "blockquote", *html.HEADINGS}
+    totals, order = {}, []
+    for text, holder, linked in found:
+        points = 0.5 if holder.tag in html.HEADINGS else 1 + text.count(",") + min(len(text) / 100, 3)
+        above = holder.parent if holder.tag in first and holder.parent else holder
+        level = 1
+        while above is not None:
+            total = totals.setdefault(id(above), [above, 0.0, 0, 0])
+            if level <= 3:
+                total[1] += points / level
+                if above not in order:
+                    order.append(above)
+            total[2] += len(text)
+            total[3] += linked
+            above, level = above.parent, level + 1
+    value = {id(n): p * (1 - k / max(c, 1)) for n, p, c, k in totals.values()}
+    return max(order, key=lambda n: value[id(n)]) if order else root
+
+
+def test_scores_and_sizes_equal_a_plain_version():
+    draw = np.random.default_rng(4)
+    parts = ["<div>", "</div>", "<p>", "</p>", "<a href=x>", "</a>", "<ul>", "<li>", "</ul>", "<b>", "</b>", "<h2>", "</h2>", "<script>z</script>",
+             "<br>", "one, two ", "a longer text, with commas, and words. ", "<td>", "<table>", "</table>", "<label>l</label>"]
+    for _ in range(400):
+        root = html.parse("".join(parts[i] for i in draw.integers(0, len(parts), 60)))
+        html.measure(root)
+        for node, _, entering in list(html._walk(root)):
+            if entering and isinstance(node, html.Node):
+                inner = [(n, e) for n, _, e in html._walk(node)]
+                never = linked = size = size_linked = 0
+                for n, e in inner:
+                    if isinstance(n, str):
+                        size += 0 if never else len("".join(n.split()))
+                        size_linked += len("".join(n.split())) if linked and not never else 0
+                    elif n.tag == "a":
+                        linked += 1 if e else -1
+                    elif n.tag in html.NEVER_TEXT:
+                        never += 1 if e else -1
+                assert (node.size, node.size_linked) == (size, size_linked)
+        expected = naive_best(root)
+        assert html.score(root) is expected
+
+
 # ---- resharding ----
 
 def test_transfers_move_the_fewest_bytes():
