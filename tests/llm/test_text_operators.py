@@ -626,6 +626,27 @@ def test_lm_is_fitted_though_the_only_training_text_is_long(spark, path, monkeyp
     assert fitted == [lm.SAMPLE_CHUNKS * lm.CHUNK] and all(np.isfinite(r.score) and r.score < 0 for r in got)
 
 
+def test_lm_steps_and_means_equal_plain_ones(spark):
+    draw = np.random.default_rng(2)
+    net, given = lm.Attention(), lm.Attention()
+    adam, first, second = lm.Adam(net), {}, {}
+    for step in range(1, 6):
+        x, y = draw.integers(0, lm.INPUTS, (7, lm.WINDOW)), draw.integers(0, lm.CLASSES, (7, lm.WINDOW))
+        for name, g in given.gradients(x, y)[1].items():
+            first[name] = 0.9 * first.get(name, 0) + 0.1 * g
+            second[name] = 0.99 * second.get(name, 0) + 0.01 * g * g
+            given.p[name] -= 1e-3 * first[name] / (1 - 0.9 ** step) / (np.sqrt(second[name] / (1 - 0.99 ** step)) + 1e-8)
+        adam(x, y, 1e-3)
+    assert np.allclose(net.flat, given.flat, atol=1e-5)
+    # Tasks' weights, added up in groups, are their mean by numbers of windows.
+    weights = draw.standard_normal((40, 5)).astype(np.float32)
+    rows = [(i, i + 1, weights[i].tobytes()) for i in range(40)]
+    got = (spark.createDataFrame(rows, "task bigint, n bigint, weights binary").repartition(4, F.col("task") % 4)
+           .mapInArrow(lm._weighted_sums, "task bigint, n bigint, weights binary").collect())
+    assert sum(r.n for r in got) == 820
+    assert sum(np.frombuffer(r.weights) for r in got) / 820 == pytest.approx(np.average(weights, axis=0, weights=range(1, 41)))
+
+
 def test_lm_chunks_hold_every_subword_of_the_training_documents(spark, path):
     odd_docs(spark).repartition(3).write.parquet(path)
     docs = spark.read.parquet(path)
