@@ -241,7 +241,7 @@ def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", outputs=("n_
     """
     file = docs.sparkSession.sparkContext.broadcast(Path(tokenizer).read_text(encoding="utf-8"))
     names = list(outputs)
-    schema = T.StructType([f for f in docs.schema.fields if f.name not in names]
+    schema = T.StructType([f for f in docs.schema.fields if f.name.lower() not in names]
                           + [T.StructField(n, OUTPUTS[n][0]) for n in names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,7 +257,7 @@ def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", outputs=("n_
 def decode(rows: DataFrame, tokenizer: str, ids_col: str = "ids") -> DataFrame:
     """All rows and columns, with ``decoded``: the text of the ids, null ids as an empty text."""
     file = rows.sparkSession.sparkContext.broadcast(Path(tokenizer).read_text(encoding="utf-8"))
-    schema = T.StructType([f for f in rows.schema.fields if f.name != "decoded"]
+    schema = T.StructType([f for f in rows.schema.fields if f.name.lower() != "decoded"]
                           + [T.StructField("decoded", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -40,14 +40,22 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """These names with as many underscores before them as no column of ``df`` has, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while any(n.lower() in taken for n in names):
+        names = tuple(f"_{n}" for n in names)
+    return list(names)
+
+
 def texts_of(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
     """Texts of an Arrow column as UTF-8 bytes; null becomes empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
 def replaced(batch: pa.RecordBatch, names: list[str], arrays: list[pa.Array]) -> pa.RecordBatch:
-    """``batch`` without columns of the given names, and these arrays behind the rest."""
-    keep = [i for i, n in enumerate(batch.schema.names) if n not in names]
+    """``batch`` without columns of the given names, whatever their case, and these arrays behind the rest."""
+    keep = [i for i, n in enumerate(batch.schema.names) if n.lower() not in names]
     return pa.RecordBatch.from_arrays([batch.column(i) for i in keep] + arrays,
                                       names=[batch.schema.names[i] for i in keep] + names)
 

@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from miasma.llm.common import ascii_lower, stored
+from miasma.llm.common import ascii_lower, stored, unused
 
 # Words of lower-cased text: ASCII letters and digits and everything beyond ASCII.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -144,14 +144,15 @@ def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     """
     found = scan(docs, benchmark, id_col, text_col, **columns)
     mine = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
-    on = [docs[id_col].eqNullSafe(F.col("_id")), mine == F.col("_hash")]
+    key, digest, spans = unused(docs, "_id", "_hash", "_spans")
+    on = [docs[id_col].eqNullSafe(F.col(key)), mine == F.col(digest)]
     if remove == "documents":
-        gone = found.filter(contaminated()).select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"))
+        gone = found.filter(contaminated()).select(F.col("id").alias(key), F.col("text_hash").alias(digest))
         return docs.join(stored(gone, "contaminated"), on, "left_anti")
-    hits = found.filter("n_hit > 0").select(F.col("id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("spans").alias("_spans"))
-    kept = docs.join(stored(hits, "spans"), on, "left").drop("_id", "_hash")
-    return kept.withColumn(text_col, F.when(F.col("_spans").isNull(), F.col(text_col)).otherwise(
-        without_spans(F.col(text_col), F.col("_spans")))).drop("_spans").select(docs.columns)
+    hits = found.filter("n_hit > 0").select(F.col("id").alias(key), F.col("text_hash").alias(digest), F.col("spans").alias(spans))
+    kept = docs.join(stored(hits, "spans"), on, "left").drop(key, digest)
+    return kept.withColumn(text_col, F.when(F.col(spans).isNull(), F.col(text_col)).otherwise(
+        without_spans(F.col(text_col), F.col(spans)))).drop(spans).select(docs.columns)
 
 
 def without_spans(text: Column, spans: Column) -> Column:

@@ -415,7 +415,7 @@ def _belongs(node: Node, best: Node) -> bool:
 def extract(pages: DataFrame, html_col: str = "html") -> DataFrame:
     """All rows and columns, with ``text`` and ``n_chars``."""
     names = ["text", "n_chars"]
-    schema = T.StructType([f for f in pages.schema.fields if f.name not in names]
+    schema = T.StructType([f for f in pages.schema.fields if f.name.lower() not in names]
                           + [T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -173,7 +173,7 @@ def classify(docs: DataFrame, weights: np.ndarray, text_col: str = "text") -> Da
     """All rows and columns, with ``score`` (0 to 1) and ``predicted`` (1 from 0.5 on)."""
     model = docs.sparkSession.sparkContext.broadcast(weights)
     names = ["score", "predicted"]
-    schema = T.StructType([f for f in docs.schema.fields if f.name not in names]
+    schema = T.StructType([f for f in docs.schema.fields if f.name.lower() not in names]
                           + [T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from miasma.llm.common import slices, stored, texts_of
+from miasma.llm.common import slices, stored, texts_of, unused
 
 SEED = 42
 SEGMENTS = 4
@@ -273,14 +273,15 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``docs`` with one document of each group: that with the smallest id. The list of ids that
     go is stored, so Spark knows its size when it chooses the join."""
     found = stored(near_duplicates(docs, id_col, text_col, width, radius), "simhash-components")
+    key, stays, row = unused(docs, "_id", "_stays", "_row")
     ids = (found.filter(F.col("id").isNotNull()).groupBy("id")
            .agg(F.count("*").alias("n"), F.max((F.col("id") == F.col("component")).cast("int")).alias("stays")))
-    gone = stored(ids.filter("stays = 0 OR n > 1").select(F.col("id").alias("_id"), (F.col("stays") == 1).alias("_stays")), "simhash-gone")
-    kept = docs.join(gone, docs[id_col] == F.col("_id"), "left_anti")
-    repeated = gone.filter("_stays")
+    gone = stored(ids.filter("stays = 0 OR n > 1").select(F.col("id").alias(key), (F.col("stays") == 1).alias(stays)), "simhash-gone")
+    kept = docs.join(gone, docs[id_col] == F.col(key), "left_anti")
+    repeated = gone.filter(F.col(stays))
     if not repeated.isEmpty():
         sortable = [c for c, kind in docs.dtypes if "map<" not in kind and "variant" not in kind]
         order = Window.partitionBy(id_col).orderBy(text_col, *[c for c in sortable if c != text_col])
-        some = docs.join(repeated, docs[id_col] == F.col("_id"), "left_semi").withColumn("_row", F.row_number().over(order))
-        kept = kept.unionByName(some.filter("_row = 1").drop("_row"))
+        some = docs.join(repeated, docs[id_col] == F.col(key), "left_semi").withColumn(row, F.row_number().over(order))
+        kept = kept.unionByName(some.filter(F.col(row) == 1).drop(row))
     return kept

@@ -497,6 +497,25 @@ def test_scores_and_sizes_equal_a_plain_version():
         assert html.score(root) is expected
 
 
+@pytest.mark.parametrize("names", [["_id", "_hash", "_row", "_stays", "_spans", "_copy"], ["SCORE", "Predicted", "N_Tokens", "IDS", "__ID", "_Id", "N_CHARS", "Html"]])
+def test_columns_of_clashing_names_do_no_harm(spark, names):
+    text = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron"
+    docs = spark.createDataFrame([(1, text), (1, text), (2, text), (3, "other words"), (None, None)], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(7, " ".join(text.split()[:13]))], "item_id bigint, text string")
+    for c in names:
+        docs = docs.withColumn(c, F.lit("old"))
+    kept = simhash.deduplicate(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id or 0 for r in kept.collect()) == [0, 1, 3]
+    for remove, n in (("documents", 2), ("spans", 5)):
+        kept = decontaminate.clean(docs, bench, remove=remove)
+        assert kept.columns == docs.columns and kept.count() == n and kept.filter("text LIKE '%alpha%'").count() == 0
+    weights = np.zeros((1 << quality.BITS) + 1)
+    assert quality.classify(docs, weights).agg(F.sum("score"), F.sum("predicted")).first()[:] == (2.5, 5)
+    assert bpe.encode(docs, queries.TOKENIZER).filter("size(ids) = n_tokens").count() == 5
+    pages = docs.drop("Html", "text").withColumn("html", F.lit("<p>A page."))
+    assert html.extract(pages).agg(F.sum("n_chars")).first()[0] == 35
+
+
 # ---- resharding ----
 
 def test_transfers_move_the_fewest_bytes():
