@@ -103,6 +103,25 @@ def test_a_station_with_a_third_of_all_records_is_landed_by_several_tasks(spark,
     assert files_of_hot > 1
 
 
+def test_a_tree_of_small_files_is_written_without_a_process_per_file(spark, tmp_path):
+    from miasma.sinks.tree import write_csv_tree
+
+    rows = [record(STATION=f"{i % 50:03d}", DATE=f"20{i % 7 + 10}-01-01", NAME='a "b", c' if i % 3 else None, TEMP=str(i),
+                   SLP="" if i % 2 else None) for i in range(1000)]
+    df, root = raw(spark, *rows), str(tmp_path / "tree")
+    launched = spark.sparkContext._jvm.java.lang.management.ManagementFactory.getThreadMXBean().getTotalStartedThreadCount
+    before = launched()  # the JVM starts a thread for each process it waits for
+    write_csv_tree(df, root, F.concat_ws("-", "STATION", F.substring("DATE", 1, 4)))
+    assert launched() - before < 300
+    assert len(list((tmp_path / "tree").rglob("*"))) == 350 * 2
+    plain = str(tmp_path / "plain")
+    df.write.option("header", True).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(plain)
+    tree = files.read_observation_tree(spark, root)
+    assert tree.filter("NOT file_year <=> int(substring(DATE, 1, 4))").isEmpty()
+    got, expected = tree.drop("file_station", "file_year"), files.read_observation_csv(spark, plain)
+    assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
+
+
 def test_paths(spark):
     df = spark.createDataFrame([("file:///d/Weather_Year=2024/x.parquet",), ("hdfs://h/raw/0100-2023/0100.csv",),
                                 ("/in/2022/0100 copy.csv",), ("/in/x.csv",)], "p STRING")
