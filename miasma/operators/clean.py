@@ -105,12 +105,13 @@ def dedupe_observations(df: DataFrame, keys=("STATION", "DATE")) -> DataFrame:
     return kept.select(df.columns)
 
 
-def rejection(df: DataFrame) -> Column:
+def rejection(df: DataFrame, damaged_fields: Column | None = None) -> Column:
     """Why a raw record cannot be used, null for a good one.
 
     Readers tell by ``damaged_line`` which lines have another number of fields than a record: those
     are short, or long. A record with empty fields is whole. Where the column is missing, records
-    come from a table and were whole.
+    come from a table and were whole. ``damaged_fields`` is the number of fields of ``damaged_line``, for
+    callers that have counted them.
     """
     types = dict(df.dtypes)
 
@@ -120,7 +121,9 @@ def rejection(df: DataFrame) -> Column:
     station, date = text("STATION"), F.col("DATE")
     bad_date = parse_date(date).isNull() if types["DATE"] == "string" else F.lit(False)
     damaged = F.col(DAMAGED).isNotNull() if DAMAGED in types else F.lit(False)
-    cut = damaged & (field_count(F.col(DAMAGED)) < len(RAW_COLUMNS)) if DAMAGED in types else damaged
+    if DAMAGED in types and damaged_fields is None:
+        damaged_fields = field_count(F.col(DAMAGED))
+    cut = damaged & (damaged_fields < len(RAW_COLUMNS)) if DAMAGED in types else damaged
     return (F.when(station == "STATION", "header")
             .when(F.col("STATION").isNull() | (station == ""), "no station")
             .when(cut, "short line")
@@ -130,14 +133,33 @@ def rejection(df: DataFrame) -> Column:
 
 
 def field_count(line: Column) -> Column:
-    """Fields of a CSV line; a comma between quotes is part of a field."""
-    return F.regexp_count(F.regexp_replace(line, r'"(?:[^"\\]|\\.)*"', F.lit("")), F.lit(",")) + 1
+    """Fields of a CSV line; a comma between quotes is part of a field.
+
+    What stands between quotes can be read in one way only, so the pattern never goes back.
+    """
+    bare = F.regexp_replace(line, r'"(?:[^"\\]++|\\.)*+"', F.lit(""))
+    return F.array_size(F.split(bare, ","))
 
 
 def quarantine(lines: DataFrame, text: str = "line") -> DataFrame:
-    """The unusable records of ``decode_payload(…, keep_text=True)``: reason, number of fields, text."""
-    told = reject_reason(lines).filter(F.col("reason").isNotNull())
-    return told.select("reason", field_count(F.col(text)).alias("fields"), F.col(text).alias("text"))
+    """The unusable records of ``decode_payload(…, keep_text=True)``: reason, number of fields, text.
+
+    Fields are counted once per line and reasons told once: ``inline`` keeps Catalyst from repeating an
+    expression wherever its column is mentioned.
+    """
+    def once(df: DataFrame, name: str, value: Column) -> DataFrame:
+        return df.select(*kept, F.inline(F.array(F.struct(value.alias(name)))))
+
+    kept = [c for c in ("STATION", "DATE", DAMAGED, text) if c in lines.columns]
+    counted = once(lines, "fields", field_count(F.col(text)))
+    kept.append("fields")
+    if DAMAGED in kept:  # the text of the whole line, unless that has line breaks
+        same = F.col(DAMAGED) == F.col(text)
+        reason = rejection(lines, F.when(same, F.col("fields")).otherwise(field_count(F.col(DAMAGED))))
+    else:
+        reason = rejection(lines)
+    told = once(counted, "reason", reason).filter(F.col("reason").isNotNull())
+    return told.select("reason", "fields", F.col(text).alias("text"))
 
 
 def reject_reason(df: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from miasma.functions.paths import partition_value
@@ -280,10 +281,16 @@ def rejected_lines(spark, sf_dir):
     """Record lines cut after each of their fields, too long ones, whole ones, and whole ones that are empty
     behind the date: reason, fields and text of those that are no records."""
     keyed = st.raw_observations(spark, sf_dir, keep=("l_orderkey",))
-    line = F.decode(payload.encoded(RAW_COLUMNS), "UTF-8")
-    k, fields = F.col("l_orderkey") % 31, F.split(line, '(?<="),(?=")')
-    text = (F.when(k.between(1, 27), F.array_join(F.slice(fields, 1, F.greatest(k, F.lit(1)).cast("int")), ","))
-            .when(k == 29, F.concat_ws(",", F.get(fields, 0), F.get(fields, 1), F.lit('""' + ',""' * 25)))
+    keyed = keyed.select("l_orderkey", payload.encoded(RAW_COLUMNS).cast("string").alias("line"))
+    k, line = F.col("l_orderkey") % 31, F.col("line")
+
+    def first(n) -> Column:
+        """The first fields of a line, up to the n-th comma between quotes."""
+        head = F.call_function("substring_index", line, F.lit('","'), n)
+        return F.when(F.length(head) < F.length(line), F.concat(head, F.lit('"'))).otherwise(line)
+
+    text = (F.when(k.between(1, 27), first(F.greatest(k, F.lit(1)).cast("int")))
+            .when(k == 29, F.concat_ws(",", first(F.lit(2)), F.lit('""' + ',""' * 25)))
             .when(k == 30, F.concat(line, F.lit(",1"))).otherwise(line))
     return clean.quarantine(payload.decode_payload(keyed.select(text.cast("binary").alias("value")), keep_text=True))
 

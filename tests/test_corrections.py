@@ -60,6 +60,16 @@ def test_a_line_cut_anywhere_is_kept_aside_with_its_text(spark, tmp_path):
     assert clean.clean_records(of_file).count() == len(whole)
 
 
+def test_fields_of_rejected_lines_are_counted_once(spark):
+    long = '"' + "x," * 20000 + '"'
+    lines = ['"01","2024-12-03"', f'"01",{long}', '"01","a\\",b', '"01"\n"2",3', '"a"b,"c,d",,"', ",,"]
+    raw = payload.decode_payload(spark.createDataFrame([(bytearray(x.encode()),) for x in lines], "value binary"), keep_text=True)
+    rejected = clean.quarantine(raw)
+    assert {r.text: r.fields for r in rejected.collect()} == dict(zip(lines, [2, 2, 3, 2, 4, 3]))
+    plan = rejected._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_replace(line") == 1 and plan.count("short line") == 1
+
+
 def test_points_without_a_value_are_left_out_and_counted(spark):
     quality = spark.createDataFrame([("a b", 90.0, 10.0), ("c", None, None)], "city string, accuracy double, mape double")
     got = [r.line for r in points.accuracy_points(quality, 7, region="city").collect()]
