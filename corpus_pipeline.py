@@ -48,9 +48,10 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, with digests of the ids and of the text they decode to."""
+    """Token ids of each document, with digests of the ids and of the text they decode to. Batches are small:
+    executors still hold memory of the stages before."""
     return bpe.encode(docs.select("doc_id", "text"), TOKENIZER,
-                      outputs=("n_tokens", "ids", "ids_sha256", "decoded_sha256")).drop("text")
+                      outputs=("n_tokens", "ids", "ids_sha256", "decoded_sha256"), batch_bytes=1 << 19).drop("text")
 
 
 STAGES = [

@@ -40,6 +40,7 @@ from miasma.llm.common import replaced, slices, texts_of
 WORD_RULE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 MAX_KNOWN_WORDS = 150_000
 MAX_PAIRS = 500_000
+BATCH_BYTES = 4 << 20  # of texts; their words take many times as much
 _END = 256  # a trie key that is no byte
 
 
@@ -233,11 +234,13 @@ def _output(name: str, rows: list[list[tuple[int, str, bytes, bytes]]]) -> pa.Ar
     return pa.array(found, OUTPUTS[name][1])
 
 
-def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", outputs=("n_tokens", "ids")) -> DataFrame:
+def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", outputs=("n_tokens", "ids"),
+           batch_bytes: int = BATCH_BYTES) -> DataFrame:
     """All rows and columns, with the ``OUTPUTS`` asked for: the number of ids, the ids, the
     SHA-256 of the ids joined by commas, the SHA-256 of the text they decode to.
 
-    ``tokenizer`` is the path of a tokenizer file on the driver.
+    ``tokenizer`` is the path of a tokenizer file on the driver. Words are encoded together for
+    ``batch_bytes`` of texts; less takes less memory and more time.
     """
     file = docs.sparkSession.sparkContext.broadcast(Path(tokenizer).read_text(encoding="utf-8"))
     names = list(outputs)
@@ -246,7 +249,7 @@ def encode(docs: DataFrame, tokenizer: str, text_col: str = "text", outputs=("n_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(file.value)
-        for batch in slices(batches, text_col, 4 << 20):
+        for batch in slices(batches, text_col, batch_bytes):
             texts = [t.decode("utf-8", "replace") for t in texts_of(batch.column(text_col))]
             rows = list(encoder.batch(texts))
             yield replaced(batch, names, [_output(n, rows) for n in names])

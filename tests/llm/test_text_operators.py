@@ -290,6 +290,18 @@ def test_bpe_equals_the_library(spark):
     assert all(r.decoded == (r.text or "") for r in back)
 
 
+def test_bpe_in_small_batches_gives_the_same_rows(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, None if i == 3 else f"text {i} " * (i % 7) + "é<|endoftext|>") for i in range(60)], "doc_id long, text string")
+    names = ("n_tokens", "ids", "ids_sha256", "decoded_sha256")
+    whole = bpe.encode(docs.coalesce(1), queries.TOKENIZER, outputs=names).collect()
+    assert bpe.encode(docs.coalesce(1), queries.TOKENIZER, outputs=names, batch_bytes=100).collect() == whole
+    import corpus_pipeline
+    asked = []
+    monkeypatch.setattr(corpus_pipeline.bpe, "encode", lambda df, *args, **options: asked.append(options) or df)
+    corpus_pipeline.bpe_encoding(spark, docs, "")
+    assert asked[0]["batch_bytes"] < bpe.BATCH_BYTES
+
+
 def test_bpe_of_random_texts_equals_the_library():
     from tokenizers import Tokenizer
 
