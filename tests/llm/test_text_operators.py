@@ -695,6 +695,27 @@ def test_lm_chunks_hold_every_subword_of_the_training_documents(spark, path):
     assert got == expected
 
 
+def test_lm_subwords_of_many_words_are_those_of_each(monkeypatch):
+    public, file = __import__("public_tokenizers"), open(queries.RANKS).read()
+    plain = [b"plain", b"don't", b"'s", b"x1.y", "h\u00e9".encode(), b"\x1c\x00", b"a", b"plain"]
+    odd = [b"", "a\u00a0b".encode(), "\u00a0".encode(), "\u3000c".encode(), "d\u2003".encode(), b"\xff"]
+    encoding = lm.tokenizer(file, public.PATTERN)
+    subwords = lm.Subwords(file, public.PATTERN)
+    texts = []
+    subwords.encode = lambda text: texts.append(text) or encoding.encode_ordinary(text)
+    for some, n in (([*plain[:5], *plain[6:]], 1), (plain, None), (odd, None), (plain + odd, None), ([], 0)):
+        texts.clear()
+        ids, lengths = subwords(some)
+        expected = [encoding.encode_ordinary(" " + w.decode("utf-8", "replace")) if w else [] for w in some]
+        assert lengths.tolist() == list(map(len, expected)) and ids.tolist() == [i for x in expected for i in x]
+        assert n is None or len(texts) == n
+    # A rule that does not part words at each space.
+    assert lm.Subwords(file, r"[\s\S]+")([b"a", b"b"])[1].tolist() == [1, 1]
+    # Long lists go in pieces.
+    monkeypatch.setattr(lm, "WORDS_IN_A_TEXT", 3)
+    assert lm.Subwords(file, public.PATTERN)(plain)[0].tolist() == [i for w in plain for i in encoding.encode_ordinary(" " + w.decode())]
+
+
 def test_lm_learns_from_training_documents_beyond_the_sample(spark, path, monkeypatch):
     monkeypatch.setattr(lm, "SAMPLE_CHUNKS", 1)
     monkeypatch.setattr(lm.Attention, "fit", lambda self, inputs, targets: None)
