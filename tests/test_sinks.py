@@ -1,9 +1,11 @@
 import datetime as dt
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
 
 from miasma.functions import paths
+from miasma.schema import RAW_COLUMNS
 from miasma.sinks import points, tables
 from miasma.sources import files
 from miasma.session import shared_dir
@@ -122,6 +124,63 @@ def test_a_tree_of_small_files_is_written_without_a_process_per_file(spark, tmp_
     assert sorted(map(str, got.collect())) == sorted(map(str, expected.collect()))
 
 
+def bytes_shuffled(spark, run) -> int:
+    """Bytes that the jobs of ``run`` write for their shuffles."""
+    context, group = spark.sparkContext, uuid.uuid4().hex
+    context.setJobGroup(group, "")
+    try:
+        run()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    context._jsc.sc().listenerBus().waitUntilEmpty()
+    jobs, stages = context.statusTracker(), context._jsc.sc().statusStore()
+    ids = {i for job in jobs.getJobIdsForGroup(group) for i in jobs.getJobInfo(job).stageIds}
+    return sum(stages.lastStageAttempt(i).shuffleWriteBytes() for i in ids)
+
+
+def bytes_on_disk(folder) -> int:
+    return sum(f.stat().st_blocks * 512 for f in folder.rglob("*") if f.is_file())
+
+
+def test_a_tree_is_shuffled_as_narrow_rows_and_packed(spark, tmp_path):
+    from miasma.sinks.tree import write_csv_tree
+
+    table = spark.range(20_000).select("id", (F.col("id") % 40).alias("folder"))
+    station = F.lpad(F.col("folder").cast("string"), 5, "0").alias("STATION")
+    wide = [station, F.col("id").cast("string").alias("DATE"), *[
+        F.when(F.col("id") % 3 == 0, F.lit(' a "b", c')).when(F.col("id") % 3 == 1, F.sha2(F.concat(F.lit(c), F.col("id").cast("string")), 256))
+        .alias(c) for c in RAW_COLUMNS[2:6]]]
+    roots = [str(tmp_path / name) for name in ("plain", "packed")]
+    before = bytes_shuffled(spark, lambda: write_csv_tree(table.select(wide), roots[0], F.col("STATION")))
+    after = bytes_shuffled(spark, lambda: write_csv_tree(table, roots[1], station, wide, gzip=True))
+    assert 0 < after < before / 3
+    assert {f.name for f in (tmp_path / "packed").rglob("*.*")} == {"part.csv.gz"}
+    assert bytes_on_disk(tmp_path / "packed") < bytes_on_disk(tmp_path / "plain") / 1.5
+    got, expected = (spark.read.schema(table.select(wide).schema).option("header", True).option("recursiveFileLookup", True).csv(r) for r in roots)
+    assert got.count() == 20_000 and got.exceptAll(expected).isEmpty()
+    assert (tmp_path / "packed" / "00007").is_dir()
+    tree = files.read_observation_tree(spark, roots[1])
+    assert tree.count() == files.read_observation_tree(spark, roots[0]).count() == 20_000
+
+
+def test_the_tree_of_raw_records_takes_less_disk_than_its_text(spark, tmp_path, monkeypatch):
+    from miasma.plans import queries_data
+
+    days, n = [dt.datetime(1996, 1, 1), dt.datetime(1997, 1, 1)], 16_000
+    rows = [(i, i * 7 % 2000, i % 20, i % 7 + 1, float(i % 50 + 1), 900.0 + i * 7 % 100_000, i % 11 / 100, i % 9 / 100, "ANR"[i % 3], "FO"[i % 2],
+             days[i // 20 % 2] + dt.timedelta(i % 360)) if i else (0, *[None] * 10) for i in range(n)]
+    spark.createDataFrame(rows, "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE, l_extendedprice DOUBLE, "
+                          "l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING, l_shipdate TIMESTAMP_NTZ"
+                          ).write.parquet(str(tmp_path / "lineitem.parquet"))
+    monkeypatch.setattr(queries_data, "shared_dir", lambda spark, name: str(tmp_path / name))
+    found = []
+    shuffled = bytes_shuffled(spark, lambda: found.extend(queries_data.csv_tree_scan(spark, str(tmp_path)).collect()))
+    assert sorted((r.n, r.own_station, r.file_year) for r in found if r.file_year) == [
+        (399, 399, 1996), *[(400, 400, 1996)] * 19, *[(400, 400, 1997)] * 20]
+    assert [(r.n, r.sum_temp) for r in found if not r.file_year] == [(1, None)]
+    assert bytes_on_disk(tmp_path / "tree") < 80 * n and shuffled < 80 * n  # a record's line has 180 bytes
+
+
 def test_paths(spark):
     df = spark.createDataFrame([("file:///d/Weather_Year=2024/x.parquet",), ("hdfs://h/raw/0100-2023/0100.csv",),
                                 ("/in/2022/0100 copy.csv",), ("/in/x.csv",)], "p STRING")
